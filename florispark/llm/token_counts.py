@@ -2,10 +2,11 @@
 
 1. Each task packs its documents into blocks of a bounded number of bytes: the block's distinct
    pre-tokens, and for each document which of them it has and how often.
-2. The pre-tokens of all blocks are made distinct by a shuffle; each is encoded once and only
-   the number of its pieces is kept.
-3. Those numbers are joined to the blocks' pre-tokens, gathered by block (whose size is bounded)
-   and summed over each document's frequencies.  No ids are kept or moved.
+2. A shuffle by pre-token brings the blocks' equal pre-tokens together, and a sort side by side;
+   each is encoded once, only the number of its pieces is kept, and it goes to all blocks that
+   have the pre-token.
+3. The numbers are gathered by block (whose size is bounded) and summed over each document's
+   frequencies.  No ids are kept or moved.
 
 A pre-token meets a task once per block that has it, so a very common one is no hot key.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import cut, text_bytes
 from .pretoken import encoder, pretokens
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 48 << 20
 _BLOCK = "block string, ids array<long>, n_bytes array<long>, bounds binary, pid binary, freq binary, words binary"
 
 
@@ -38,8 +39,8 @@ def token_counts(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     """
     blocks = cut(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: _count(it, block_bytes), _BLOCK))
     vocab = blocks.select("block", "words").mapInArrow(_unpack, "block string, pid int, pretoken string")
-    pieces = vocab.select("pretoken").distinct().mapInArrow(lambda it: _pieces(it, vocab_path), "pretoken string, n int")
-    counts = vocab.join(pieces, "pretoken").select("block", (F.shiftleft(F.col("pid").cast("long"), 32) + F.col("n")).alias("pn")).groupBy("block").agg(F.collect_list("pn").alias("pn"))
+    pieces = vocab.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(lambda it: _pieces(it, vocab_path), "block string, pn long")
+    counts = pieces.groupBy("block").agg(F.collect_list("pn").alias("pn"))
     return blocks.drop("words").join(counts, "block", "left").mapInArrow(lambda it: _sum(it, context), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
@@ -64,8 +65,8 @@ def _count(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.R
             "ids": list(ids),
             "n_bytes": list(sizes),
             "bounds": pack(bounds.tobytes()),
-            "pid": pack(np.concatenate([np.zeros(0, "<u4"), *pid]).tobytes()),
-            "freq": pack(np.concatenate([np.zeros(0, "<u4"), *freq]).tobytes()),
+            "pid": pack(planes(np.concatenate([np.zeros(0, "<u4"), *pid]))),
+            "freq": pack(planes(np.concatenate([np.zeros(0, "<u4"), *freq]))),
             "words": pack("\n".join(vocab).encode()),
         }
         for x in (vocab, ids, sizes, pid, freq):
@@ -79,8 +80,10 @@ def _count(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.R
             found = Counter(pretokens(text or ""))
             ids.append(key)
             sizes.append(size)
-            pid.append(np.fromiter(map(vocab.__getitem__, found), "<u4", len(found)))
-            freq.append(np.fromiter(found.values(), "<u4", len(found)))
+            number = np.fromiter(map(vocab.__getitem__, found), "<u4", len(found))
+            order = np.argsort(number)
+            pid.append(np.diff(number[order], prepend=np.uint32(0)))  # gaps between sorted numbers
+            freq.append(np.fromiter(found.values(), "<u4", len(found))[order])
             held += size
             if held >= block_bytes:
                 yield block()
@@ -101,17 +104,30 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Of sorted pre-tokens, the number of pieces, packed with the pre-token's number in its block."""
     enc = encoder(path)
     for batch in batches:
-        n = [len(x) for x in enc.ids(batch.column(0).to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], names=["pretoken", "n"])
+        words = batch.column(2).dictionary_encode()
+        n = np.array([len(x) for x in enc.ids(words.dictionary.to_pylist())], dtype=np.int64)[words.indices.to_numpy()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((batch.column(1).to_numpy().astype(np.int64) << 32) + n)], names=["block", "pn"])
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, their low bytes first, then the next ones and so on; it packs better."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _sum(batches: Iterator[pa.RecordBatch], context: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            load = lambda name, kind: np.frombuffer(zstandard.decompress(row[name]), kind)  # noqa: B023, E731
-            bounds, pid, freq = load("bounds", "<i8"), load("pid", "<u4"), load("freq", "<u4")
+            bounds = np.frombuffer(zstandard.decompress(row["bounds"]), "<i8")
+            gap, freq = (from_planes(zstandard.decompress(row[x])).astype(np.int64) for x in ("pid", "freq"))
+            pid = np.cumsum(gap)  # of all documents; each begins anew
+            pid -= np.repeat(np.concatenate(([0], pid))[bounds[:-1]], np.diff(bounds))
             pn = np.array(row["pn"] or [], dtype=np.int64)
             n = np.zeros(len(pn), dtype=np.int64)
             n[pn >> 32] = pn & 0xFFFFFFFF
