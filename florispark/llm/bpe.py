@@ -26,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import from_planes, planes
 from .pretoken import _piece, encoder, parts
 
 LEAF_CHARS = 16_384
@@ -237,8 +238,8 @@ def _leaf(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
         ids, first = [], []
         for special, text in zip(pdf["special"], pdf["text"], strict=True):
             i, s, e, f = c.spans("") if special else c.spans(text)
-            ids.append(pack(np.concatenate((i.astype("<i8"), s, e)).astype("<i8").tobytes()))
-            first.append(f.tobytes())
+            ids.append(pack(planes(i) + planes(np.diff(s, prepend=0))))
+            first.append(np.packbits(f).tobytes())
         yield pdf.assign(ids=ids, first=first)
 
 
@@ -251,8 +252,10 @@ def _join_text(pdf: pd.DataFrame, path: str, digests: bool) -> pd.DataFrame:
             continue
         sides = []
         for text, packed, first in zip(part["text"], part["ids"], part["first"], strict=True):
-            x = np.frombuffer(zstandard.decompress(packed), "<i8").reshape(3, -1)
-            sides.append(Side(text.encode(), x[0].astype("<u4"), x[1], x[2], np.frombuffer(first, bool)))
+            data = zstandard.decompress(packed)
+            i, gap = from_planes(data[: len(data) // 2]), from_planes(data[len(data) // 2 :])
+            start = np.cumsum(gap.astype(np.int64))
+            sides.append(Side(text.encode(), i, start, start + c.size[i], np.unpackbits(np.frombuffer(first, np.uint8), count=len(i)).astype(bool)))
         ids.append(tree(c, sides).ids)
     whole = np.concatenate([np.zeros(0, "<u4"), *ids])
     row = digest(whole.astype("<u4").tobytes(), c.decode(whole)) if digests else (whole.astype("<u4").tobytes(), c.decode(whole))

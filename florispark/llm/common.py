@@ -178,6 +178,18 @@ def distinct_by_text(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray
     return v, np.searchsorted(t, np.arange(len(bounds)))
 
 
+# ---- packing ------------------------------------------------------------------------------------
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, their low bytes first, then the next ones and so on; it packs better."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 # ---- connected components -----------------------------------------------------------------------
 
 

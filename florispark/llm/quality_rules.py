@@ -45,7 +45,7 @@ def rules() -> dict[str, Column]:
         "symbols": c("n_symbols") * 10 > c("n_words"),
         "shouting": count_of(c("_text"), "!?") * 4 > c("n_words"),
         "digits": count_of(c("_text"), "0123456789") * 10 > c("word_chars") * 3,
-        "duplicate_lines": c("n_dup_lines") * 10 > F.size("_lines") * 3,
+        "duplicate_lines": (c("n_dup_lines") > 2) & (c("n_dup_lines") * 10 > F.size("_lines") * 3),
         "bullets": bullet * 10 > F.size("_lines") * 9,
         "ellipses": ellipsis * 10 > F.size("_lines") * 3,
     }
@@ -142,7 +142,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          OR n_symbols * 10 > n_words
          OR (length(t) - length(regexp_replace(t, '[!?]', '', 'g'))) * 4 > n_words
          OR (length(t) - length(regexp_replace(t, '[0-9]', '', 'g'))) * 10 > word_chars * 3
-         OR n_dup_lines * 10 > n_lines * 3
+         OR (n_dup_lines > 2 AND n_dup_lines * 10 > n_lines * 3)
          OR len(list_filter(lines, lambda x: regexp_matches(ltrim(x, ' '), '^[-*•]'))) * 10 > n_lines * 9
          OR len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*\z'))) * 10 > n_lines * 3) AS kept
 FROM f

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_bytes
+from .common import cut, from_planes, planes, text_bytes
 from .pretoken import encoder, pretokens
 
 BLOCK_BYTES = 48 << 20
@@ -112,15 +112,6 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((batch.column(1).to_numpy().astype(np.int64) << 32) + n)], names=["block", "pn"])
 
 
-def planes(x: np.ndarray) -> bytes:
-    """Unsigned 32-bit integers, their low bytes first, then the next ones and so on; it packs better."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
 def _sum(batches: Iterator[pa.RecordBatch], context: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
