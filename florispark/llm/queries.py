@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, ngram_join, quality_rules, token_counts, warc
+from . import bpe, decontamination, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
 from .common import read
 
 VOCAB = "word_bpe_49k.json"
@@ -30,6 +30,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), length=400, keep_first=False, digests=True)
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
