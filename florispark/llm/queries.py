@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
+from . import bpe, decontamination, line_dedup, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
 from .common import read
 
 VOCAB = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), length=400, keep_first=False, digests=True)
 
@@ -55,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}
+    return {"op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}
