@@ -121,8 +121,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8), ends
 
 
-def word_chunks(column: pa.Array, lower: bool, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
-    """Hashed words of a column's texts, in chunks of whole texts of about chunk_bytes."""
+def word_chunks(column: pa.Array, lower: bool, chunk_bytes: int = CHUNK_BYTES, breaks: bytes = b"") -> Iterator[Words]:
+    """Hashed words of a column's texts, in chunks of whole texts of about chunk_bytes; `breaks` end words as white space does."""
+    space = _SPACE
+    if breaks:
+        space = _SPACE.copy()
+        space[list(breaks)] = True
     raw, ends = text_bytes(column)
     n, i = len(ends) - 1, 0
     while i < n:
@@ -135,7 +139,7 @@ def word_chunks(column: pa.Array, lower: bool, chunk_bytes: int = CHUNK_BYTES) -
         data[np.arange(len(part)) + np.repeat(np.arange(j - i), sizes)] = part
         if lower:
             data = _LOWER[data]
-        word = np.concatenate(([False], ~_SPACE[data]))
+        word = np.concatenate(([False], ~space[data]))
         edge = np.flatnonzero(word[1:] != word[:-1])  # the last byte is a space
         start, end = edge[0::2], edge[1::2]
         text = np.searchsorted(offset, start, side="right") - 1

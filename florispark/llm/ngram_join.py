@@ -2,10 +2,10 @@
 
 Which documents meet in a tile is decided without loss.  Sizes of sets are cut into bands so that
 two sets that link are in one band or in neighbouring ones.  For a pair of bands, linked sets
-differ in at most D shingles, so if shingles are dealt by hash into D + 1 groups, one group is
-equal in both; the hash of each group is a key.  Only groups that hold something give a key: a
-set with an empty group is dealt again with another hash until it has none, so no equal group can
-hide among empty ones.  Documents with a common key are tied to the smallest of them, which gives
+differ in at most D shingles, so if shingles are dealt by hash into groups of which D + 1 hold
+something, one of these is equal in both; the hash of each is a key.  There are some groups more
+than D + 1, and a set that leaves more than those empty is dealt again with another hash until it
+doesn't, so that no equal group can hide among empty ones.  Documents with a common key are tied to the smallest of them, which gives
 families; a key that very many documents share costs one edge for each of them, not pairs.
 
 Copies with equal sets are one row of their family.  A family is split by size band and hash into
@@ -39,17 +39,24 @@ def band_floors(percent: int, most: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def group_counts(floors: np.ndarray, percent: int) -> np.ndarray:
-    """Groups for pairs whose smaller set is in band b: one more than the most shingles in which they differ."""
+def group_counts(floors: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs whose smaller set is in band b: groups, and how many may be empty.
+
+    Groups that hold something number one more than the most shingles in which such a pair
+    differs; some more groups are there for those that chance leaves empty.
+    """
     small = floors[1:] - 1
-    return (small + 100 * small // percent) * (100 - percent) // (100 + percent) + 1
+    least = (small + 100 * small // percent) * (100 - percent) // (100 + percent) + 1
+    empty = least * np.exp(-floors[:-1] / least)
+    spare = np.floor(empty + 3 * np.sqrt(empty)).astype(np.int64)
+    return least + spare, spare
 
 
 def keys_of(values: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, text) of the equal-group keys of each text's set of distinct shingles."""
     sizes = np.diff(bounds)
     floors = band_floors(percent, int(sizes.max(initial=1)))
-    groups = group_counts(floors, percent)
+    groups, spare = group_counts(floors, percent)
     band = np.searchsorted(floors, sizes, "right") - 1
     keys, texts = [], []
     for below in (0, 1):
@@ -72,7 +79,7 @@ def keys_of(values: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.nd
             full = held > 0
             keys.append(mix(total[full] ^ mix(tag[full])))
             texts.append(some[of[full]])
-            some = some[np.unique(of[~full])]
+            some = some[np.bincount(of[~full], minlength=len(some)) > spare[scheme]]
             attempt += 1
     return np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *texts])
 

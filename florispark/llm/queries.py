@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, line_dedup, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
+from . import bpe, decontamination, line_dedup, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
 from .common import read
 
 VOCAB = "word_bpe_49k.json"
@@ -22,6 +22,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), vocab_path())
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"))
 

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from florispark.llm import ngram_join
 from florispark.llm.common import components, shingles, word_chunks
-import pyarrow as pa
 
 
 def words(text):
@@ -77,17 +78,21 @@ def test_odd_tables(spark):
     assert (5, 1) in [(r.doc_id, r.component_id) for r in got] and (None, None) in [(r.doc_id, r.component_id) for r in got]
 
 
-def test_keys_lose_no_pair():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_keys_lose_no_pair(percent):
     """Small sets, where groups are often empty: every linked pair shares a key."""
-    rng = np.random.default_rng(3)
-    for n in list(range(1, 60)) * 6:
+    rng, linked = np.random.default_rng(3), 0
+    for n in list(range(1, 60)) * 6 + [100, 300, 1000, 5000] * 3:
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        drop = rng.integers(0, 1 + n * 10 // 190 + 1)
+        drop = rng.integers(0, 1 + n * (100 - percent) // (100 + percent) + 1)
         b = np.unique(np.concatenate((a[drop:], rng.integers(0, 2**63, rng.integers(0, drop + 1)).astype(np.uint64))))
-        if not len(b) or 100 * len(np.intersect1d(a, b)) < 90 * len(np.union1d(a, b)):
+        if not len(b) or 100 * len(np.intersect1d(a, b)) < percent * len(np.union1d(a, b)):
             continue
-        keys, text = ngram_join.keys_of(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), 90)
+        linked += 1
+        keys, text = ngram_join.keys_of(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), percent)
         assert np.intersect1d(keys[text == 0], keys[text == 1]).size
+        assert len(keys) < 40 + 7 * (len(a) + len(b)) * (100 - percent) // 100
+    assert linked > 150
 
 
 def test_shingles_of_a_chunk_don_t_cross_texts():
