@@ -242,7 +242,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep_first: bool = True,
     """
     gram = min(GRAM, length)
     seeds = docs.mapInArrow(lambda it: _seeds(it, length, gram), _SEED)
-    multi = seeds.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    # cut, so that the join deals both sides anew and Spark can split a common seed's rows
+    multi = cut(seeds.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     seeds = cut(seeds.join(multi, "fp"))
     place = F.struct("id", "th", "lo", "hi")
     kinds = cut(seeds.groupBy("fp", "c").agg(F.count("*").alias("m"), F.min(place).alias("rep")))
@@ -261,7 +262,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep_first: bool = True,
         again = windows.join(counts, ["fp", "h"], "left").where(F.col("n").isNotNull() & (F.struct("id", "th", "x") != F.col("first")) if keep_first else F.col("n").isNotNull() | (F.col("m") > 1))
         found = found.union(again.select("id", "th", F.col("x").alias("s"), (F.col("x") + length).cast("int").alias("e")))
     # runs whose context occurs again, as they are
-    copies = seeds.join(kinds.where("m > 1"), ["fp", "c"])
+    copies = seeds.join(kinds.where("m > 1"), ["fp", "c"])  # kinds is cut, as multi is
     if keep_first:
         copies = copies.where(place != F.col("rep"))
     found = found.union(copies.select("id", "th", F.col("lo").alias("s"), (F.col("hi") + length).cast("int").alias("e")))
