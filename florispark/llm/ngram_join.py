@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,7 +115,7 @@ def _packets(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: i
     """Keys in packets by bucket; equal keys of a packet are already tied to the smallest id (as a combiner does)."""
     held_keys: list[np.ndarray] = []
     held_ids: list[np.ndarray] = []
-    made = 0
+    made = TaskContext.get().partitionId()  # tasks begin with buckets of their own
 
     def flush() -> pa.RecordBatch:
         nonlocal made
@@ -215,7 +216,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     families = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     # a document whose copy repeats its id may be in a family without edges of its own
     members = cut(sets.where("doc_id is not null and n_shingles > 0").join(families, "doc_id", "left").withColumn("family", F.coalesce("family", "doc_id")))
-    reps = members.groupBy("family", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
+    # cut, so that the join below deals both sides anew and Spark can split a large group of copies
+    reps = cut(members.groupBy("family", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")))
     wide = reps.groupBy("family").agg(F.count("*").alias("total")).where("total > 1")
     # a little wider than the ratio of linked sizes, so that rounding can't put linked sets two bands apart
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) * 0.999).cast("long") if percent < 100 else F.col("n")
