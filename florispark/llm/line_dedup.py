@@ -138,16 +138,17 @@ def removed_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8) -> t
     lines = cut(docs.mapInArrow(lambda it: _lines(it, min_words, near_words), _LINE))
     place = F.struct("id", "th", "line")
     reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *(F.first(f"h{i}").alias(f"h{i}") for i in range(1, 5)))
-    again = reps.where("n > 1").select("k1", "k2", "first")
+    again = cut(reps.where("n > 1").select("k1", "k2", "first"))
     copies = lines.join(again, ["k1", "k2"]).where(place != F.col("first")).select("id", "th", "line", F.lit(False).alias("near"))
 
     halves = cut(reps.where("h1 is not null").select("first.*", F.array_compact(F.array("h1", "h2", "h3", "h4")).alias("h"))).select("id", "th", "line", F.explode("h").alias("h"))
-    shared = halves.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # cut, so that the join deals both sides anew and Spark can split a common key's rows
+    shared = cut(halves.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     some = halves.join(shared, "h").select("id", "th", "line").distinct().groupBy("id", "th").agg(F.collect_list("line").alias("wanted"))
     texts = cut(docs.join(some, ["id", "th"]).select("id", "th", "text", "wanted").mapInArrow(_fetch, "id long, th long, line int, words string"))
     v = texts.select("id", "th", "line", "words").mapInArrow(lambda it: _variants(it, near_words), _VARIANT)
     changed = v.where("kind >= 0")
-    first = changed.groupBy("v", "kind").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = cut(changed.groupBy("v", "kind").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"))
     pairs = changed.join(first, ["v", "kind"]).where(place != F.col("first")).select(place.alias("late"), F.col("first"))
     lines_ = v.where("kind = -1").select("v", place.alias("whole"))
     one = v.where("kind = -2").select("v", place.alias("longer")).join(lines_, "v").select(F.greatest("whole", "longer").alias("late"), F.least("whole", "longer").alias("first"))
