@@ -5,9 +5,12 @@ A-Z).  A line of min_words or more goes if an earlier line of the corpus (in ord
 line number) is equal, or, where both have near_words or more, is one word edit away: one word
 put in, taken out or changed.
 
-1. Equal lines are grouped by a 128-bit hash with partial sums; the first of each stands for all.
-2. Two lines one edit apart have an equal first or second half (of the shorter one's length).  Lines
-   whose half hashes occur once have no such partner and go no further.
+1. Equal lines meet by a 128-bit hash, in packets to buckets of hashes; the first of each stands for
+   all.  What is equal within a packet is settled there, so a line that is everywhere costs one row
+   for each packet.
+2. Two lines one edit apart have their first or their last h words in common, h being about half of
+   the shorter one's.  The lines of 1. meet again by the hashes of these; a line that shares none
+   has no such partner and goes no further.
 3. Of the rest, every variant with one word deleted is emitted as a hash.  Lines of one length that
    have a variant and its position in common differ in that word alone, so all but the first of
    such a group go; a variant that is a line itself pairs with it.  Both cost one row per member.
@@ -21,12 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, mix, powers, prefix_hash, span_hash, word_chunks
+from .common import Words, cut, mix, partitions, powers, prefix_hash, span_hash, word_chunks
 
-_LINE = "id long, th long, line int, words int, k1 long, k2 long, h1 long, h2 long, h3 long, h4 long"
+PACKET_LINES = 1 << 18
+_PACKET = "bucket int, kind int, id binary, th binary, line binary, k1 binary, k2 binary, keys binary"
 _AGAIN = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -48,27 +53,129 @@ def line_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return text[first], line[first], first, np.append(first[1:], len(line))
 
 
-def _lines(batches: Iterator[pa.RecordBatch], min_words: int, near_words: int) -> Iterator[pa.RecordBatch]:
+def half(n: np.ndarray) -> np.ndarray:
+    """Words at either end that are compared: half of n, in fours, so that lines of like lengths mostly agree on it."""
+    return np.where(n >= 8, n // 2 // 4 * 4, n // 2)
+
+
+NAMES = ("id", "th", "line", "k1", "k2")
+KINDS = (np.int64, np.int64, np.int32, np.uint64, np.uint64)
+
+
+def _lines(w: Words, min_words: int, near_words: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(text, [line, k1, k2], keys) of each line; four keys each, 0 where there is none."""
+    text, line, s, e = line_words(w)
+    keep = e - s >= min_words
+    text, line, s, e = text[keep], line[keep], s[keep], e[keep]
+    n = e - s
+    prefix, other = prefix_hash(w.hash), prefix_hash(mix(w.hash ^ _AGAIN))
+    keys = []
+    own, less = half(n), half(np.maximum(n - 1, 0))
+    for h, ok in ((own, n >= near_words), (less, (n > near_words) & (less != own))):
+        for a, b, side in ((s, s + h, 0), (e - h, e, 1)):
+            keys.append(np.where(ok, span_hash(prefix, a, b) ^ mix(h.astype(np.uint64) * np.uint64(2) + np.uint64(side)), np.uint64(0)))
+    return text, [line.astype(np.int32), span_hash(prefix, s, e), span_hash(other, s, e)], np.column_stack(keys)
+
+
+def _bucket_edges(sorted_keys: np.ndarray, buckets: int) -> np.ndarray:
+    return np.searchsorted(((sorted_keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1).astype(np.uint64))
+
+
+def first_lines(cols: list[np.ndarray], keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """Lines (columns as in NAMES) and their keys, the first of equal ones only; and id, th and line of the others."""
+    order = np.lexsort((cols[2], cols[1], cols[0], cols[4], cols[3]))
+    cols, keys = [c[order] for c in cols], keys[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (cols[3][1:] != cols[3][:-1]) | (cols[4][1:] != cols[4][:-1])
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    other = (cols[0] != cols[0][first]) | (cols[1] != cols[1][first]) | (cols[2] != cols[2][first])  # a row may be there twice
+    return [c[new] for c in cols], keys[new], [c[other] for c in cols[:3]]
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 6)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "kind", *NAMES, "keys"])
+
+
+COPY, LINE, KEY, SHARED = range(4)
+
+
+def _packets(batches: Iterator[pa.RecordBatch], min_words: int, near_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """kind LINE: lines to meet equal ones; COPY: those that an earlier line of the packet equals."""
+    held: list[list[np.ndarray]] = []
+    size, made = 0, TaskContext.get().partitionId()
+
+    def flush() -> pa.RecordBatch:
+        nonlocal size, made
+        *cols, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        cols, keys, copies = first_lines(cols, keys)
+        edge = _bucket_edges(cols[3], buckets)
+        rows = [(b, LINE, *(c[s:e].tobytes() for c in cols), np.ascontiguousarray(keys[s:e]).tobytes()) for b, (s, e) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if e > s]
+        if len(copies[0]):
+            rows.append((made % buckets, COPY, *(c.tobytes() for c in copies), b"", b"", b""))
+        size, made = 0, made + 1
+        return _rows(rows)
+
     for batch in batches:
+        ids, ths = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
         for w in word_chunks(batch.column(2), lower=True):
-            text, line, s, e = line_words(w)
-            keep = e - s >= min_words
-            text, line, s, e = text[keep], line[keep], s[keep], e[keep]
-            if not len(s):
-                continue
-            n = e - s
-            prefix, other = prefix_hash(w.hash), prefix_hash(mix(w.hash ^ _AGAIN))
-            halves = []
-            for size, ok in ((n, n >= near_words), (n - 1, n > near_words)):
-                h = np.maximum(size, 0) // 2
-                tag = mix(size.astype(np.uint64) * np.uint64(2))
-                for a, b, side in ((s, s + h, 0), (e - (size - h), e, 1)):
-                    halves.append(pa.array((span_hash(prefix, a, b) ^ mix(tag + np.uint64(side))).view(np.int64), mask=~ok))
-            at = pa.array(text + w.first)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(span_hash(prefix, s, e).view(np.int64)), pa.array(span_hash(other, s, e).view(np.int64)), *halves],
-                names=[x.split()[0] for x in _LINE.split(", ")],
-            )
+            text, cols, keys = _lines(w, min_words, near_words)
+            if len(text):
+                held.append([ids[text + w.first], ths[text + w.first], *cols, keys])
+                size += len(text)
+            if size >= PACKET_LINES:
+                yield flush()
+    if size:
+        yield flush()
+
+
+def _load(pdf: pd.DataFrame, names: tuple[str, ...], kinds: tuple) -> list[np.ndarray]:
+    return [np.concatenate([np.zeros(0, k), *(np.frombuffer(x, k) for x in pdf[n])]) for n, k in zip(names, kinds, strict=True)]
+
+
+def _meet_equal(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Of one bucket of lines: COPY rows, and by bucket of keys KEY rows of the first lines.
+
+    A key that lines of this bucket share needs no partner from another: all its lines but one are
+    SHARED at once, and that one goes on with the key's mark in k1.
+    """
+    cols, keys, copies = first_lines(_load(pdf[pdf["kind"] == LINE], NAMES, KINDS), np.concatenate([np.zeros((0, 4), np.uint64), *(np.frombuffer(x, np.uint64).reshape(-1, 4) for x in pdf.loc[pdf["kind"] == LINE, "keys"])]))
+    rows = [tuple(r) for r in pdf[pdf["kind"] == COPY].itertuples(index=False)]
+    if len(copies[0]):
+        rows.append((0, COPY, *(c.tobytes() for c in copies), b"", b"", b""))
+    at, _ = np.nonzero(keys)
+    key = keys[keys != 0]
+    order = np.argsort(key, kind="stable")
+    key, at = key[order], at[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    many = np.append(~new[1:], False) if len(key) else new
+    rest = np.unique(at[~new])
+    if len(rest):
+        rows.append((0, SHARED, *(c[rest].tobytes() for c in cols[:3]), b"", b"", b""))
+    key, at, many = key[new], at[new], many[new]
+    edge = _bucket_edges(key, buckets)
+    for b, (s, e) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+        if e > s:
+            rows.append((b, KEY, *(c[at[s:e]].tobytes() for c in cols[:3]), many[s:e].astype(np.uint8).tobytes(), b"", key[s:e].tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "kind", *NAMES, "keys"])
+
+
+def _meet_keys(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Lines that share a key with another one."""
+    ids, ths, lines, many, key = _load(pdf, ("id", "th", "line", "k1", "keys"), (*KINDS[:3], np.uint8, np.uint64))
+    _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+    marked = np.zeros(len(count), dtype=bool)
+    np.logical_or.at(marked, inverse, many > 0)
+    ok = (count[inverse] > 1) | marked[inverse]
+    return pd.DataFrame({"id": ids[ok], "th": ths[ok], "line": lines[ok]})
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row[n], k)) for n, k in zip(NAMES[:3], KINDS[:3], strict=True)], names=list(NAMES[:3]))
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,18 +240,16 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[ok, ["id", "th", "line"]]
 
 
-def removed_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Of named() documents: all their lines, and those that go, as (id, th, line, near)."""
-    lines = cut(docs.mapInArrow(lambda it: _lines(it, min_words, near_words), _LINE))
-    place = F.struct("id", "th", "line")
-    reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *(F.first(f"h{i}").alias(f"h{i}") for i in range(1, 5)))
-    again = cut(reps.where("n > 1").select("k1", "k2", "first"))
-    copies = lines.join(again, ["k1", "k2"]).where(place != F.col("first")).select("id", "th", "line", F.lit(False).alias("near"))
-
-    halves = cut(reps.where("h1 is not null").select("first.*", F.array_compact(F.array("h1", "h2", "h3", "h4")).alias("h"))).select("id", "th", "line", F.explode("h").alias("h"))
-    # cut, so that the join deals both sides anew and Spark can split a common key's rows
-    shared = cut(halves.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    some = halves.join(shared, "h").select("id", "th", "line").distinct().groupBy("id", "th").agg(F.collect_list("line").alias("wanted"))
+def removed_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8) -> DataFrame:
+    """Of named() documents, the lines that go, as (id, th, line, near)."""
+    place, buckets = F.struct("id", "th", "line"), partitions(docs)
+    met = docs.mapInArrow(lambda it: _packets(it, min_words, near_words, buckets), _PACKET).groupBy("bucket").applyInPandas(lambda pdf: _meet_equal(pdf, buckets), _PACKET)
+    met = cut(met)
+    three = "id long, th long, line int"
+    packed = lambda kind: met.where(F.col("kind") == kind).select(*NAMES[:3]).mapInArrow(_unpack, three)
+    copies = packed(COPY).withColumn("near", F.lit(False))
+    some = packed(SHARED).union(met.where(F.col("kind") == KEY).groupBy("bucket").applyInPandas(_meet_keys, three))
+    some = some.groupBy("id", "th").agg(F.collect_set("line").alias("wanted"))
     texts = cut(docs.join(some, ["id", "th"]).select("id", "th", "text", "wanted").mapInArrow(_fetch, "id long, th long, line int, words string"))
     v = texts.select("id", "th", "line", "words").mapInArrow(lambda it: _variants(it, near_words), _VARIANT)
     changed = v.where("kind >= 0")
@@ -155,27 +260,20 @@ def removed_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8) -> t
     pairs = pairs.union(one).where("late <> first").distinct()
     named_text = texts.select(place.alias("first"), F.col("words").alias("first_words"))
     near = pairs.join(texts.select(place.alias("late"), "words"), "late").join(named_text, "first").select("late.*", "words", "first_words").mapInPandas(_verify, "id long, th long, line int").distinct()
-    return lines, copies.union(near.select("id", "th", "line", F.lit(True).alias("near")))
+    return copies.union(near.select("id", "th", "line", F.lit(True).alias("near")))
 
 
 def _per_document(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    lines, gone = removed_lines(docs, min_words, near_words)
-    # a copy of a line that goes for a near one goes as well, being later
-    return (
-        lines.select("id", "th", "line", F.lit(None).cast("boolean").alias("near"))
-        .union(gone)
-        .groupBy("id", "th", "line")
-        .agg(F.bool_or("near").alias("near"))
-        .groupBy("id", "th")
-        .agg(F.count("*").alias("n_lines"), F.collect_list(F.when(F.col("near").isNotNull(), F.col("line"))).alias("gone"), F.count_if("near").alias("n_near"))
-    )
+    """(id, th, gone, n_near) of documents that lose lines; a copy of a line that goes for a near one goes as well, being later."""
+    gone = removed_lines(docs, min_words, near_words).groupBy("id", "th", "line").agg(F.bool_and("near").alias("near"))
+    return gone.groupBy("id", "th").agg(F.collect_list("line").alias("gone"), F.count_if("near").alias("n_near"))
 
 
 def line_duplicates(docs: DataFrame, min_words: int = 3, near_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_removed, n_near, removed) of each row.
+    """(doc_id, n_removed, n_near, removed) of each row.
 
-    n_lines are lines of min_words or more; removed are the numbers (from 0, in order) of those
-    with an earlier equal or near line, as one string; n_near of them have a near line only.  Null
+    removed are the numbers (from 0, in order) of lines with an earlier equal or near line, as one
+    string; n_near of them have a near line only.  Null
     and empty texts have no lines.  Rows alike in id and text are one document, and each of them
     has a result; rows without id come first in order.  Other columns are ignored.
     """
@@ -183,7 +281,7 @@ def line_duplicates(docs: DataFrame, min_words: int = 3, near_words: int = 8, id
     found = _per_document(docs, min_words, near_words)
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
-    return docs.select("id", "th").join(found, ["id", "th"], "left").select(F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), zero(F.col("n_lines")).alias("n_lines"), zero(F.size(gone)).alias("n_removed"), zero(F.col("n_near")).alias("n_near"), F.array_join(F.sort_array(gone), ",").alias("removed"))
+    return docs.select("id", "th").join(found, ["id", "th"], "left").select(F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), zero(F.size(gone)).alias("n_removed"), zero(F.col("n_near")).alias("n_near"), F.array_join(F.sort_array(gone), ",").alias("removed"))
 
 
 def remove_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,7 +314,7 @@ WITH l AS (
 ), g AS (
   SELECT e.doc_id, e.line, e.place <> e.first_place AS copy, near.place IS NOT NULL AS near FROM e LEFT JOIN near ON e.place = near.place
 )
-SELECT d.doc_id, count(g.line) AS n_lines, count(*) FILTER (copy OR near) AS n_removed, count(*) FILTER (near AND NOT copy) AS n_near,
+SELECT d.doc_id, count(*) FILTER (copy OR near) AS n_removed, count(*) FILTER (near AND NOT copy) AS n_near,
        coalesce(string_agg(CAST(g.line AS VARCHAR), ',' ORDER BY g.line) FILTER (copy OR near), '') AS removed
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id GROUP BY d.doc_id
 """

@@ -56,7 +56,7 @@ def test_stages_and_run(spark, folder, tmp_path):
     kept = {r.doc_id for r in good}
     assert len(bad & kept) + len({r[0] for r in rows} - bad - kept) < 0.05 * len(rows)  # a few hundred labels only
 
-    gone = {k: s for k, _, _, _, s in brute_lines([(r.doc_id, r.text) for r in good])}
+    gone = {k: s for k, _, _, s in brute_lines([(r.doc_id, r.text) for r in good])}
     want = []
     for r in good:
         cut = {int(x) for x in gone[r.doc_id].split(",") if x}
