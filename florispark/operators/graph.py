@@ -39,7 +39,7 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", mo
 def descendants(edges: DataFrame, root, child: str = "child", parent: str = "parent", most_rounds: int = 200) -> DataFrame:
     """(node): what is below one root, level by level over the frontier only."""
     spark = edges.sparkSession
-    e = edges.select(F.col(parent).alias("p"), F.col(child).alias("c"))
+    e = edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).where("p is not null and c is not null")
     seen = front = spark.range(1).select(F.lit(root).cast(dict(e.dtypes)["p"]).alias("node"))
     seen = seen.where("false")
     for _ in range(most_rounds):
