@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import shingles, word_chunks
 
 K = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
 _OUT = "doc_id long, item_id long, n_shingles long, n_found long"
 
 

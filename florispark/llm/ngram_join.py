@@ -238,3 +238,21 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     joined = components(links).select(F.col("node").alias("rep"), F.col("component"))
     named = members.select("doc_id", "family", "s1", "s2").join(reps.drop("n"), ["family", "s1", "s2"]).join(joined, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     return sets.select("doc_id", "n_shingles").join(named, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.node
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.root) AS component_id
+FROM documents d JOIN r ON r.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n
+"""

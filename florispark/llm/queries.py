@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}
+    return {"op3_ngram_join": ngram_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}
