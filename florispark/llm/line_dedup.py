@@ -289,12 +289,15 @@ def remove_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8, id_co
 
     A document none of whose lines go keeps its text as it is, empty or null.
     """
-    source = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    found = _per_document(named(docs, id_col, text_col), min_words, near_words).where(F.size("gone") > 0).select(F.col("id").alias("_id"), F.col("th").alias("_th"), "gone")
-    out = source.join(found, ["_id", "_th"], "left")
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(F.split(text_col, "\n")) - 1), F.col("gone")), lambda i: F.get(F.split(text_col, "\n"), i)), "\n")
-    out = out.withColumn(text_col, F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(kept))
-    return out.where(F.col("gone").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+    # names that no table has
+    key, hash_, gone = "__line_dedup_id", "__line_dedup_th", "__line_dedup_gone"
+    source = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn(hash_, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    found = _per_document(named(docs, id_col, text_col), min_words, near_words).select(F.col("id").alias(key), F.col("th").alias(hash_), F.col("gone").alias(gone))
+    out = source.join(found, [key, hash_], "left")
+    lines = F.split(text_col, "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
+    out = out.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(kept))
+    return out.where(F.col(gone).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
 
 
 ORACLE = r"""
