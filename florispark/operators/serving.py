@@ -83,3 +83,11 @@ def localized(language: str, fallback: Sequence[str]) -> Column:
 
 def report_class(restriction: Column, species: Column) -> Column:
     return F.when(F.startswith(restriction, F.lit("II/")), "prohibited").when(restriction.isNotNull(), "restricted").when(species.isNotNull(), "botanical").otherwise("other")
+
+
+def answer(hits: DataFrame, requests: DataFrame, key: str, message: str = "not found") -> DataFrame:
+    """(key, json): each request's hits as one document, in order, or an error for a request without any."""
+    fields = [c for c in hits.columns if c != key]
+    found = hits.groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("_json"))
+    error = F.to_json(F.struct(F.concat(F.lit(f"{message}: "), F.col(key).cast("string")).alias("error")))
+    return requests.select(key).distinct().join(found, key, "left").select(key, F.coalesce("_json", error).alias("json"))

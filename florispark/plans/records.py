@@ -291,3 +291,33 @@ def acceptance(spark, sf):
             ("no loss", one(i.where("is_bio").unionAll(i.where("not is_bio"))).crossJoin(i.agg(F.count("*").alias("n"))), o == F.col("n")),
         ]
     )
+
+
+@query(
+    "rec_schema_normalise",
+    "SELECT CAST(p_partkey AS VARCHAR) AS ref_no, nullif(trim(CASE WHEN p_size % 5 = 0 THEN '  ' ELSE p_name END), '') AS name, array_to_string(list_filter(list_transform(string_split(replace(p_name, ' ', ' | '), '|'), lambda x: trim(x)), lambda x: x <> ''), ',') AS functions, CASE WHEN p_size % 4 = 0 THEN DATE '2020-02-03' END AS updated FROM part",
+)
+def schema_normalise(spark, sf):
+    from florispark.sources.readers import normalise_inventory
+
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 5 == 0, "  ").otherwise(F.col("p_name")).alias("inci"), F.replace("p_name", F.lit(" "), F.lit(" | ")).alias("roles"), F.when(F.col("p_size") % 4 == 0, "03/02/2020").otherwise("").alias("day"))
+    got = normalise_inventory(p, {"id": "ref_no", "inci": "name", "roles": "functions", "day": "updated"}, lists=["functions"], dates=["updated"])
+    return got.withColumn("functions", F.array_join("functions", ","))
+
+
+REGULATION = "reg AS (SELECT annex, entry, substance, row_number() OVER (PARTITION BY annex, entry ORDER BY substance) AS entry_seq FROM (SELECT DISTINCT split_part(restriction, '/', 1) AS annex, split_part(restriction, '/', 2) AS entry, name AS substance FROM ing WHERE restriction IS NOT NULL AND size < 40))"
+
+
+@query(
+    "view_extract_regulation",
+    f"WITH {REGULATION} SELECT i.ref_no, i.name, split_part(i.restriction, '/', 1) AS annex, split_part(i.restriction, '/', 2) AS entry, reg.substance FROM ing i LEFT JOIN reg ON reg.annex = split_part(i.restriction, '/', 1) AND reg.entry = split_part(i.restriction, '/', 2) AND reg.entry_seq = 1 WHERE i.is_bio OR i.restriction IS NOT NULL",
+)
+def extract_regulation(spark, sf):
+    """Plant-derived or restricted ingredients with their regulation's first entry: numbering within a key that isn't unique, then a join on it."""
+    from pyspark.sql import Window
+
+    part = lambda n: F.split_part("restriction", F.lit("/"), F.lit(n))
+    i = ingredient(spark, sf).withColumn("annex", part(1)).withColumn("entry", part(2))
+    reg = i.where("restriction is not null and size < 40").select("annex", "entry", F.col("name").alias("substance")).distinct()
+    reg = reg.withColumn("entry_seq", F.row_number().over(Window.partitionBy("annex", "entry").orderBy("substance"))).where("entry_seq = 1").drop("entry_seq")
+    return i.where("is_bio or restriction is not null").join(reg, ["annex", "entry"], "left").select("ref_no", "name", "annex", "entry", "substance")

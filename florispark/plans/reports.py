@@ -152,3 +152,7 @@ def median(spark, sf):
 @query("agg_most_common", "SELECT fn, count(*) AS n FROM (SELECT unnest(functions) AS fn FROM ing ) GROUP BY fn ORDER BY n DESC, fn LIMIT 7")
 def most_common(spark, sf):
     return ingredient(spark, sf).select(F.explode("functions").alias("fn")).groupBy("fn").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "fn").limit(7)
+
+
+same("rpt_annex_breakdown", "SELECT split_part(restriction, '/', 1) AS annex, count(*) AS n, count(DISTINCT family) AS families, count(*) FILTER (WHERE is_bio) AS plants FROM ing WHERE restriction IS NOT NULL GROUP BY split_part(restriction, '/', 1)")
+same("rpt_family_normalisation", "SELECT before_names, after_names, before_names - after_names AS merged FROM (SELECT count(DISTINCT family) AS before_names, count(DISTINCT CASE WHEN family IN ('Brand#1', 'Brand#10', 'Brand#11') THEN 'Brand#1' ELSE family END) AS after_names FROM ing) AS s")

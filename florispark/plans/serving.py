@@ -142,3 +142,13 @@ def roles(spark, sf):
 
 
 same("api_report_class", "SELECT CASE WHEN restriction LIKE 'II/%' THEN 'prohibited' WHEN restriction IS NOT NULL THEN 'restricted' WHEN is_bio THEN 'botanical' ELSE 'other' END AS class, count(*) AS n FROM ing GROUP BY CASE WHEN restriction LIKE 'II/%' THEN 'prohibited' WHEN restriction IS NOT NULL THEN 'restricted' WHEN is_bio THEN 'botanical' ELSE 'other' END")
+
+
+@query(
+    "api_answer_or_error",
+    """WITH q(family) AS (VALUES ('Brand#3'), ('Brand#99')), h AS (SELECT family, '[' || string_agg('{"ref_no":' || ref_no || ',"size":' || size || '}', ',' ORDER BY ref_no) || ']' AS j FROM ing WHERE size = 3 GROUP BY family)
+SELECT q.family, coalesce(h.j, '{"error":"not found: ' || q.family || '"}') AS json FROM q LEFT JOIN h ON h.family = q.family""",
+)
+def answer_or_error(spark, sf):
+    q = spark.createDataFrame([("Brand#3",), ("Brand#99",)], "family string")
+    return S.answer(ingredient(spark, sf).where("size = 3").select("family", "ref_no", "size"), q, "family")

@@ -139,3 +139,24 @@ def enrich(keys: DataFrame, cache: DataFrame, key: str, fetch: Callable[[DataFra
     """The cache with what fetch() returns for keys that it lacks; misses are rows too and aren't asked again."""
     new = keys.select(key).distinct().join(cache.select(key), key, "left_anti")
     return cache.unionByName(fetch(new))
+
+
+def present(spark: SparkSession, names: Sequence[str]) -> dict[str, bool]:
+    """Which tables or views the catalog has."""
+    return {n: spark.catalog.tableExists(n) for n in names}
+
+
+def normalise_inventory(df: DataFrame, columns: dict[str, str], lists: Sequence[str] = (), dates: Sequence[str] = (), keep_blank: Sequence[str] = ()) -> DataFrame:
+    """A newer inventory in the older one's columns: renamed, blanks null but in keep_blank, lists split at '|', dates parsed."""
+    from florispark.functions.text import split_list, to_date_dmy
+
+    out = []
+    for new, old in columns.items():
+        c = F.col(new).cast("string")
+        if old in lists:
+            out.append(split_list(F.coalesce(c, F.lit("")), r"\|").alias(old))
+        elif old in dates:
+            out.append(to_date_dmy(c).alias(old))
+        else:
+            out.append((F.coalesce(strip_ws(c), F.lit("")) if old in keep_blank else blank_to_null(c)).alias(old))
+    return df.select(*out)
