@@ -133,7 +133,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         .where("n > 1")
         .drop("n")
     )
-    rows = rows.join(first, "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
+    # cut, so that the join deals both sides anew and Spark can split the pages of a common payload
+    rows = rows.join(cut(first), "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
     out = rows.select("page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to").mapInArrow(lambda it: _write(it, folder, frame_bytes, bundle_bytes, date), MANIFEST)
     return cut(out)
 
