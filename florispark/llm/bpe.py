@@ -30,7 +30,7 @@ from .common import from_planes, planes
 from .pretoken import _piece, encoder, parts
 
 LEAF_CHARS = 16_384
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 _LEAF = "uid string, part int, doc_id long, leaf int, special boolean, text string, ids binary, first binary"
 
 
