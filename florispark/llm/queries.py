@@ -40,7 +40,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), length=400, keep_first=False, digests=True)
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), length=400, keep_first=False, digests=True, report_length=240)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_join": ngram_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}
+    return {"op3_ngram_join": ngram_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}

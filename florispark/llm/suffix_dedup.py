@@ -13,10 +13,12 @@ gives one row for each run of such windows, a few for every thousand bytes:
    computes the longest-previous-factor array: for each window, previous and next smaller
    positions in suffix order give the longest match that begins earlier.  The same array over
    reversed positions gives the longest match that begins later.
-4. A seed with very many contexts isn't given to one task: its windows are counted by hash, with
-   partial sums (hot_contexts is where that begins; the result is the same).
+4. A seed with very many contexts isn't given to one task: its windows are counted by a 128-bit
+   hash, with partial sums (hot_contexts is where that begins; the result is the same).
 
-Repeated windows become byte spans, merged by document.
+Repeated windows become byte spans, merged by document.  With report_length, windows are of that
+many bytes and contexts reach on to `length`, so that one suffix order tells strings of either
+length: the longer ones are removed, what the shorter ones cover is only counted.
 """
 
 from __future__ import annotations
@@ -30,15 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, cut, prefix_hash, span_hash, text_bytes
+from .common import CHUNK_BYTES, cut, mix, prefix_hash, span_hash, stored, text_bytes
 
 GRAM = 48
+HOT_CONTEXTS = 4096
 SEGMENT = 1 << 22
-_SEED = "id long, th long, fp long, c long, p int, lo int, hi int"
+_SEED = "id long, th long, fp long, c long, lo int, hi int, stop int"
 
 
-def seeds_of(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text, fp, context hash, p, lo, hi) of each run of windows of texts in data; positions are those in their texts."""
+def seeds_of(data: np.ndarray, ends: np.ndarray, length: int, gram: int, reach: int) -> tuple[np.ndarray, ...]:
+    """(text, fp, context hash, lo, hi, stop) of each run of windows of texts in data; positions are those in their texts.
+
+    A context goes from its first window to `reach` bytes from the last one's start, or to the end of the text.
+    """
     out: list[tuple[np.ndarray, ...]] = []
     width = length - gram + 1
     prefix = prefix_hash(data)
@@ -63,34 +69,36 @@ def seeds_of(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tupl
         first[1:] = (p[1:] != p[:-1]) | (text[1:] != text[:-1])
         last = np.append(first[1:], True)
         lo, hi, p, text = x[first], x[last], p[first], text[first]
+        stop = np.minimum(hi + reach, ends[text + 1])
+        c = span_hash(prefix, lo, stop) ^ mix(((p - lo) << 32 | (hi - lo)).astype(np.uint64))
         base = ends[text]
-        out.append((text, h[p], span_hash(prefix, lo, hi + length) ^ (p - lo).astype(np.uint64), p - base, lo - base, hi - base))
+        out.append((text, h[p], c, lo - base, hi - base, stop - base))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.zeros(0, np.int64) for _ in range(6))
 
 
-def _seeds(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+def _seeds(batches: Iterator[pa.RecordBatch], length: int, gram: int, reach: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, ends = text_bytes(batch.column(2))
         n, i = len(ends) - 1, 0
         while i < n:
             j = min(n, max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_BYTES, "right")) - 1))
-            text, fp, c, p, lo, hi = seeds_of(raw[ends[i] : ends[j]], ends[i : j + 1] - ends[i], length, gram)
+            text, fp, c, *places = seeds_of(raw[ends[i] : ends[j]], ends[i : j + 1] - ends[i], length, gram, reach)
             if len(text):
                 at = pa.array(text + i)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp.view(np.int64)), pa.array(c.view(np.int64)), *(pa.array(v.astype(np.int32)) for v in (p, lo, hi))], names=["id", "th", "fp", "c", "p", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp.view(np.int64)), pa.array(c.view(np.int64)), *(pa.array(v.astype(np.int32)) for v in places)], names=["id", "th", "fp", "c", "lo", "hi", "stop"])
             i = j
 
 
 _CONTEXT = "id long, th long, fp long, c long, m long, lo int, hi int, context binary"
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes under the runs of a document, one row for each run."""
     for batch in batches:
         raw, ends = text_bytes(batch.column(2))
         for i, runs in enumerate(batch.column(3).to_pylist()):
             data = raw[ends[i] : ends[i + 1]].tobytes()
-            rows = [(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), r["fp"], r["c"], r["m"], r["lo"], r["hi"], data[r["lo"] : r["hi"] + length]) for r in runs]
+            rows = [(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), r["fp"], r["c"], r["m"], r["lo"], r["hi"], data[r["lo"] : r["stop"]]) for r in runs]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["id", "th", "fp", "c", "m", "lo", "hi", "context"])
 
 
@@ -100,29 +108,34 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
 def dense(keys: np.ndarray) -> np.ndarray:
     order = np.argsort(keys)
     s = keys[order]
-    rank = np.empty(len(keys), dtype=np.uint64)
-    rank[order] = np.cumsum(np.concatenate(([0], s[1:] != s[:-1]))).astype(np.uint64)
+    rank = np.empty(len(keys), dtype=np.uint32)
+    rank[order] = np.cumsum(np.concatenate(([0], s[1:] != s[:-1])))
     return rank
 
 
-def suffix_order(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes that begin at `at`, compared on `length` bytes, and the common prefix of neighbours.
-
-    Prefix doubling from 8 bytes on.  Equal suffixes are in order of position.  lcp[i] is that of
-    the i-th and the one before it: exact where it is `length`, else rounded down to 8 bytes.
-    """
-    padded = np.concatenate((data, np.zeros(length + 8, dtype=np.uint8))).astype(np.uint64)
-    w = padded
+def prefix_ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """By prefix doubling: (size, rank of the `size` bytes from each position) for sizes of 8 bytes up to `length`."""
+    w = np.concatenate((data, np.zeros(length + 8, dtype=np.uint8))).astype(np.uint64)
     for shift in (8, 16, 32):
         step = shift // 8
         w = (w[:-step] << np.uint64(shift)) | w[step:]
-    rank, levels, size = dense(w[: len(data) + length - 8]), [], 8
-    levels.append((size, rank))
+    levels, size = [(8, dense(w[: len(data) + length - 8]))], 8
     while size * 2 <= length:
-        two = (rank[:-size] << np.uint64(32)) | rank[size:]
-        rank, size = dense(two), size * 2
-        levels.append((size, rank))
-    key = (rank[at] << np.uint64(32)) | rank[at + length - size]
+        rank = levels[-1][1].astype(np.uint64)
+        levels.append((size * 2, dense((rank[:-size] << np.uint64(32)) | rank[size:])))
+        size *= 2
+    return levels
+
+
+def suffix_order(levels: list[tuple[int, np.ndarray]], at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes that begin at `at`, compared on `length` bytes, and the common prefix of neighbours.
+
+    Equal suffixes are in order of position.  lcp[i] is that of the i-th and the one before it:
+    exact where it is `length`, else rounded down to 8 bytes.
+    """
+    levels = [x for x in levels if x[0] <= length]
+    size, rank = levels[-1]
+    key = (rank[at].astype(np.uint64) << np.uint64(32)) | rank[at + length - size]
     order = np.lexsort((at, key))
     a, b = at[order[:-1]], at[order[1:]]
     lcp = np.zeros(len(at), dtype=np.int64)
@@ -161,55 +174,61 @@ def previous_factors(position: np.ndarray, lcp: np.ndarray, least: int) -> np.nd
     return best
 
 
-def repeated_windows(contexts: list[bytes], starts: np.ndarray, length: int, both: bool) -> np.ndarray:
-    """Which windows of the contexts (starts[i] in context i) have an earlier match, or with both=True any other."""
+def repeated_windows(contexts: list[bytes], starts: np.ndarray, lengths: tuple[int, ...], both: bool) -> list[np.ndarray]:
+    """For each of the lengths, which are ascending: which windows of the contexts (starts[i] in context i) have an earlier match of that length, or with both=True any other."""
     data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     sizes = np.array([len(x) for x in contexts])
-    begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    at = np.repeat(begin - np.concatenate(([0], np.cumsum(starts)))[:-1], starts) + np.arange(starts.sum())
-    order, lcp = suffix_order(data, at, length)
-    position = np.arange(len(at))[order]
-    hit = previous_factors(position, lcp, length) >= length
-    if both:
-        hit |= previous_factors(-position, lcp, length) >= length
-    out = np.zeros(len(at), dtype=bool)
-    out[order] = hit
+    stop = np.cumsum(sizes)
+    at = np.repeat(stop - sizes - (np.cumsum(starts) - starts), starts) + np.arange(starts.sum())
+    left = np.repeat(stop, starts) - at
+    levels = prefix_ranks(data, lengths[-1])
+    out, some = [], np.arange(len(at))  # a longer match is one of the shorter length
+    for length in lengths:
+        some = some[left[some] >= length]
+        order, lcp = suffix_order(levels, at[some], length)
+        hit = previous_factors(order, lcp, length) >= length
+        if both:
+            hit |= previous_factors(-order, lcp, length) >= length
+        some = np.sort(some[order[hit]])
+        out.append(np.zeros(len(at), dtype=bool))
+        out[-1][some] = True
     return out
 
 
 BATCH_BYTES = 1 << 20
-_SPAN = "id long, th long, s int, e int"
+_SPAN = "id long, th long, length int, s int, e int"
 
 
-def _evaluate(batches: Iterator[pd.DataFrame], length: int, both: bool) -> Iterator[pd.DataFrame]:
+def _evaluate(batches: Iterator[pd.DataFrame], lengths: tuple[int, ...], both: bool) -> Iterator[pd.DataFrame]:
     """Rows are sorted by fp, id, th and lo; each pass takes whole seeds."""
     rest: list[pd.DataFrame] = []
 
-    def spans(pdf: pd.DataFrame) -> pd.DataFrame:
+    def spans(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         starts = (pdf["hi"] - pdf["lo"] + 1).to_numpy().astype(np.int64)
-        hit = repeated_windows(pdf["context"].tolist(), starts, length, both)
         owner = np.repeat(np.arange(len(pdf)), starts)
-        x = np.arange(len(hit)) - np.repeat(np.concatenate(([0], np.cumsum(starts)))[:-1], starts)
-        if both:
-            hit |= (pdf["m"].to_numpy() > 1)[owner]
-        edge = np.flatnonzero(hit)
-        if not len(edge):
-            return pd.DataFrame({"id": [], "th": [], "s": [], "e": []})
-        new = np.ones(len(edge), dtype=bool)
-        new[1:] = (np.diff(edge) != 1) | (owner[edge[1:]] != owner[edge[:-1]])
-        a, b = edge[new], edge[np.append(new[1:], True)]
-        lo = pdf["lo"].to_numpy()[owner[a]]
-        return pd.DataFrame({"id": pdf["id"].to_numpy()[owner[a]], "th": pdf["th"].to_numpy()[owner[a]], "s": lo + x[a], "e": lo + x[b] + length})
+        x = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
+        ids, ths, los, copied, sizes = (pdf[c].to_numpy() for c in ("id", "th", "lo", "m", "size"))
+        for length, hit in zip(lengths, repeated_windows(pdf["context"].tolist(), starts, lengths, both), strict=True):
+            if both:
+                hit |= (copied > 1)[owner] & (x + length <= sizes[owner])
+            edge = np.flatnonzero(hit)
+            if not len(edge):
+                continue
+            new = np.ones(len(edge), dtype=bool)
+            new[1:] = (np.diff(edge) != 1) | (owner[edge[1:]] != owner[edge[:-1]])
+            a, b = edge[new], edge[np.append(new[1:], True)]
+            of = owner[a]
+            yield pd.DataFrame({"id": ids[of], "th": ths[of], "length": np.int32(length), "s": los[of] + x[a], "e": los[of] + x[b] + length})
 
     def whole(final: bool) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(rest, ignore_index=True)
         rest.clear()
         fp = pdf["fp"].to_numpy()
         ends = np.append(np.flatnonzero(fp[1:] != fp[:-1]) + 1, len(fp) if final else [])
-        size, begin = np.concatenate(([0], np.cumsum(pdf["context"].str.len().to_numpy()))), 0
+        size, begin = np.concatenate(([0], np.cumsum(pdf["size"].to_numpy()))), 0
         for k, end in enumerate(ends.astype(int)):
             if k + 1 == len(ends) or size[int(ends[k + 1])] - size[begin] > BATCH_BYTES:
-                yield spans(pdf.iloc[begin:end])
+                yield from spans(pdf.iloc[begin:end])
                 begin = end
         if begin < len(pdf):
             rest.append(pdf.iloc[begin:])
@@ -217,8 +236,9 @@ def _evaluate(batches: Iterator[pd.DataFrame], length: int, both: bool) -> Itera
     held = 0
     for pdf in batches:
         if len(pdf):
+            pdf = pdf.assign(size=pdf["context"].str.len())
             rest.append(pdf)
-            held += int(pdf["context"].str.len().sum())
+            held += int(pdf["size"].sum())
             if held >= BATCH_BYTES:
                 yield from whole(False)
                 held = 0
@@ -226,47 +246,58 @@ def _evaluate(batches: Iterator[pd.DataFrame], length: int, both: bool) -> Itera
         yield from whole(True)
 
 
-def _window_hashes(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+_AGAIN = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _window_hashes(batches: Iterator[pd.DataFrame], lengths: tuple[int, ...]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for r in pdf.itertuples(index=False):
             data = np.frombuffer(r.context, dtype=np.uint8)
-            x = np.arange(r.hi - r.lo + 1)
-            yield pd.DataFrame({"id": r.id, "th": r.th, "fp": r.fp, "m": r.m, "x": x + r.lo, "h": span_hash(prefix_hash(data), x, x + length).view(np.int64)}).astype({"x": "int32"})
+            one, two = prefix_hash(data), prefix_hash(mix(data.astype(np.uint64) ^ _AGAIN))
+            for length in lengths:
+                x = np.arange(min(r.hi - r.lo + 1, len(data) - length + 1))
+                if len(x):
+                    yield pd.DataFrame({"id": r.id, "th": r.th, "fp": r.fp, "m": r.m, "length": np.int32(length), "x": (x + r.lo).astype("int32"), "h": span_hash(one, x, x + length).view(np.int64), "g": span_hash(two, x, x + length).view(np.int64)})
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, keep_first: bool = True, hot_contexts: int = 20_000) -> DataFrame:
-    """(id, th, spans): byte spans (s, e) covered by repeated strings; docs is _named().
+def repeated_spans(docs: DataFrame, length: int = 400, keep_first: bool = True, hot_contexts: int = HOT_CONTEXTS, report_length: int | None = None) -> DataFrame:
+    """(id, th, spans, reported): byte spans (s, e) covered by repeated strings of `length` and of report_length bytes; docs is _named().
 
     keep_first: a string is repeated where it occurs earlier, in order of id, text hash and
     position; otherwise wherever it occurs anywhere else.
     """
-    gram = min(GRAM, length)
-    seeds = docs.mapInArrow(lambda it: _seeds(it, length, gram), _SEED)
+    short = min(report_length or length, length)
+    lengths = tuple(sorted({short, length}))
+    gram = min(GRAM, short)
+    seeds = stored(docs.mapInArrow(lambda it: _seeds(it, short, gram, length), _SEED), "seeds")
     # cut, so that the join deals both sides anew and Spark can split a common seed's rows
     multi = cut(seeds.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
-    seeds = cut(seeds.join(multi, "fp"))
-    place = F.struct("id", "th", "lo", "hi")
+    seeds = stored(seeds.join(multi, "fp"), "seeds-again")
+    place = F.struct("id", "th", "lo", "hi", "stop")
     kinds = cut(seeds.groupBy("fp", "c").agg(F.count("*").alias("m"), F.min(place).alias("rep")))
     groups = kinds.groupBy("fp").agg(F.count("*").alias("kinds"), F.min("m").alias("least"))
     groups = groups.where("kinds > 1" if keep_first else "kinds > 1 and least = 1")
     reps = kinds.join(groups, "fp").select("rep.*", "fp", "c", "m", "kinds")
-    texts = reps.groupBy("id", "th").agg(F.collect_list(F.struct("fp", "c", "m", "lo", "hi")).alias("runs"))
-    contexts = docs.join(texts, ["id", "th"]).select("id", "th", "text", "runs").mapInArrow(lambda it: _contexts(it, length), _CONTEXT)
+    texts = reps.groupBy("id", "th").agg(F.collect_list(F.struct("fp", "c", "m", "lo", "hi", "stop")).alias("runs"))
+    contexts = docs.join(texts, ["id", "th"]).select("id", "th", "text", "runs").mapInArrow(_contexts, _CONTEXT)
     both = not keep_first
     hot = cut(groups.where(F.col("kinds") > hot_contexts).select("fp"))
     cold = contexts.join(hot, "fp", "left_anti") if (any_hot := not hot.isEmpty()) else contexts
-    found = cold.repartition("fp").sortWithinPartitions("fp", "id", "th", "lo").mapInPandas(lambda it: _evaluate(it, length, both), _SPAN)
+    found = cold.repartition("fp").sortWithinPartitions("fp", "id", "th", "lo").mapInPandas(lambda it: _evaluate(it, lengths, both), _SPAN)
     if any_hot:
-        windows = cut(contexts.join(hot, "fp").mapInPandas(lambda it: _window_hashes(it, length), "id long, th long, fp long, m long, x int, h long"))
-        counts = windows.groupBy("fp", "h").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "x")).alias("first")).where("n > 1")
-        again = windows.join(counts, ["fp", "h"], "left").where(F.col("n").isNotNull() & (F.struct("id", "th", "x") != F.col("first")) if keep_first else F.col("n").isNotNull() | (F.col("m") > 1))
-        found = found.union(again.select("id", "th", F.col("x").alias("s"), (F.col("x") + length).cast("int").alias("e")))
+        windows = cut(contexts.join(hot, "fp").mapInPandas(lambda it: _window_hashes(it, lengths), "id long, th long, fp long, m long, length int, x int, h long, g long"))
+        where = F.struct("id", "th", "x")
+        counts = windows.groupBy("fp", "length", "h", "g").agg(F.count("*").alias("n"), F.min(where).alias("first")).where("n > 1")
+        again = windows.join(counts, ["fp", "length", "h", "g"], "left").where(F.col("n").isNotNull() & (where != F.col("first")) if keep_first else F.col("n").isNotNull() | (F.col("m") > 1))
+        found = found.union(again.select("id", "th", "length", F.col("x").alias("s"), (F.col("x") + F.col("length")).cast("int").alias("e")))
     # runs whose context occurs again, as they are
     copies = seeds.join(kinds.where("m > 1"), ["fp", "c"])  # kinds is cut, as multi is
     if keep_first:
         copies = copies.where(place != F.col("rep"))
-    found = found.union(copies.select("id", "th", F.col("lo").alias("s"), (F.col("hi") + length).cast("int").alias("e")))
-    return found.groupBy("id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    span = F.array(*(F.struct(F.lit(n).alias("length"), F.col("lo").alias("s"), F.least(F.col("hi") + n, F.col("stop")).cast("int").alias("e")) for n in lengths))
+    found = found.union(copies.select("id", "th", F.inline(F.filter(span, lambda x: x["e"] - x["s"] >= x["length"]))))
+    of = lambda n: F.collect_list(F.when(F.col("length") == n, F.struct("s", "e")))
+    return found.groupBy("id", "th").agg(of(length).alias("spans"), of(short).alias("reported"))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -289,32 +320,59 @@ def _cut_out(batches: Iterator[pa.RecordBatch], digests: bool) -> Iterator[pa.Re
     for batch in batches:
         raw, ends = text_bytes(batch.column(1))
         rows = []
-        for i, (key, spans) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+        for i, (key, *found) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)):
             data = raw[ends[i] : ends[i + 1]].tobytes()
-            gone = merged([(x["s"], x["e"]) for x in spans or ()])
+            gone, reported = (merged([(x["s"], x["e"]) for x in spans or ()]) for spans in found)
             edges = [0, *(y for x in gone for y in x), len(data)]
             kept = b"".join(data[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
-            key = None if key == -(1 << 63) else key
+            key, n_repeated = None if key == -(1 << 63) else key, sum(e - s for s, e in reported)
             if digests:
-                rows.append((key, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()))
+                rows.append((key, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), n_repeated))
             else:
-                rows.append((key, kept.decode("utf-8", "ignore"), [{"s": a, "e": b} for a, b in gone]))
-        kinds = [("doc_id", pa.int64()), *([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] if digests else [("text", pa.string()), ("removed", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))])]
+                rows.append((key, kept.decode("utf-8", "ignore"), [{"s": a, "e": b} for a, b in gone], n_repeated))
+        kinds = [("doc_id", pa.int64()), *([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] if digests else [("text", pa.string()), ("removed", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))]), ("n_repeated", pa.int64())]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(zip(*rows, strict=True), kinds, strict=True)], names=[k for k, _ in kinds])
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True, digests: bool = False, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True, digests: bool = False, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = HOT_CONTEXTS, report_length: int | None = None) -> DataFrame:
     """Each row's text without repeated byte strings of `length` or more.
 
-    Returns (doc_id, text, removed spans), where bytes of a character that was cut are left out, or
-    with digests=True (doc_id, n_bytes, n_removed, n_spans, kept_sha256).  keep_first=True keeps
-    the first occurrence in order of doc_id and position; keep_first=False removes every one.
+    Returns (doc_id, text, removed spans, n_repeated), where bytes of a character that was cut are left
+    out, or with digests=True (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated).
+    keep_first=True keeps the first occurrence in order of doc_id and position; keep_first=False
+    removes every one.  n_repeated is the number of bytes that repeated strings of report_length
+    (up to `length`; by default that) cover, removed or not.
     Matches don't cross documents but may lie in one.  Null texts count as empty.  Each row has a
     result; rows alike in id and text are copies of each other if keep_first is false, and one
     text if it is true.  Rows without id come first.  Other columns are ignored.
     """
     named = _named(docs, id_col, text_col)
-    spans = repeated_spans(named, length, keep_first, hot_contexts)
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digests else "doc_id long, text string, removed array<struct<s:int,e:int>>"
-    return named.join(spans, ["id", "th"], "left").select("id", "text", "spans").mapInArrow(lambda it: _cut_out(it, digests), out)
+    spans = repeated_spans(named, length, keep_first, hot_contexts, report_length)
+    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long" if digests else "doc_id long, text string, removed array<struct<s:int,e:int>>, n_repeated long"
+    return named.join(spans, ["id", "th"], "left").select("id", "text", "spans", "reported").mapInArrow(lambda it: _cut_out(it, digests), out)
+
+
+#: Windows of bytes as hexadecimal digits; runs of covered bytes by gaps between windows.
+ORACLE = """
+WITH RECURSIVE lengths AS (SELECT 400 AS n UNION ALL SELECT 240), d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, n, i, md5_number(substring(h, 2 * i + 1, 2 * n)) AS k
+  FROM (SELECT doc_id, h, n, unnest(range(0, greatest(len(h) // 2 - n + 1, 0))) AS i FROM d, lengths)
+), c AS (SELECT n, k FROM w GROUP BY n, k HAVING count(*) > 1
+), s AS (
+  SELECT doc_id, n, i, i - lag(i) OVER (PARTITION BY doc_id, n ORDER BY i) AS gap FROM w JOIN c USING (n, k)
+), r AS (
+  SELECT doc_id, n, i, sum(CASE WHEN gap <= n THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, n ORDER BY i) AS run FROM s
+), m AS (SELECT doc_id, n, run, min(i) AS s, max(i) + n AS e FROM r GROUP BY doc_id, n, run
+), p AS (
+  SELECT doc_id, h, run, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY run), 0) AS before FROM m JOIN d USING (doc_id) WHERE n = 400
+), t AS (
+  SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans,
+         string_agg(substring(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY run) || substring(any_value(h), 2 * max(e) + 1) AS kept FROM p GROUP BY doc_id
+), u AS (SELECT doc_id, sum(e - s) AS n_repeated FROM m WHERE n = 240 GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256, CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN u USING (doc_id)
+"""

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from florispark.llm import suffix_dedup
-from florispark.llm.suffix_dedup import previous_factors, suffix_order
+from florispark.llm.suffix_dedup import prefix_ranks, previous_factors, suffix_order
 
 
 def brute(rows, length, keep_first):
@@ -52,12 +52,21 @@ def corpus():
 def test_removed_bytes_are_those_of_brute_force(spark, keep_first, hot):
     rows = corpus() + ([(5, corpus()[5][1])] if not keep_first else [])
     df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, id string")
-    got = sorted(map(tuple, suffix_dedup.remove_repeats(df, 60, keep_first, digests=True, hot_contexts=hot).collect()), key=str)
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(df, 60, keep_first, digests=True, hot_contexts=hot).drop("n_repeated").collect()), key=str)
     want = sorted(brute(rows, 60, keep_first), key=str)
     assert sum(x[2] > 0 for x in want) > 30
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_shorter_strings_are_counted(spark, hot):
+    rows = corpus() + [(5, corpus()[5][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(df, 60, False, digests=True, hot_contexts=hot, report_length=31).collect()), key=str)
+    assert got == sorted(((*x, y[2]) for x, y in zip(brute(rows, 60, False), brute(rows, 31, False), strict=True)), key=str)
+    assert sum(x[5] > x[2] for x in got) > 20
+
+
 def test_texts_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "é" * 50 + "a"), (2, "é" * 50 + "b")], "doc_id long, text string")
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(df, 100).collect()}
@@ -71,7 +80,7 @@ def test_previous_factors():
         data = np.array(rng.choices([97, 98], k=120), dtype=np.uint8)
         length = rng.choice([16, 24, 40])
         at = np.arange(len(data) - length + 1)
-        order, lcp = suffix_order(data, at, length)
+        order, lcp = suffix_order(prefix_ranks(data, length), at, length)
         text = data.tobytes()
         suffixes = [text[i : i + length] for i in at[order]]
         assert suffixes == sorted(suffixes)
