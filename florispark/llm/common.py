@@ -41,11 +41,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df from a Parquet table in the shared folder: packed, where cut() would hold them plain."""
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows of df from a Parquet table in the shared folder, packed where cut() would hold them plain, and its path."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Removes a table that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def partitions(df: DataFrame) -> int:

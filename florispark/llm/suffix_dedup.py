@@ -16,9 +16,9 @@ gives one row for each run of such windows, a few for every thousand bytes:
 4. A seed with very many contexts isn't given to one task: its windows are counted by a 128-bit
    hash, with partial sums (hot_contexts is where that begins; the result is the same).
 
-Repeated windows become byte spans, merged by document.  With report_length, windows are of that
-many bytes and contexts reach on to `length`, so that one suffix order tells strings of either
-length: the longer ones are removed, what the shorter ones cover is only counted.
+Repeated windows become byte spans, merged by document.  With report_length, all this is done for
+strings of that many bytes first, whose spans are only counted; longer repeated strings lie in
+them, so only the spans that are long enough are looked at again.
 """
 
 from __future__ import annotations
@@ -32,19 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, cut, mix, prefix_hash, span_hash, stored, text_bytes
+from .common import CHUNK_BYTES, cut, drop, mix, prefix_hash, span_hash, stored, text_bytes
 
 GRAM = 48
-HOT_CONTEXTS = 4096
+HOT_CONTEXTS = 20_000
 SEGMENT = 1 << 22
-_SEED = "id long, th long, fp long, c long, lo int, hi int, stop int"
+_SEED = "id long, th long, fp long, c long, lo int, hi int"
 
 
-def seeds_of(data: np.ndarray, ends: np.ndarray, length: int, gram: int, reach: int) -> tuple[np.ndarray, ...]:
-    """(text, fp, context hash, lo, hi, stop) of each run of windows of texts in data; positions are those in their texts.
-
-    A context goes from its first window to `reach` bytes from the last one's start, or to the end of the text.
-    """
+def seeds_of(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(text, fp, context hash, lo, hi) of each run of windows of texts in data; positions are those in their texts."""
     out: list[tuple[np.ndarray, ...]] = []
     width = length - gram + 1
     prefix = prefix_hash(data)
@@ -69,37 +66,42 @@ def seeds_of(data: np.ndarray, ends: np.ndarray, length: int, gram: int, reach:
         first[1:] = (p[1:] != p[:-1]) | (text[1:] != text[:-1])
         last = np.append(first[1:], True)
         lo, hi, p, text = x[first], x[last], p[first], text[first]
-        stop = np.minimum(hi + reach, ends[text + 1])
-        c = span_hash(prefix, lo, stop) ^ mix(((p - lo) << 32 | (hi - lo)).astype(np.uint64))
         base = ends[text]
-        out.append((text, h[p], c, lo - base, hi - base, stop - base))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.zeros(0, np.int64) for _ in range(6))
+        out.append((text, h[p], span_hash(prefix, lo, hi + length) ^ (p - lo).astype(np.uint64), lo - base, hi - base))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.zeros(0, np.int64) for _ in range(5))
 
 
-def _seeds(batches: Iterator[pa.RecordBatch], length: int, gram: int, reach: int) -> Iterator[pa.RecordBatch]:
+def _seeds(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, ends = text_bytes(batch.column(2))
         n, i = len(ends) - 1, 0
         while i < n:
             j = min(n, max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_BYTES, "right")) - 1))
-            text, fp, c, *places = seeds_of(raw[ends[i] : ends[j]], ends[i : j + 1] - ends[i], length, gram, reach)
+            text, fp, c, *places = seeds_of(raw[ends[i] : ends[j]], ends[i : j + 1] - ends[i], length, gram)
             if len(text):
-                at = pa.array(text + i)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp.view(np.int64)), pa.array(c.view(np.int64)), *(pa.array(v.astype(np.int32)) for v in places)], names=["id", "th", "fp", "c", "lo", "hi", "stop"])
+                at, off = pa.array(text + i), batch.column(3).to_numpy()[text + i]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp.view(np.int64)), pa.array(c.view(np.int64)), *(pa.array((v + off).astype(np.int32)) for v in places)], names=["id", "th", "fp", "c", "lo", "hi"])
             i = j
 
 
 _CONTEXT = "id long, th long, fp long, c long, m long, lo int, hi int, context binary"
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes under the runs of a document, one row for each run."""
+def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes under the runs of a document that are in the stretch at hand, one row for each run."""
+    names = [x.split()[0] for x in _CONTEXT.split(", ")]
     for batch in batches:
         raw, ends = text_bytes(batch.column(2))
-        for i, runs in enumerate(batch.column(3).to_pylist()):
-            data = raw[ends[i] : ends[i + 1]].tobytes()
-            rows = [(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), r["fp"], r["c"], r["m"], r["lo"], r["hi"], data[r["lo"] : r["stop"]]) for r in runs]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["id", "th", "fp", "c", "m", "lo", "hi", "context"])
+        key, th, off = (batch.column(c).to_numpy() for c in (0, 1, 3))
+        of = batch.column(4).value_parent_indices().to_numpy()
+        fp, c, m, lo, hi = (x.to_numpy() for x in batch.column(4).flatten().flatten())
+        inside = (lo >= off[of]) & (hi + length <= (off + np.diff(ends))[of])
+        of, fp, c, m, lo, hi = (x[inside] for x in (of, fp, c, m, lo, hi))
+        start = ends[:-1][of] + lo - off[of]
+        for i in range(0, len(of), 4096):
+            part = slice(i, i + 4096)
+            context = pa.array([raw[a:b].tobytes() for a, b in zip(start[part].tolist(), (start + hi - lo + length)[part].tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[part]) for x in (key[of], th[of], fp, c, m, lo, hi)), context], names=names)
 
 
 # ---- suffix order and longest previous factors ---------------------------------------------------
@@ -174,51 +176,42 @@ def previous_factors(position: np.ndarray, lcp: np.ndarray, least: int) -> np.nd
     return best
 
 
-def repeated_windows(contexts: list[bytes], starts: np.ndarray, lengths: tuple[int, ...], both: bool) -> list[np.ndarray]:
-    """For each of the lengths, which are ascending: which windows of the contexts (starts[i] in context i) have an earlier match of that length, or with both=True any other."""
+def repeated_windows(contexts: list[bytes], starts: np.ndarray, length: int, both: bool) -> np.ndarray:
+    """Which windows of the contexts (starts[i] in context i) have an earlier match, or with both=True any other."""
     data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     sizes = np.array([len(x) for x in contexts])
-    stop = np.cumsum(sizes)
-    at = np.repeat(stop - sizes - (np.cumsum(starts) - starts), starts) + np.arange(starts.sum())
-    left = np.repeat(stop, starts) - at
-    levels = prefix_ranks(data, lengths[-1])
-    out, some = [], np.arange(len(at))  # a longer match is one of the shorter length
-    for length in lengths:
-        some = some[left[some] >= length]
-        order, lcp = suffix_order(levels, at[some], length)
-        hit = previous_factors(order, lcp, length) >= length
-        if both:
-            hit |= previous_factors(-order, lcp, length) >= length
-        some = np.sort(some[order[hit]])
-        out.append(np.zeros(len(at), dtype=bool))
-        out[-1][some] = True
+    at = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(starts) - starts), starts) + np.arange(starts.sum())
+    order, lcp = suffix_order(prefix_ranks(data, length), at, length)
+    hit = previous_factors(order, lcp, length) >= length
+    if both:
+        hit |= previous_factors(-order, lcp, length) >= length
+    out = np.zeros(len(at), dtype=bool)
+    out[order] = hit
     return out
 
 
 BATCH_BYTES = 1 << 20
-_SPAN = "id long, th long, length int, s int, e int"
+_SPAN = "id long, th long, s int, e int"
 
 
-def _evaluate(batches: Iterator[pd.DataFrame], lengths: tuple[int, ...], both: bool) -> Iterator[pd.DataFrame]:
+def _evaluate(batches: Iterator[pd.DataFrame], length: int, both: bool) -> Iterator[pd.DataFrame]:
     """Rows are sorted by fp, id, th and lo; each pass takes whole seeds."""
     rest: list[pd.DataFrame] = []
 
     def spans(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         starts = (pdf["hi"] - pdf["lo"] + 1).to_numpy().astype(np.int64)
+        hit = repeated_windows(pdf["context"].tolist(), starts, length, both)
         owner = np.repeat(np.arange(len(pdf)), starts)
-        x = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
-        ids, ths, los, copied, sizes = (pdf[c].to_numpy() for c in ("id", "th", "lo", "m", "size"))
-        for length, hit in zip(lengths, repeated_windows(pdf["context"].tolist(), starts, lengths, both), strict=True):
-            if both:
-                hit |= (copied > 1)[owner] & (x + length <= sizes[owner])
-            edge = np.flatnonzero(hit)
-            if not len(edge):
-                continue
+        x = np.arange(len(hit)) - np.repeat(np.cumsum(starts) - starts, starts)
+        if both:
+            hit |= (pdf["m"].to_numpy() > 1)[owner]
+        edge = np.flatnonzero(hit)
+        if len(edge):
             new = np.ones(len(edge), dtype=bool)
             new[1:] = (np.diff(edge) != 1) | (owner[edge[1:]] != owner[edge[:-1]])
             a, b = edge[new], edge[np.append(new[1:], True)]
-            of = owner[a]
-            yield pd.DataFrame({"id": ids[of], "th": ths[of], "length": np.int32(length), "s": los[of] + x[a], "e": los[of] + x[b] + length})
+            ids, ths, los = (pdf[c].to_numpy()[owner[a]] for c in ("id", "th", "lo"))
+            yield pd.DataFrame({"id": ids, "th": ths, "s": los + x[a], "e": los + x[b] + length})
 
     def whole(final: bool) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(rest, ignore_index=True)
@@ -247,57 +240,61 @@ def _evaluate(batches: Iterator[pd.DataFrame], lengths: tuple[int, ...], both: b
 
 
 _AGAIN = np.uint64(0xC2B2AE3D27D4EB4F)
+_WINDOW = "id long, th long, fp long, m long, x int, h long, g long"
 
 
-def _window_hashes(batches: Iterator[pd.DataFrame], lengths: tuple[int, ...]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for r in pdf.itertuples(index=False):
-            data = np.frombuffer(r.context, dtype=np.uint8)
-            one, two = prefix_hash(data), prefix_hash(mix(data.astype(np.uint64) ^ _AGAIN))
-            for length in lengths:
-                x = np.arange(min(r.hi - r.lo + 1, len(data) - length + 1))
-                if len(x):
-                    yield pd.DataFrame({"id": r.id, "th": r.th, "fp": r.fp, "m": r.m, "length": np.int32(length), "x": (x + r.lo).astype("int32"), "h": span_hash(one, x, x + length).view(np.int64), "g": span_hash(two, x, x + length).view(np.int64)})
-
-
-def repeated_spans(docs: DataFrame, length: int = 400, keep_first: bool = True, hot_contexts: int = HOT_CONTEXTS, report_length: int | None = None) -> DataFrame:
-    """(id, th, spans, reported): byte spans (s, e) covered by repeated strings of `length` and of report_length bytes; docs is _named().
+def _window_hashes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, ends = text_bytes(batch.column(7))
+        lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in (5, 6))
+        starts = hi - lo + 1
+        for i in range(0, batch.num_rows, 512):
+            j = min(i + 512, batch.num_rows)
+            data, n = raw[ends[i] : ends[j]], starts[i:j]
+            of = np.repeat(np.arange(i, j), n)
+            x = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            at = ends[of] - ends[i] + x
+            h, g = (span_hash(prefix_hash(d), at, at + length).view(np.int64) for d in (data, mix(data.astype(np.uint64) ^ _AGAIN)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(of)) for c in (0, 1, 2, 4)), pa.array((x + lo[of]).astype(np.int32)), pa.array(h), pa.array(g)], names=[x.split()[0] for x in _WINDOW.split(", ")])
+
+
+def repeated_spans(docs: DataFrame, length: int = 400, keep_first: bool = True, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
+    """(id, th, spans): byte spans (s, e) covered by repeated strings of rows (id, th, text, off), which are stretches of documents from byte `off` on.
 
     keep_first: a string is repeated where it occurs earlier, in order of id, text hash and
     position; otherwise wherever it occurs anywhere else.
     """
-    short = min(report_length or length, length)
-    lengths = tuple(sorted({short, length}))
-    gram = min(GRAM, short)
-    seeds = stored(docs.mapInArrow(lambda it: _seeds(it, short, gram, length), _SEED), "seeds")
+    gram = min(GRAM, length)
+    every, path = stored(docs.mapInArrow(lambda it: _seeds(it, length, gram), _SEED), "seeds")
     # cut, so that the join deals both sides anew and Spark can split a common seed's rows
-    multi = cut(seeds.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
-    seeds = stored(seeds.join(multi, "fp"), "seeds-again")
-    place = F.struct("id", "th", "lo", "hi", "stop")
+    multi = cut(every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
+    seeds, _ = stored(every.join(multi, "fp"), "repeated-seeds")
+    drop(docs.sparkSession, path)
+    place = F.struct("id", "th", "lo", "hi")
     kinds = cut(seeds.groupBy("fp", "c").agg(F.count("*").alias("m"), F.min(place).alias("rep")))
     groups = kinds.groupBy("fp").agg(F.count("*").alias("kinds"), F.min("m").alias("least"))
     groups = groups.where("kinds > 1" if keep_first else "kinds > 1 and least = 1")
     reps = kinds.join(groups, "fp").select("rep.*", "fp", "c", "m", "kinds")
-    texts = reps.groupBy("id", "th").agg(F.collect_list(F.struct("fp", "c", "m", "lo", "hi", "stop")).alias("runs"))
-    contexts = docs.join(texts, ["id", "th"]).select("id", "th", "text", "runs").mapInArrow(_contexts, _CONTEXT)
     both = not keep_first
-    hot = cut(groups.where(F.col("kinds") > hot_contexts).select("fp"))
-    cold = contexts.join(hot, "fp", "left_anti") if (any_hot := not hot.isEmpty()) else contexts
-    found = cold.repartition("fp").sortWithinPartitions("fp", "id", "th", "lo").mapInPandas(lambda it: _evaluate(it, lengths, both), _SPAN)
-    if any_hot:
-        windows = cut(contexts.join(hot, "fp").mapInPandas(lambda it: _window_hashes(it, lengths), "id long, th long, fp long, m long, length int, x int, h long, g long"))
+
+    def contexts(reps: DataFrame) -> DataFrame:
+        texts = reps.groupBy("id", "th").agg(F.collect_list(F.struct("fp", "c", "m", "lo", "hi")).alias("runs"))
+        return docs.join(texts, ["id", "th"]).select("id", "th", "text", "off", "runs").mapInArrow(lambda it: _contexts(it, length), _CONTEXT)
+
+    is_hot = F.col("kinds") > hot_contexts
+    found = contexts(reps.where(~is_hot)).repartition("fp").sortWithinPartitions("fp", "id", "th", "lo").mapInPandas(lambda it: _evaluate(it, length, both), _SPAN)
+    if not groups.where(is_hot).isEmpty():
+        windows = cut(contexts(reps.where(is_hot)).mapInArrow(lambda it: _window_hashes(it, length), _WINDOW))
         where = F.struct("id", "th", "x")
-        counts = windows.groupBy("fp", "length", "h", "g").agg(F.count("*").alias("n"), F.min(where).alias("first")).where("n > 1")
-        again = windows.join(counts, ["fp", "length", "h", "g"], "left").where(F.col("n").isNotNull() & (where != F.col("first")) if keep_first else F.col("n").isNotNull() | (F.col("m") > 1))
-        found = found.union(again.select("id", "th", "length", F.col("x").alias("s"), (F.col("x") + F.col("length")).cast("int").alias("e")))
+        counts = windows.groupBy("fp", "h", "g").agg(F.count("*").alias("n"), F.min(where).alias("first")).where("n > 1")
+        again = windows.join(counts, ["fp", "h", "g"], "left").where(F.col("n").isNotNull() & (where != F.col("first")) if keep_first else F.col("n").isNotNull() | (F.col("m") > 1))
+        found = found.union(again.select("id", "th", F.col("x").alias("s"), (F.col("x") + length).cast("int").alias("e")))
     # runs whose context occurs again, as they are
     copies = seeds.join(kinds.where("m > 1"), ["fp", "c"])  # kinds is cut, as multi is
     if keep_first:
         copies = copies.where(place != F.col("rep"))
-    span = F.array(*(F.struct(F.lit(n).alias("length"), F.col("lo").alias("s"), F.least(F.col("hi") + n, F.col("stop")).cast("int").alias("e")) for n in lengths))
-    found = found.union(copies.select("id", "th", F.inline(F.filter(span, lambda x: x["e"] - x["s"] >= x["length"]))))
-    of = lambda n: F.collect_list(F.when(F.col("length") == n, F.struct("s", "e")))
-    return found.groupBy("id", "th").agg(of(length).alias("spans"), of(short).alias("reported"))
+    found = found.union(copies.select("id", "th", F.col("lo").alias("s"), (F.col("hi") + length).cast("int").alias("e")))
+    return found.groupBy("id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -316,23 +313,52 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _spans(column: pa.Array) -> list[list[tuple[int, int]]]:
+    return [merged([(x["s"], x["e"]) for x in spans or ()]) for spans in column.to_pylist()]
+
+
+_LOOK = "id long, th long, text binary, n_repeated long, parts array<struct<s:int,e:int>>, n_bytes long, kept_sha256 string"
+_ROW = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("text", pa.binary()), ("n_repeated", pa.int64()), ("parts", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))), ("n_bytes", pa.int64()), ("kept_sha256", pa.string())])
+
+
+def _look(batches: Iterator[pa.RecordBatch], length: int, digests: bool) -> Iterator[pa.RecordBatch]:
+    """Each document with the parts in which longer repeats can be; if only digests are wanted, without its text where there are none."""
+    for batch in batches:
+        raw, ends = text_bytes(batch.column(2))
+        rows = []
+        for i, spans in enumerate(_spans(batch.column(3))):
+            data, parts = raw[ends[i] : ends[i + 1]].tobytes(), [{"s": s, "e": e} for s, e in spans if e - s >= length]
+            rows.append((data if parts or not digests else None, sum(e - s for s, e in spans), parts, len(data), None if parts or not digests else hashlib.sha256(data).hexdigest()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), list(_ROW)[2:], strict=True))], schema=_ROW)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(key, th, text[x["s"] : x["e"]], x["s"]) for key, th, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True) for x in parts]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.int32()), strict=True)], names=["id", "th", "text", "off"])
+
+
+_DIGEST = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_repeated", pa.int64())])
+_TEXT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("removed", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))), ("n_repeated", pa.int64())])
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch], digests: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw, ends = text_bytes(batch.column(1))
         rows = []
-        for i, (key, *found) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)):
-            data = raw[ends[i] : ends[i + 1]].tobytes()
-            gone, reported = (merged([(x["s"], x["e"]) for x in spans or ()]) for spans in found)
+        for key, data, n_repeated, n_bytes, sha, gone in zip(*(batch.column(c).to_pylist() for c in range(5)), _spans(batch.column(5)), strict=True):
+            key = None if key == -(1 << 63) else key
+            if data is None:
+                rows.append((key, n_bytes, 0, 0, sha, n_repeated))
+                continue
+            n_repeated = sum(e - s for s, e in gone) if n_repeated is None else n_repeated
             edges = [0, *(y for x in gone for y in x), len(data)]
             kept = b"".join(data[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
-            key, n_repeated = None if key == -(1 << 63) else key, sum(e - s for s, e in reported)
-            if digests:
-                rows.append((key, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), n_repeated))
-            else:
-                rows.append((key, kept.decode("utf-8", "ignore"), [{"s": a, "e": b} for a, b in gone], n_repeated))
-        kinds = [("doc_id", pa.int64()), *([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] if digests else [("text", pa.string()), ("removed", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))]), ("n_repeated", pa.int64())]
+            rows.append((key, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), n_repeated) if digests else (key, kept.decode("utf-8", "ignore"), [{"s": a, "e": b} for a, b in gone], n_repeated))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(zip(*rows, strict=True), kinds, strict=True)], names=[k for k, _ in kinds])
+            schema = _DIGEST if digests else _TEXT
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True, digests: bool = False, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = HOT_CONTEXTS, report_length: int | None = None) -> DataFrame:
@@ -342,15 +368,24 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True,
     out, or with digests=True (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated).
     keep_first=True keeps the first occurrence in order of doc_id and position; keep_first=False
     removes every one.  n_repeated is the number of bytes that repeated strings of report_length
-    (up to `length`; by default that) cover, removed or not.
+    (less than `length`) that occur anywhere else cover; without it, n_removed.
     Matches don't cross documents but may lie in one.  Null texts count as empty.  Each row has a
     result; rows alike in id and text are copies of each other if keep_first is false, and one
     text if it is true.  Rows without id come first.  Other columns are ignored.
     """
     named = _named(docs, id_col, text_col)
-    spans = repeated_spans(named, length, keep_first, hot_contexts, report_length)
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long" if digests else "doc_id long, text string, removed array<struct<s:int,e:int>>, n_repeated long"
-    return named.join(spans, ["id", "th"], "left").select("id", "text", "spans", "reported").mapInArrow(lambda it: _cut_out(it, digests), out)
+    whole = (named.dropDuplicates(["id", "th"]) if keep_first else named).withColumn("off", F.lit(0))
+    two = report_length is not None and report_length < length
+    spans = repeated_spans(whole, report_length if two else length, keep_first and not two, hot_contexts)
+    if two:
+        looked, _ = stored(named.join(spans, ["id", "th"], "left").select("id", "th", "text", "spans").mapInArrow(lambda it: _look(it, length, digests), _LOOK), "looked")
+        parts, _ = stored((looked.dropDuplicates(["id", "th"]) if keep_first else looked).where(F.size("parts") > 0).select("id", "th", "text", "parts").mapInArrow(_stretches, "id long, th long, text binary, off int"), "parts")
+        spans = repeated_spans(parts, length, keep_first, hot_contexts)
+        out = looked.join(spans, ["id", "th"], "left").select("id", "text", "n_repeated", "n_bytes", "kept_sha256", "spans")
+    else:
+        total = F.lit(None).cast("long")
+        out = named.join(spans, ["id", "th"], "left").select("id", F.col("text").cast("binary").alias("text"), total.alias("n_repeated"), total.alias("n_bytes"), F.lit(None).cast("string").alias("kept_sha256"), "spans")
+    return out.mapInArrow(lambda it: _cut_out(it, digests), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long" if digests else "doc_id long, text string, removed array<struct<s:int,e:int>>, n_repeated long")
 
 
 #: Windows of bytes as hexadecimal digits; runs of covered bytes by gaps between windows.

@@ -72,6 +72,19 @@ def test_texts_and_empty_tables(spark):
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(df, 100).collect()}
     assert (got[1].text, got[2].text) == ("é" * 50 + "a", "b") and got[2].removed[0].e == 100
     assert suffix_dedup.remove_repeats(df.where("false"), 100).count() == 0
+    again = suffix_dedup.remove_repeats(df.union(df), 100, report_length=50).collect()  # rows alike are one text
+    assert sorted((r.doc_id, r.text, r.n_repeated) for r in again) == [(1, "é" * 50 + "a", 100)] * 2 + [(2, "b", 100)] * 2
+    assert suffix_dedup.remove_repeats(df.where("false"), 100, digests=True, report_length=50).count() == 0
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(9)
+    body = "".join(rng.choices("abcdefghij ", k=700_000))
+    rows = [(1, body + "é" * 300 + body[1000:2000]), (2, "x" * 10 + body[500_000:500_400] + "y")]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 400, False, digests=True, report_length=240).collect()}
+    # the run of é repeats itself; 1,000 bytes are there twice, the second time next to it; 400 are shared
+    assert (got[1].n_removed, got[1].n_spans, got[1].n_repeated) == (600 + 2 * 1000 + 400, 3, 3000)
+    assert (got[2].n_removed, got[2].n_repeated) == (400, 400)
 
 
 def test_previous_factors():
