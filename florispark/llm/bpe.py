@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import from_planes, planes
-from .pretoken import _piece, encoder, parts
+from .pretoken import encoder
 
 LEAF_CHARS = 16_384
 CACHE_WORDS = 100_000
@@ -65,7 +65,7 @@ class Coder:
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each token of a normalised text: id, start and end (in bytes of its UTF-8), and whether it begins a pre-token."""
-        words = [(m.start(), m.group()) for m in _piece.finditer(text)]
+        words = self.enc.found(text)
         self.fill([w for _, w in words])
         coded = [np.frombuffer(self.cache[w][0], "<u4") for _, w in words]
         counts = np.array([len(x) for x in coded], dtype=np.int64)
@@ -201,34 +201,32 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, leaf_chars:
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids binary, decoded string"
     short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= leaf_chars).mapInPandas(lambda it: _short(it, path, digests), out)
     # a long text: its leaves are rows, dealt out one by one, encoded, and gathered by text
-    long = docs.where(F.length("text") > leaf_chars).mapInPandas(lambda it: _split(it, leaf_chars), "uid string, part int, doc_id long, leaf int, special boolean, text string")
+    long = docs.where(F.length("text") > leaf_chars).mapInPandas(lambda it: _split(it, path, leaf_chars), "uid string, part int, doc_id long, leaf int, special boolean, text string")
     coded = long.repartition("uid", "leaf").mapInPandas(lambda it: _leaf(it, path), _LEAF)
     joined = coded.groupBy("uid").applyInPandas(lambda pdf: _join_text(pdf, path, digests), out)
     return short.union(joined)
 
 
 def _short(batches: Iterator[pd.DataFrame], path: str, digests: bool) -> Iterator[pd.DataFrame]:
-    from .pretoken import pretokens
-
     c = coder(path)
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
-            words = pretokens(text) if text else []
+            words = c.enc.pretokens(text) if text else []
             c.fill(words)
             ids, decoded = c.ids(words), c.decoded(words)
             rows.append(digest(ids, decoded) if digests else (ids, decoded))
         yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]).assign(doc_id=pdf["doc_id"].to_numpy())
 
 
-def _split(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+def _split(batches: Iterator[pd.DataFrame], path: str, most: int) -> Iterator[pd.DataFrame]:
     from pyspark import TaskContext
 
-    made = 0
+    enc, made = encoder(path), 0
     for pdf in batches:
         for key, text in zip(pdf["doc_id"], pdf["text"], strict=True):
             made += 1
-            rows = [(p, n, special, x) for p, (special, t) in enumerate(parts(text)) for n, x in enumerate([t] if special else leaves(t, most))]
+            rows = [(p, n, special, x) for p, (special, t) in enumerate(enc.parts(text)) for n, x in enumerate([t] if special else leaves(enc.normalised(t), most))]
             yield pd.DataFrame(rows, columns=["part", "leaf", "special", "text"]).assign(uid=f"{TaskContext.get().partitionId()}-{made}", doc_id=key)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, from_planes, planes, text_bytes
-from .pretoken import encoder, pretokens
+from .pretoken import encoder
 
 BLOCK_BYTES = 48 << 20
 _BLOCK = "block string, ids array<long>, n_bytes array<long>, bounds binary, pid binary, freq binary, words binary"
@@ -37,14 +37,15 @@ def token_counts(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     empty, with 0 tokens.  Repeated rows and null ids are kept, one result row for each row.
     Other columns of docs are ignored; an empty table gives an empty result.
     """
-    blocks = cut(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: _count(it, block_bytes), _BLOCK))
+    blocks = cut(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: _count(it, vocab_path, block_bytes), _BLOCK))
     vocab = blocks.select("block", "words").mapInArrow(_unpack, "block string, pid int, pretoken string")
     pieces = vocab.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(lambda it: _pieces(it, vocab_path), "block string, pn long")
     counts = pieces.groupBy("block").agg(F.collect_list("pn").alias("pn"))
     return blocks.drop("words").join(counts, "block", "left").mapInArrow(lambda it: _sum(it, context), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
-def _count(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], path: str, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    pretokens = encoder(path).pretokens
     pack = zstandard.ZstdCompressor(level=1).compress
     vocab: defaultdict[str, int] = defaultdict()
     vocab.default_factory = vocab.__len__

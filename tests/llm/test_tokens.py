@@ -1,14 +1,18 @@
 import hashlib
+import json
 import random
+import unicodedata
 
 import numpy as np
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
+from tokenizers.normalizers import NFD  # noqa: E402
 
 from florispark.llm import bpe, token_counts  # noqa: E402
 from florispark.llm.bpe import Side, coder, join, leaves, tree  # noqa: E402
+from florispark.llm.pretoken import encoder, known, normalised  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOK = Tokenizer.from_file(PATH)
@@ -24,6 +28,8 @@ TEXTS = [
     "a" * 3000,
     "ab" * 700 + "'s" + "!?" * 500 + "'re" + "é" * 400,
     "repeat me " * 300,
+    "aꟋb aꟚb aᲉb x՘y e̱ᫌ e̱ᫌ",
+    "ꟋꟚ" * 600 + "ΣᲉ'sΣ" * 90 + "𐵐 Ǆ" * 40,
 ]
 
 
@@ -69,8 +75,6 @@ def test_tree_concatenation_of_long_unsplit_text():
         text = "".join(rng.choice(rng.choice(alphabets) if n % 3 else alphabets[n % 8]) for _ in range(rng.randrange(1, 900)))
         if n % 5 == 0:
             text = "the and " * 9 + "".join(rng.choices("thinaou", k=1500)) + " of it"
-        from florispark.llm.pretoken import normalised
-
         text = normalised(text)
         sides = []
         for x in leaves(text, rng.choice([7, 30, 100])):
@@ -94,3 +98,44 @@ def test_the_window_stays_small():
     finally:
         del c.spans
     assert max(seen) < 2_000
+
+
+def library_words(text):
+    text = TOK.normalizer.normalize_str(text)
+    return [text[s:e] for _, (s, e) in TOK.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def test_every_known_character_is_cut_as_the_library_does():
+    enc, decompose = encoder(PATH), NFD()
+    marks = {}
+    for c in map(chr, range(0x300, 0x370)):
+        marks.setdefault(unicodedata.combining(c), c)
+    marks.pop(0, None)
+    every = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and known(c)]
+    assert len(every) > 90_000
+    for c in every:
+        for x in (f"a{c}b", f"1{c}!", f"x{c}'s"):
+            assert enc.words(x) == library_words(x), hex(ord(c))
+        assert decompose.normalize_str(c) == unicodedata.normalize("NFD", c)
+        if unicodedata.combining(c) or unicodedata.decomposition(c):
+            for m in marks.values():  # the order of marks
+                for x in (f"x{c}{m}", f"x{m}{c}"):
+                    assert decompose.normalize_str(x) == unicodedata.normalize("NFD", x)
+
+
+def test_any_text_is_cut_as_the_library_does():
+    enc, rng = encoder(PATH), random.Random(4)
+    planes = [(0, 0x250), (0x250, 0x600), (0x600, 0x1000), (0x1000, 0x2100), (0x2100, 0xD800), (0xE000, 0x10000), (0x10000, 0x20000), (0x1F300, 0x1F700), (0x300, 0x370)]
+    for _ in range(4000):
+        own = rng.sample(planes, 3)
+        text = "".join(chr(rng.randrange(*rng.choice(own))) for _ in range(rng.randrange(1, 40)))
+        assert enc.words(text) == library_words(text), ascii(text)
+        assert [i for w in enc.ids(enc.pretokens(text)) for i in w] == want(text), ascii(text)
+
+
+def test_another_vocabulary_is_refused(tmp_path):
+    spec = json.loads(open(PATH).read())
+    spec["normalizer"]["normalizers"].pop()
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="normaliser"):
+        encoder(str(tmp_path / "other.json"))
