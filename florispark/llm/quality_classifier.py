@@ -1,15 +1,21 @@
 """Quality classifier by co-training: a text view and a page-metadata view teach each other.
 
 Two things are told apart, each by a pair of classifiers: low quality and toxicity.  The text view
-sees which frequent words and beginnings of words a document has and figures of its make-up; the metadata view sees
-source, language and length.  Both are logistic.  They are fitted on a bounded sample of labelled
-documents (labelled_rows) with a bounded pool of others (pool_rows): in each round, each view labels
-the documents of the pool of which it is sure, by its calibrated probability, for the
-other view.  At the end each view is calibrated on a held-out fifth of the labelled sample, and a
-logistic combination of both views' log-odds, fitted there too, scores all documents.
-
-Only the sample, whose bound is a parameter, meets in one task; its model (max_words at most) is
-what all tasks get.
+sees which words and beginnings of words a document has and figures of its make-up; the metadata view
+sees source, its host, language and length.  Both are logistic, fitted on a bounded sample of labelled
+documents (labelled_rows).  Then, in each round, both views score all documents, in one pass over
+the table.  A document of which one view is sure, by its calibrated probability, is counted for the
+other view: for each of its features, in how many documents of either class it is.  These counts,
+over the whole table, are grouped by feature, and the log-odds of the features that tell classes apart
+by more than chance become the other view's taught table: what the features of a document sum up to in
+it is one more input when the view is fitted again.
+
+Labelled documents fall into parts by the hash of their id: three fifths fit the views, one fifth
+calibrates them, and one fifth, which neither has seen, fits the logistic combination of both views'
+log-odds that scores all documents.
+
+Only the sample, whose bound is a parameter, meets in one task; what all tasks get is its model and
+the taught tables (taught_words features at most for each view and target).
 """
 
 from __future__ import annotations
@@ -24,17 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, prefix_hash, shingles, span_hash, word_chunks
+from .common import Words, cut, mix, prefix_hash, shingles, span_hash, word_chunks
 
 LABELLED_ROWS = 8000
-POOL_ROWS = 3000
+TAUGHT_WORDS = 20_000
 ROUNDS = 2
 SURE = 0.97
 MIN_DOCS = 8
-MAX_WORDS = 20_000
 LEAST_Z = 4.0
 STEM_BYTES = 6
 TARGETS = ("low_quality", "toxic")
+CATEGORIES = 5
 _FEATURES = "doc_id long, words binary, dense binary, meta binary, length double"
 
 _CLASS = np.zeros(256, dtype=np.uint8)
@@ -76,10 +82,12 @@ def marks(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def categories(lang: list[str | None], source: list[str | None], length: np.ndarray) -> np.ndarray:
-    """Hashed categories of the metadata view, three for each document."""
-    kinds = [[f"lang={x}" for x in lang], [f"source={x}" for x in source], [f"length={int(2 * np.log2(1 + x))}" for x in length]]
+    """Hashed categories of the metadata view, CATEGORIES for each document."""
+    size = [int(2 * np.log2(1 + x)) for x in length]
+    host = [None if x is None else x.split("://")[-1].split("/")[0] for x in source]
+    kinds = [[f"lang={x}" for x in lang], [f"source={x}" for x in source], [f"host={x}" for x in host], [f"length={x}" for x in size], [f"both={x}/{y}" for x, y in zip(host, size, strict=True)]]
     words = [next(word_chunks(pa.array([v.replace(" ", "_") for v in kind]), lower=False, chunk_bytes=1 << 40)) for kind in kinds]
-    return np.column_stack([x.hash for x in words]) if len(lang) else np.zeros((0, 3), np.uint64)
+    return np.column_stack([x.hash for x in words]) if len(lang) else np.zeros((0, CATEGORIES), np.uint64)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray, np.ndarray]]:
@@ -105,22 +113,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-@dataclass
-class View:
-    """A logistic model on hashed features, which are there or not, and dense ones."""
+class Table:
+    """Numbers of hashed features, looked up for many documents at once."""
 
-    keys: np.ndarray
-    weights: np.ndarray
-    mean: np.ndarray
-    scale: np.ndarray
-    dense: np.ndarray
-    bias: float
-    slope: float = 1.0
-    shift: float = 0.0
-
-    def __post_init__(self):
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values  # keys ascend
         self.maybe = np.zeros(1 << 20, dtype=bool)
-        self.maybe[self.keys & np.uint64((1 << 20) - 1)] = True
+        self.maybe[keys & np.uint64((1 << 20) - 1)] = True
 
     def find(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(feature, row), once each, of what hashed values are features."""
@@ -132,10 +131,32 @@ class View:
         pairs = np.unique(row[some][ok] * len(self.keys) + at[ok])
         return pairs % len(self.keys), pairs // len(self.keys)
 
-    def logit(self, feature: np.ndarray, row: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    def sums(self, h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        feature, row = self.find(h, row)
+        return np.bincount(row, weights=self.values[feature], minlength=rows)
+
+
+NOTHING = Table(np.zeros(0, np.uint64), np.zeros(0))
+
+
+@dataclass
+class View:
+    """A logistic model on hashed features, which are there or not, on dense ones, and on what the other view has taught."""
+
+    weights: Table
+    taught: Table
+    mean: np.ndarray
+    scale: np.ndarray
+    dense: np.ndarray
+    bias: float
+    slope: float = 1.0
+    shift: float = 0.0
+
+    def logit(self, h: np.ndarray, row: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        rows = len(dense)
+        dense = np.column_stack((dense, self.taught.sums(h, row, rows)))
         raw = self.bias + ((dense - self.mean) / self.scale).clip(-5, 5) @ self.dense
-        raw = raw + np.bincount(row, weights=self.weights[feature], minlength=len(dense))
-        return self.shift + self.slope * raw
+        return self.shift + self.slope * (raw + self.weights.sums(h, row, rows))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -160,39 +181,41 @@ def fit(feature: np.ndarray, row: np.ndarray, dense: np.ndarray, y: np.ndarray,
 class Sample:
     """One view's features of the sample."""
 
-    def __init__(self, lists: list[np.ndarray], dense: np.ndarray, most: int):
-        h = np.concatenate([np.zeros(0, np.uint64), *lists])
-        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        keys, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+    def __init__(self, lists: list[np.ndarray], dense: np.ndarray):
+        self.h = np.concatenate([np.zeros(0, np.uint64), *lists])
+        self.of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        keys, inverse, count = np.unique(self.h, return_inverse=True, return_counts=True)
         common = np.flatnonzero(count >= MIN_DOCS)
-        common = np.sort(common[np.argsort(-count[common], kind="stable")][:most])
         place = np.full(len(keys), -1)
         place[common] = np.arange(len(common))
         keep = place[inverse] >= 0
-        self.keys, self.feature, self.row, self.raw = keys[common], place[inverse][keep], row[keep], dense
-        self.mean, self.scale = dense.mean(axis=0), dense.std(axis=0) + 1e-6
-        self.dense = ((dense - self.mean) / self.scale).clip(-5, 5)
+        self.keys, self.feature, self.row, self.raw = keys[common], place[inverse][keep], self.of[keep], dense
 
-    def fit(self, rows: np.ndarray, y: np.ndarray, l2: float) -> View:
-        number = np.full(len(self.dense), -1)
+    def fit(self, rows: np.ndarray, y: np.ndarray, l2: float, taught: Table = NOTHING) -> View:
+        number = np.full(len(self.raw), -1)
         number[rows] = np.arange(len(rows))
         inside = number[self.row] >= 0
         feature, row = self.feature[inside], number[self.row[inside]]
         # only features that tell the classes apart by more than chance
-        n1, n0 = max(y.sum(), 1), max((1 - y).sum(), 1)
         c1 = np.bincount(feature, weights=y[row], minlength=len(self.keys))
         c0 = np.bincount(feature, minlength=len(self.keys)) - c1
-        share = (c1 + c0) / (n1 + n0)
-        z = (c1 / n1 - c0 / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
-        chosen = np.flatnonzero(np.abs(z) >= LEAST_Z)
+        chosen = np.flatnonzero(np.abs(z_score(c1, c0, max(y.sum(), 1), max((1 - y).sum(), 1))) >= LEAST_Z)
         place = np.full(len(self.keys), -1)
         place[chosen] = np.arange(len(chosen))
         some = place[feature] >= 0
-        w, d, b = fit(place[feature[some]], row[some], self.dense[rows], y, len(chosen), l2)
-        return View(self.keys[chosen], w, self.mean, self.scale, d, b)
+        dense = np.column_stack((self.raw, taught.sums(self.h, self.of, len(self.raw))))
+        mean, scale = dense.mean(axis=0), dense.std(axis=0) + 1e-6
+        w, d, b = fit(place[feature[some]], row[some], ((dense - mean) / scale).clip(-5, 5)[rows], y, len(chosen), l2)
+        return View(Table(self.keys[chosen], w), taught, mean, scale, d, b)
 
     def logit(self, view: View) -> np.ndarray:
-        return view.logit(*view.find(self.keys[self.feature], self.row), self.raw)
+        return view.logit(self.h, self.of, self.raw)
+
+
+def z_score(c1: np.ndarray, c0: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Of a feature in c1 of n1 documents of one class and c0 of n0 of the other."""
+    share = (c1 + c0) / (n1 + n0)
+    return (c1 / n1 - c0 / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
 
 
 def platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -204,65 +227,146 @@ def platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return slope, b - slope * float(x.mean())
 
 
-def co_train(text: Sample, meta: Sample, y: np.ndarray, held: np.ndarray, rounds: int = ROUNDS, sure: float = SURE) -> dict:
+FIT, CALIBRATE, COMBINE = range(3)
+
+
+def fit_views(text: Sample, meta: Sample, y: np.ndarray, part: np.ndarray, taught: tuple[Table, Table] = (NOTHING, NOTHING)) -> dict:
     """Both calibrated views and the weights of their combination; y is NaN where there is no label."""
-    known, pool = np.flatnonzero(~np.isnan(y) & ~held), np.flatnonzero(np.isnan(y))
-    test = np.flatnonzero(~np.isnan(y) & held)
-    samples, l2 = (text, meta), (0.05, 3.0)
-    taught = [(np.zeros(0, np.int64), np.zeros(0)), (np.zeros(0, np.int64), np.zeros(0))]
-    views: list[View] = []
-    for i in range(rounds + 1):
-        views = []
-        for s, (rows, labels), reg in zip(samples, taught, l2, strict=True):
-            view = s.fit(np.concatenate((known, rows)), np.concatenate((y[known], labels)), reg)
-            view.slope, view.shift = platt(s.logit(view)[test], y[test])
-            views.append(view)
-        if i == rounds:
-            break
-        for teacher, learner in ((0, 1), (1, 0)):
-            p = sigmoid(samples[teacher].logit(views[teacher]))[pool]
-            certain = (p >= sure) | (p <= 1 - sure)
-            taught[learner] = pool[certain], (p[certain] > 0.5).astype(float)
-    none = np.zeros(0, np.int64)
-    both = np.column_stack([s.logit(v) for s, v in zip(samples, views, strict=True)])[test]
-    _, weights, bias = fit(none, none, both, y[test], 0, 1.0, 400)
+    fitted, tested, last = (np.flatnonzero(~np.isnan(y) & (part == x)) for x in (FIT, CALIBRATE, COMBINE))
+    views, none = [], np.zeros(0, np.int64)
+    for s, table, l2 in zip((text, meta), taught, (0.05, 3.0), strict=True):
+        view = s.fit(fitted, y[fitted], l2, table)
+        view.slope, view.shift = platt(s.logit(view)[tested], y[tested])
+        views.append(view)
+    both = np.column_stack([text.logit(views[0]), meta.logit(views[1])])[last]
+    _, weights, bias = fit(none, none, both, y[last], 0, 1.0, 400)
     return {"views": views, "weights": np.maximum(weights, 0), "bias": bias}
 
 
-def _train(pdf: pd.DataFrame, rounds: int, max_words: int) -> pd.DataFrame:
+def _fit(pdf: pd.DataFrame, taught: dict) -> pd.DataFrame:
     pdf = pdf.sort_values("doc_id", kind="stable")
     dense = np.stack([np.frombuffer(x) for x in pdf["dense"]])
     meta = [np.frombuffer(x, np.uint64) for x in pdf["meta"]]
-    text = Sample([np.frombuffer(x, np.uint64) for x in pdf["words"]], dense, max_words)
-    page = Sample(meta, pdf[["length"]].to_numpy(), max_words)
-    held = mix(pdf["doc_id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(5) == 0
+    text = Sample([np.frombuffer(x, np.uint64) for x in pdf["words"]], dense)
+    page = Sample(meta, pdf[["length"]].to_numpy())
+    fifth = mix(pdf["doc_id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(5)
+    part = np.where(fifth == 0, CALIBRATE, np.where(fifth == 1, COMBINE, FIT))
     models = {}
     for target in TARGETS:
         y = pdf[target].to_numpy(dtype=float, na_value=np.nan)
-        classes = [np.count_nonzero(y[side] == c) for side in (held, ~held) for c in (0, 1)]
-        models[target] = co_train(text, page, y, held, rounds) if min(classes) >= 3 else None
+        classes = [np.count_nonzero(y[part == side] == c) for side in (FIT, CALIBRATE, COMBINE) for c in (0, 1)]
+        models[target] = fit_views(text, page, y, part, taught.get(target, (NOTHING, NOTHING))) if min(classes) >= 3 else None
     return pd.DataFrame({"model": [pickle.dumps(models)]})
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: int) -> DataFrame:
-    """Features and labels of the bounded sample, chosen by the hash of doc_id."""
+def sample_of(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> DataFrame:
+    """Features and labels of the bounded sample of labelled documents, chosen by the hash of doc_id.
+
+    Of rows with one id, the one with the smallest hash of its columns stands for all.
+    """
     labels = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((1 - F.min("quality")).cast("double").alias("low_quality"), F.max("toxic").cast("double").alias("toxic"))
-    some = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
-    pool = docs.select("doc_id").where("doc_id is not null").distinct().join(labels, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool_rows)
-    chosen = some.unionByName(pool.select("doc_id", F.lit(None).cast("double").alias("low_quality"), F.lit(None).cast("double").alias("toxic")))
-    # at most labelled_rows + pool_rows ids, so it can be sent to all
-    texts = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    marks = ["low_quality", "toxic"]
-    feats = texts.select("doc_id", "text", "lang", "source", "n_chars").mapInArrow(_features, _FEATURES)
-    return feats.join(F.broadcast(chosen), "doc_id").select(*feats.columns, *marks)
-
-
-def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS, rounds: int = ROUNDS, max_words: int = MAX_WORDS) -> dict:
-    """Models by target; None where the sample has too few labels of a class."""
+    chosen = labels.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
+    # at most labelled_rows ids, so it can be sent to all
+    row = F.struct("text", "lang", "source", "n_chars")
+    texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min_by(row, F.struct(F.xxhash64(row), "text")).alias("row")).select("doc_id", "row.*")
+    feats = texts.mapInArrow(_features, _FEATURES)
+    return feats.join(F.broadcast(chosen), "doc_id").select(*feats.columns, *TARGETS)
+
+
+TEXT, META = range(2)
+_COUNT = "target int, view int, key long, n1 long, n0 long"
+
+
+def sure_counts(texts: tuple[np.ndarray, np.ndarray], metas: tuple[np.ndarray, np.ndarray], probabilities: np.ndarray, target: int, sure: float) -> list[tuple[np.ndarray, ...]]:
+    """(target, view, key, n1, n0) of what sure documents of one view tell the other; key 0 counts the documents.
+
+    texts and metas are (hash, row) of either view's features, probabilities those of both views for each row.
+    """
+    out = []
+    for teacher, learner, (h, row) in ((TEXT, META, metas), (META, TEXT, texts)):
+        p = probabilities[:, teacher]
+        certain, yes = (p >= sure) | (p <= 1 - sure), p > 0.5
+        some = certain[row]
+        h, row = np.concatenate((h[some], np.zeros(certain.sum(), np.uint64))), np.concatenate((row[some], np.flatnonzero(certain)))
+        keys, inverse = np.unique(h, return_inverse=True)
+        n1 = np.bincount(inverse, weights=yes[row], minlength=len(keys)).astype(np.int64)
+        n = np.bincount(inverse, minlength=len(keys))
+        if len(keys):
+            out.append((np.full(len(keys), target, np.int32), np.full(len(keys), learner, np.int32), keys, n1, n - n1))
+    return out
+
+
+def _teach(batches: Iterator[pa.RecordBatch], models: dict, sure: float) -> Iterator[pa.RecordBatch]:
+    """Counts of sure documents, summed for some batches at a time."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def flush() -> pa.RecordBatch:
+        target, view, key, n1, n0 = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        order = np.lexsort((key, view, target))
+        target, view, key = target[order], view[order], key[order]
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (view[1:] != view[:-1]) | (target[1:] != target[:-1]))))
+        return pa.RecordBatch.from_arrays([pa.array(target[first]), pa.array(view[first]), pa.array(key[first].view(np.int64)), *(pa.array(np.add.reduceat(x[order], first)) for x in (n1, n0))], names=[x.split()[0] for x in _COUNT.split(", ")])
+
+    for batch in batches:
+        for _, w, dense, meta, length in _texts(batch):
+            texts, metas = marks(w), (meta.ravel(), np.repeat(np.arange(w.count), meta.shape[1]))
+            pairs = np.unique(np.stack((texts[1].astype(np.uint64), texts[0])), axis=1)  # a feature counts once for a document
+            texts = pairs[1], pairs[0].astype(np.int64)
+            for i, target in enumerate(TARGETS):
+                if models[target] is not None:
+                    views = models[target]["views"]
+                    p = sigmoid(np.column_stack((views[TEXT].logit(*texts, dense), views[META].logit(*metas, length[:, None]))))
+                    held += sure_counts(texts, metas, p, i, sure)
+            if sum(len(x[0]) for x in held) > 1 << 20:
+                yield flush()
+    if held:
+        yield flush()
+
+
+def log_odds(keys: np.ndarray, n1: np.ndarray, n0: np.ndarray, all1: float, all0: float) -> Table:
+    order = np.argsort(keys)
+    return Table(keys[order], np.clip(np.log((n1 + 1) / (all1 + 2)) - np.log((n0 + 1) / (all0 + 2)), -4, 4)[order])
+
+
+def _taught(counts: DataFrame, most: int) -> dict:
+    """Taught tables by target, from the summed counts of sure documents: the features that tell classes apart best, `most` at most."""
+    out: dict = {}
+    totals = {(r.target, r.view): (r.n1, r.n0) for r in counts.where("key = 0").collect()}  # four rows at most
+    for i, target in enumerate(TARGETS):
+        tables = []
+        for view in (TEXT, META):
+            all1, all0 = totals.get((i, view), (0, 0))
+            if not all1 or not all0:
+                tables.append(NOTHING)  # of one class only: nothing to tell apart
+                continue
+            n1, n0, share = F.col("n1"), F.col("n0"), (F.col("n1") + F.col("n0")) / F.lit(float(all1 + all0))
+            z = F.abs(n1 / F.lit(float(all1)) - n0 / F.lit(float(all0))) / F.sqrt(share * (1 - share) * F.lit(1 / all1 + 1 / all0) + 1e-12)
+            some = counts.where((F.col("target") == i) & (F.col("view") == view) & (F.col("key") != 0) & (n1 + n0 >= MIN_DOCS) & (z >= LEAST_Z))
+            best = some.select("key", "n1", "n0").orderBy(z.desc(), "key").limit(most).toPandas()
+            tables.append(log_odds(best["key"].to_numpy().astype(np.int64).view(np.uint64), best["n1"].to_numpy(), best["n0"].to_numpy(), all1, all0))
+        out[target] = tuple(tables)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, rounds: int = ROUNDS, sure: float = SURE, taught_words: int = TAUGHT_WORDS) -> dict:
+    """Models by target; None where the sample has too few labels of a class.
+
+    Each round is a pass over all of docs.  Labels of documents that docs hasn't aren't used; null or
+    repeated labels count as the worst that is said of a document.
+    """
     docs = _columns(docs)
-    sample = sample_of(docs, labels, labelled_rows, pool_rows)
-    rows = sample.groupBy(F.lit(0).alias("all")).applyInPandas(lambda pdf: _train(pdf, rounds, max_words), "model binary").collect()
-    return pickle.loads(rows[0].model) if rows else dict.fromkeys(TARGETS)
+    sample, context = cut(sample_of(docs, labels, labelled_rows)), docs.sparkSession.sparkContext
+    fitted = lambda taught: sample.groupBy(F.lit(0).alias("all")).applyInPandas(lambda pdf: _fit(pdf, taught), "model binary").collect()
+    taught: dict = {}
+    for i in range(rounds + 1):
+        rows = fitted(taught)
+        models = pickle.loads(rows[0].model) if rows else dict.fromkeys(TARGETS)
+        if i == rounds or not any(models.values()):
+            return models
+        sent = context.broadcast(models)
+        counts = docs.mapInArrow(lambda it, sent=sent: _teach(it, sent.value, sure), _COUNT).groupBy("target", "view", "key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+        taught = _taught(cut(counts.where(f"key = 0 or n1 + n0 >= {MIN_DOCS}")), taught_words)
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -272,7 +376,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 def _score(batches: Iterator[pa.RecordBatch], models: dict) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, w, dense, meta, length in _texts(batch):
-            (h, row), mrow = marks(w), np.repeat(np.arange(w.count), 3)
+            (h, row), mrow = marks(w), np.repeat(np.arange(w.count), meta.shape[1])
             out = []
             for target in TARGETS:
                 model = models[target]
@@ -280,7 +384,7 @@ def _score(batches: Iterator[pa.RecordBatch], models: dict) -> Iterator[pa.Recor
                     out += [np.zeros(w.count)] * 3
                     continue
                 text, page = model["views"]
-                logits = np.column_stack((text.logit(*text.find(h, row), dense), page.logit(*page.find(meta.ravel(), mrow), length[:, None])))
+                logits = np.column_stack((text.logit(h, row, dense), page.logit(meta.ravel(), mrow, length[:, None])))
                 out += [sigmoid(logits[:, 0]), sigmoid(logits[:, 1]), sigmoid(logits @ model["weights"] + model["bias"])]
             empty = np.diff(w.bounds) == 0
             out[2] = np.where(empty, 1.0, out[2])
@@ -303,7 +407,11 @@ def score(docs: DataFrame, models: dict) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, models: dict) -> DataFrame:
-    """The rows of docs that the verdict keeps, as they are."""
+    """The rows of docs that the verdict keeps, as they are.
+
+    Null and empty texts go; null ids, sources, languages and lengths are values like others; each of
+    repeated rows is judged by itself, so all of them stay or go; other columns are carried along.
+    """
     sent, names = docs.sparkSession.sparkContext.broadcast(models), docs.columns
     need = ["doc_id", "text", "lang", "source", "n_chars"]
     kinds = dict(doc_id=pa.int64(), n_chars=pa.float64())

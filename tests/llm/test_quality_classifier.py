@@ -49,25 +49,43 @@ def test_held_out_accuracy_and_odd_rows(spark):
 
 
 def test_pseudo_labels_help_a_view_with_few_labels():
-    """The text view has few labels; the metadata view's sure ones on the pool teach it."""
+    """The text view has few labels; what the metadata view is sure of in the others teaches it."""
     rng = np.random.default_rng(2)
     n = 1200
     y = (rng.random(n) < 0.5).astype(float)
-    words = [np.unique(np.where(rng.random(40) < 0.25, 1000 + 500 * t + rng.integers(0, 60, 40), rng.integers(0, 400, 40)).astype(np.uint64)) for t in y.astype(int)]
-    text = qc.Sample(words, np.zeros((n, 1)), 5000)
-    meta = qc.Sample([np.zeros(0, np.uint64)] * n, (y * 4 + rng.normal(0, 0.6, n))[:, None], 5000)
+    words = [np.unique(np.where(rng.random(40) < 0.25, 1000 + 500 * t + rng.integers(0, 60, 40), rng.integers(1, 400, 40)).astype(np.uint64)) for t in y.astype(int)]
+    text = qc.Sample(words, np.zeros((n, 1)))
+    meta = qc.Sample([np.zeros(0, np.uint64)] * n, (y * 4 + rng.normal(0, 0.6, n))[:, None])
     known = y.copy()
-    known[160:] = np.nan
-    held = np.arange(n) % 2 == 0
-    pool = np.arange(n) >= 160
-    accuracy = []
-    for rounds in (0, 2):
-        model = qc.co_train(text, meta, known, held, rounds)
-        view = model["views"][0]
-        accuracy.append(np.mean((text.logit(view)[pool] > 0) == (y[pool] > 0)))
+    known[240:] = np.nan
+    part = np.array([qc.FIT, qc.CALIBRATE, qc.COMBINE])[np.arange(n) % 3]
+    pool = np.arange(n) >= 240
+    before = qc.fit_views(text, meta, known, part)
+    p = qc.sigmoid(np.column_stack((text.logit(before["views"][0]), meta.logit(before["views"][1]))))
+    counts = qc.sure_counts((text.h, text.of), (meta.h, meta.of), p, 0, 0.95)
+    (_, view, keys, n1, n0) = counts[-1]
+    assert view[0] == qc.TEXT and keys[0] == 0 and n1[0] + n0[0] > 600
+    after = qc.fit_views(text, meta, known, part, (qc.log_odds(keys[1:], n1[1:], n0[1:], n1[0], n0[0]), qc.NOTHING))
+    accuracy = [np.mean((text.logit(m["views"][0])[pool] > 0) == (y[pool] > 0)) for m in (before, after)]
     assert accuracy[1] > accuracy[0] + 0.03 and accuracy[1] > 0.85
 
 
+def test_the_model_covers_all_documents_and_is_the_same_again(spark):
+    docs, labels, _ = corpus()
+    # words that no labelled document has go with the spam source
+    docs = [(i, t + (" pillz" if s == "spamhost" and i % 2 == 0 else ""), lang, s, n) for i, t, lang, s, n in docs]
+    rows = docs + [(3, "other text of this id", "en", "host1", 4), docs[7]]
+    df, lab = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    models = [qc.train(x, lab, sure=0.9) for x in (df.repartition(1), df.repartition(7))]
+    got = [sorted((str(r.doc_id), r.kept, round(r.p_low_quality, 6), round(r.p_toxic, 6)) for r in qc.score(df, m).collect()) for m in models]
+    assert got[0] == got[1]
+    text = models[0]["low_quality"]["views"][0]
+    taught = dict(zip(text.taught.keys.tolist(), text.taught.values.tolist()))
+    import pyarrow as pa
+    h = next(qc.word_chunks(pa.array(["pillz"]), lower=True)).hash[0]
+    assert taught[int(h)] > 1 and int(h) not in text.weights.keys.tolist()
+
+
 def test_without_labels_nothing_is_rejected(spark):
     docs, _, _ = corpus(40)
     df = spark.createDataFrame(docs, SCHEMA)
