@@ -10,39 +10,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from florispark.llm import bpe, decontamination, line_dedup, ngram_join, quality_classifier
-from florispark.llm.common import read, work_dir
+from florispark.llm import bpe, common, decontamination, line_dedup, ngram_join, quality_classifier
+from florispark.llm.common import cut, read, work_dir
 from florispark.llm.queries import vocab_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier finds of low quality or toxic go; it is fitted on the labelled ones of these."""
+    """Documents that the classifier finds of low quality or toxic go; it is fitted on the labelled ones of these.
+
+    Null and empty texts are of low quality.  Rows without id and repeated rows are judged like all.
+    Without enough labels, and of an empty table, nothing else goes.
+    """
     return quality_classifier.keep_good(docs, quality_classifier.train(docs, read(spark, sf_dir, "labels")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are in an earlier document, or one word away from one, go, and documents left without a word; n_chars follows."""
+    """Lines that are in an earlier document, or one word away from one, go, and documents left without a word; n_chars follows.
+
+    Rows without id come first in order; rows alike in id and text are one document, and all of
+    them stay or go.  Null and empty texts stay as they are.
+    """
     out = line_dedup.remove_lines(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+ROW = "__near_copies_row"
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (5-word shingles, Jaccard similarity of 0.8), the document with the smallest id stays.
+    """Of each group of near copies (5-word shingles, Jaccard similarity of 0.8), one document stays: that with the smallest id.
 
-    Rows without id stay.  Rows alike in id and text are one document.
+    Rows are numbered in order of id and text, those without id after all others, so that these are
+    compared as well; rows alike in id and text have one number and are one document.  Texts
+    without a word stay.
     """
-    first = ngram_join.ngram_jaccard_components(docs, k=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(docs.columns)
+    named = docs.withColumn(ROW, F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("th")))
+    names = named.select(ROW).distinct()
+    repeated = names.groupBy(f"{ROW}.none", f"{ROW}.id").agg(F.count("*").alias("n")).where("none or n > 1")
+    if repeated.isEmpty():  # ids tell all rows apart
+        first = ngram_join.ngram_jaccard_components(docs, k=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
+        return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    numbers = cut(common.numbered(names, ROW, "__near_copies_number"))
+    told = named.join(numbers, ROW).withColumnRenamed("__near_copies_number", "__n")
+    first = ngram_join.ngram_jaccard_components(told, k=5, percent=80, id_col="__n").where("component_id = doc_id").select(F.col("doc_id").alias("__n")).distinct()
+    return told.join(first, "__n", "left_semi").dropDuplicates(["__n"]).select(docs.columns)
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
-    bad = decontamination.contamination(docs.where("doc_id is not null"), read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Documents that contain a benchmark item go, each row by its own text, with or without id; repeated rows and texts without words stay."""
+    return decontamination.remove_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens of each document, and digests of its ids and of their decoding."""
+    """Number of tokens of each document, and digests of its ids and of their decoding.
+
+    A row for each row, repeated ones and those without id too; null and empty texts have no tokens.
+    """
     return bpe.encoding_digests(docs, vocab_path())
 
 

@@ -18,12 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 18
+BUCKET_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one set here where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master only, one set here where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + os.path.join(tempfile.gettempdir(), "florispark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,10 +62,29 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def buckets(docs: DataFrame, column: str, share: float) -> int:
+    """Buckets to deal what is gathered from a text column, `share` bytes for each of its bytes, into groups of about BUCKET_BYTES."""
+    size = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    return max(partitions(docs), int(size * share) // BUCKET_BYTES + 1)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """The rows of df, which are distinct, with numbers 0, 1, ... in the order of a column: sorted by ranges, whose sizes give each its first number."""
+    ranged = cut(df.repartitionByRange(partitions(df), order).sortWithinPartitions(order).select("*", F.monotonically_increasing_id().alias("__at")))
+    block = F.shiftright("__at", 33)
+    sizes = sorted((r["b"], r["n"]) for r in ranged.groupBy(block.alias("b")).agg(F.count("*").alias("n")).collect())  # a row for each partition
+    starts, total = {}, 0
+    for b, n in sizes:
+        starts[b] = total
+        total += n
+    base = F.element_at(F.create_map(*(F.lit(x) for pair in starts.items() for x in pair)), block) if starts else F.lit(0)
+    return ranged.select(*df.columns, (base.cast("long") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+
+
 # ---- vectorised hashing -------------------------------------------------------------------------
 
 _B = np.uint64(0x9E3779B97F4A7C15)

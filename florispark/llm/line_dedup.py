@@ -28,7 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, mix, partitions, powers, prefix_hash, span_hash, word_chunks
+from .common import buckets as buckets_for
+from .common import Words, cut, mix, powers, prefix_hash, span_hash, word_chunks
 
 PACKET_LINES = 1 << 18
 _PACKET = "bucket int, kind int, id binary, th binary, line binary, k1 binary, k2 binary, keys binary"
@@ -242,7 +243,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def removed_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8) -> DataFrame:
     """Of named() documents, the lines that go, as (id, th, line, near)."""
-    place, buckets = F.struct("id", "th", "line"), partitions(docs)
+    place, buckets = F.struct("id", "th", "line"), buckets_for(docs, "text", 1.0)  # lines of some words have about as many bytes of hashes
     met = docs.mapInArrow(lambda it: _packets(it, min_words, near_words, buckets), _PACKET).groupBy("bucket").applyInPandas(lambda pdf: _meet_equal(pdf, buckets), _PACKET)
     met = cut(met)
     three = "id long, th long, line int"
@@ -287,17 +288,29 @@ def line_duplicates(docs: DataFrame, min_words: int = 3, near_words: int = 8, id
 def remove_lines(docs: DataFrame, min_words: int = 3, near_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without their duplicate lines; a document that has lost all its words goes.
 
-    A document none of whose lines go keeps its text as it is, empty or null.
+    A document none of whose lines go keeps its text as it is, empty or null.  Rows without id come
+    first in order; rows alike in id and text are one document, and each of them has a row.  Other
+    columns are carried along.
     """
     # names that no table has
     key, hash_, gone = "__line_dedup_id", "__line_dedup_th", "__line_dedup_gone"
     source = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn(hash_, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     found = _per_document(named(docs, id_col, text_col), min_words, near_words).select(F.col("id").alias(key), F.col("th").alias(hash_), F.col("gone").alias(gone))
-    out = source.join(found, [key, hash_], "left")
-    lines = F.split(text_col, "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
-    out = out.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(kept))
-    return out.where(F.col(gone).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+    at, schema = docs.columns.index(text_col), docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, dtype=bool)
+            for i, numbers in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if numbers is not None:
+                    numbers = set(numbers)
+                    texts[i] = "\n".join([x for n, x in enumerate(texts[i].split("\n")) if n not in numbers])
+                    keep[i] = any(x.strip(" \t\n\v\f\r") for x in texts[i].split("\n"))
+            columns = list(batch.columns)[:-1]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array(keep))
+
+    return source.join(found, [key, hash_], "left").select(*docs.columns, gone).mapInArrow(run, schema)
 
 
 ORACLE = r"""

@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, distinct_by_text, mix, partitions, shingles, word_chunks
+from .common import buckets as buckets_for
+from .common import components, cut, distinct_by_text, mix, shingles, word_chunks
 
 TILE = 256
 PACKET_KEYS = 1 << 20
@@ -211,7 +212,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = cut(docs.mapInArrow(lambda it: _sets(it, k), "doc_id long, n_shingles long, s1 long, s2 long"))
-    buckets = partitions(docs)
+    # a key for every few words: about as many bytes as the text has
+    buckets = buckets_for(docs, "text", 1.0)
     edges = docs.where("doc_id is not null").mapInArrow(lambda it: _packets(it, k, percent, buckets), _PACKET).groupBy("bucket").applyInPandas(_tie, "a long, b long")
     families = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     # a document whose copy repeats its id may be in a family without edges of its own

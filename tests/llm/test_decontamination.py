@@ -44,5 +44,9 @@ def test_every_contaminated_document_is_found(spark):
     for size in (1 << 24, 4000):
         got = [tuple(r) for r in decontamination.contamination(df, bench, block_bytes=size).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
+        clean = decontamination.remove_contaminated(df, bench, block_bytes=size)
+        dirty = [grams(t) for _, t in docs]
+        kept = [x for x, g in zip(docs, dirty, strict=True) if not any(grams(q) and 100 * len(grams(q) & g) >= 80 * len(grams(q)) for _, q in items)]
+        assert clean.columns == df.columns and sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(kept, key=str)
     assert decontamination.contamination(df.where("false"), bench).count() == 0
     assert decontamination.contamination(df, bench.where("false")).count() == 0
