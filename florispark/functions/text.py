@@ -198,3 +198,10 @@ def preferred_names(pool: Column, scientific: Column, most: int) -> Column:
     good = F.filter(pool, lambda x: x.isNotNull() & (F.lower(x) != F.lower(scientific)) & ~F.startswith(F.lower(x), genus))
     low = F.transform(good, F.lower)
     return F.slice(F.filter(good, lambda x, i: F.array_position(low, F.lower(x)) == i + 1), 1, most)
+
+
+def display_names(names: Column, most: int, other_than: Column | None = None, fallback: bool = False) -> Column:
+    """Up to `most` names of a language for a compound: no long ones, none that is the systematic name, systematic ones only as a fallback."""
+    fits = F.filter(names, lambda x: (F.length(x) <= 40) & (F.lower(x) != F.coalesce(F.lower(other_than), F.lit("")) if other_than is not None else F.lit(True)))
+    plain = F.filter(fits, lambda x: ~is_systematic(x))
+    return F.slice(F.when((F.size(plain) > 0) | F.lit(not fallback), plain).otherwise(fits), 1, most)

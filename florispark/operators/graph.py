@@ -2,37 +2,29 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """Rows from reliable storage: spark.checkpoint.dir, or a folder of this machine where that is unset, as in tests."""
-    spark: SparkSession = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "florispark-checkpoints"))
-    return df.checkpoint(eager=True)
+from florispark.session import cut
 
 
 def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", most_rounds: int = 40) -> DataFrame:
     """(node, ancestor) of a directed graph, cycles and diamonds allowed.
 
-    Path doubling: each round joins the pairs found so far with themselves, so rounds grow with the
-    logarithm of the depth.  Ends when the number of pairs stays.
+    Path doubling over new pairs only: each round joins the pairs that the last one found with all
+    pairs, on either side, so rounds grow with the logarithm of the depth and no two old pairs meet
+    again.  Ends when a round finds nothing new.
     """
-    pairs = cut(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).where("node is not null and ancestor is not null").distinct())
-    n = pairs.count()
+    new = pairs = cut(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).where("node is not null and ancestor is not null").distinct())
+    over = lambda low, high: low.select("node", F.col("ancestor").alias("_via")).join(high.select(F.col("node").alias("_via"), "ancestor"), "_via").select("node", "ancestor")
     for _ in range(most_rounds):
-        up = pairs.select(F.col("node").alias("_via"), F.col("ancestor").alias("_up"))
-        pairs = cut(pairs.union(pairs.join(up, F.col("ancestor") == F.col("_via")).select("node", F.col("_up").alias("ancestor"))).distinct())
-        if (m := pairs.count()) == n:
+        new = cut(over(new, pairs).union(over(pairs, new)).distinct().join(pairs, ["node", "ancestor"], "left_anti"))
+        if new.isEmpty():
             return pairs
-        n = m
+        pairs = cut(pairs.union(new))
     raise RuntimeError("the hierarchy is deeper than expected")
 
 

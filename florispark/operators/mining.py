@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from florispark.operators.relational import ordered
+from florispark.session import cut
+
 
 def similar_pairs(edges: DataFrame, owner: str, item: str, min_members: int = 10, min_shared: int = 5, least: float = 0.15) -> DataFrame:
     """(a, b, shared, n_a, n_b, jaccard) for owners a < b with that overlap of item sets.
@@ -13,7 +16,7 @@ def similar_pairs(edges: DataFrame, owner: str, item: str, min_members: int = 10
     first, of which a similar owner must have one (n - ceil(least * n) + 1 of n).  Common items sort
     last and so seldom meet; candidates are then counted on full sets, of sizes that can be similar.
     """
-    e = edges.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct()
+    e = cut(edges.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct())
     sizes = e.groupBy("o").agg(F.count("*").alias("n")).where(F.col("n") >= min_members)
     e = e.join(sizes, "o")
     common = e.groupBy("i").agg(F.count("*").alias("df"))
@@ -60,9 +63,8 @@ def sharing(edges: DataFrame, group: str, owner: str, item: str, least: int = 50
 
 
 def concentration_curve(df: DataFrame, key: str, ranks: list[int]) -> DataFrame:
-    """(rank, key, n, running, pct) at some ranks and the last: windows over one row for each key."""
+    """(rank, key, n, running, pct) at some ranks and the last."""
     g = df.groupBy(key).agg(F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("n"), key)
-    g = g.withColumn("rank", F.row_number().over(w)).withColumn("running", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    g = g.withColumn("total", F.sum("n").over(Window.partitionBy())).withColumn("last", F.count("*").over(Window.partitionBy()))
+    total = g.agg(F.sum("n").alias("total"), F.count("*").alias("last"))  # one row
+    g = ordered(g, [F.desc("n"), F.asc(key)], "n").withColumnsRenamed({"_rank": "rank", "_running": "running"}).crossJoin(F.broadcast(total))
     return g.where(F.col("rank").isin(*ranks) | (F.col("rank") == F.col("last"))).select("rank", key, "n", "running", (F.col("running").cast("double") * 100 / F.col("total")).alias("pct"))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from florispark.session import cut
+
 
 def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) -> DataFrame:
     """NOT IN (subquery), null-aware: with a null on the right nothing is left; a null on the left never is, unless the right is empty."""
@@ -34,9 +36,28 @@ def max_rows(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.join(df.groupBy(*keys).agg(F.max(value).alias("_m")), list(keys)).where(F.col(value) == F.col("_m")).drop("_m")
 
 
+def ordered(df: DataFrame, order: Sequence[Column], value: str | None = None) -> DataFrame:
+    """df with _rank, from 1 in an order, and _running, the running sum of a value (or of ones), without a task that gets all rows.
+
+    Rows are dealt by ranges of the order; each range counts its own, and gets what the ranges before
+    it hold, of which the driver sees one number for each range.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    own = F.col(value) if value else F.lit(1)
+    dealt = cut(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).withColumn("_own", own.cast("long")))
+    before, ranks, sums = [], 0, 0
+    for r in sorted(dealt.groupBy("_part").agg(F.count("*").alias("n"), F.sum("_own").alias("s")).collect()):
+        before.append((r["_part"], ranks, sums))
+        ranks, sums = ranks + r["n"], sums + r["s"]
+    starts = F.broadcast(df.sparkSession.createDataFrame(before, "_part int, _r0 long, _s0 long"))  # a row for each range
+    w = Window.partitionBy("_part").orderBy(*order)
+    ranked = dealt.withColumn("_r", F.row_number().over(w)).withColumn("_s", F.sum("_own").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return ranked.join(starts, "_part").select(*df.columns, (F.col("_r") + F.col("_r0")).alias("_rank"), (F.col("_s") + F.col("_s0")).alias("_running"))
+
+
 def dense_index(df: DataFrame, name: str) -> DataFrame:
-    """(name, n, index): a dimension numbered by frequency, then name.  A window over distinct names, not rows."""
-    return df.groupBy(name).agg(F.count("*").alias("n")).withColumn("index", F.row_number().over(Window.orderBy(F.desc("n"), name)) - 1)
+    """(name, n, index): a dimension numbered by frequency, then name."""
+    return ordered(df.groupBy(name).agg(F.count("*").alias("n")), [F.desc("n"), F.asc(name)]).select(name, "n", (F.col("_rank") - 1).alias("index"))
 
 
 def share_of_total(df: DataFrame, key: str | Column, name: str) -> DataFrame:
@@ -109,7 +130,19 @@ def checks(rows: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [d.select(F.lit(label).alias("label"), test.alias("ok"), F.col("observed").cast("bigint").alias("observed")) for label, d, test in rows])
 
 
-def upper_median(c: str) -> Column:
-    """The element at n // 2 of the sorted values."""
-    s = F.sort_array(F.collect_list(c))
-    return F.get(s, F.floor(F.size(s) / 2).cast("int"))
+def upper_median(df: DataFrame, value: str) -> DataFrame:
+    """(value): the element at n // 2 of the sorted values, from their counts; no task gets all of them."""
+    g = ordered(df.groupBy(value).agg(F.count("*").alias("_n")), [F.asc(value)], "_n")
+    half = df.agg(F.floor(F.count(value) / 2).alias("_half"))  # one row
+    return g.where(F.col(value).isNotNull()).crossJoin(F.broadcast(half)).where((F.col("_running") > F.col("_half")) & (F.col("_running") - F.col("_n") <= F.col("_half"))).select(value)
+
+
+def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:
+    """UPDATE ... SET ... WHERE: new values of some columns where a condition holds, from the row as it was."""
+    return df.select(*(F.when(condition, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns))
+
+
+def update_keys(df: DataFrame, key: str, keys: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """UPDATE ... WHERE key IN (keys), for any number of keys: a join, not batches of literals."""
+    hit = keys.select(F.col(key)).distinct().withColumn("_hit", F.lit(True))
+    return update_where(df.join(hit, key, "left"), F.col("_hit").isNotNull(), values).select(df.columns)

@@ -19,11 +19,12 @@ def lookup(requests: DataFrame, items: DataFrame, query: str = "query") -> DataF
     return requests.select(query).distinct().join(hits, query, "left").select(query, "ref_no", "name")
 
 
-def search(items: DataFrame, text: str, fields: Sequence[str], keep: Column | None = None, limit: int = 20) -> DataFrame:
+def search(items: DataFrame, text: str, fields: Sequence[str], keep: Column | None = None, limit: int = 20, function: str | None = None, family: str | None = None, restricted_only: bool = False) -> DataFrame:
     """Hits by score (3 the name, 2 in the name, 1 in another field), then name and ref_no.
 
-    The scan ends after 5 * limit hits in name order, which belongs to the result; a top-k in name
-    order says the same without a global sort of all items.
+    A function or family that no item has is no filter, in any case of letters.  The scan ends after
+    5 * limit hits in name order, which belongs to the result; a top-k in name order says the same
+    without a global sort of all items.
     """
     q = text.strip().lower()
     low = F.lower("name")
@@ -31,15 +32,45 @@ def search(items: DataFrame, text: str, fields: Sequence[str], keep: Column | No
     for f in fields:
         other |= F.contains(F.lower(F.coalesce(F.col(f).cast("string"), F.lit(""))), F.lit(q))
     score = F.when(low == q, 3).when(F.contains(low, F.lit(q)), 2).when(other, 1).otherwise(0)
+    if function is not None:
+        has = F.exists("functions", lambda x: F.upper(x) == function.upper())
+        items = _if_known(items, has)
+    if family is not None:
+        items = _if_known(items, F.lower("family") == family.lower())
+    if restricted_only:
+        items = items.where(F.nullif("restriction", F.lit("")).isNotNull())
     hits = items.where(keep if keep is not None else F.lit(True)).withColumn("score", score.cast("bigint")).where("score > 0")
     return hits.orderBy("name", "ref_no").limit(5 * limit).orderBy(F.desc("score"), "name", "ref_no").limit(limit)
 
 
+def _if_known(items: DataFrame, condition: Column) -> DataFrame:
+    some = items.where(condition)
+    return items if some.isEmpty() else some
+
+
+def grams(text: Column) -> Column:
+    """The distinct stretches of one to three characters of a text."""
+    of = lambda n: F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(of(1), of(2), of(3)))
+
+
+def within(parts: DataFrame, wholes: DataFrame) -> DataFrame:
+    """(part, whole) where a string is within another: they meet by the part's rarest three letters (all of it, if shorter), and are verified.
+
+    Both frames have one column of distinct strings, `part` and `whole`.
+    """
+    inside = wholes.select("whole", F.explode(grams(F.col("whole"))).alias("gram"))
+    longest = lambda: F.filter(grams(F.col("part")), lambda g: F.length(g) == F.least(F.length("part"), F.lit(3)))
+    own = parts.select("part", F.explode(longest()).alias("gram"))
+    often = inside.groupBy("gram").agg(F.count("*").alias("n"))
+    rare = own.join(often, "gram", "left").groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("m")).select("part", F.col("m.gram").alias("gram"))
+    return rare.join(inside, "gram").where(F.contains("whole", F.col("part"))).select("part", "whole").distinct()
+
+
 def match_list(labels: DataFrame, items: DataFrame, label: str = "label", position: str = "position") -> DataFrame:
     """(position, label, ref_no, name, tier): exact in upper case (last ref), without white space (first), one within the other (first in name order).
 
-    Only labels without an earlier hit reach the last tier; a label list is short, and its rest is
-    broadcast where its size has been counted, else joined by blocks of Spark's choice.
+    Only labels without an earlier hit reach the last tier, where labels and names meet by rare letters.
     """
     q = labels.where(F.trim(label) != "").select(position, label).withColumn("_u", F.upper(F.trim(label)))
     squeeze = lambda c: F.regexp_replace(F.upper(c), r"\s+", "")
@@ -48,7 +79,9 @@ def match_list(labels: DataFrame, items: DataFrame, label: str = "label", positi
     rest = q.join(exact, position, "left_anti")
     loose = rest.withColumn("_s", squeeze("_u")).join(names.groupBy(squeeze(F.col("name")).alias("_s")).agg(F.min("ref_no").alias("ref_no")), "_s").select(position, "ref_no", F.lit(2).alias("tier"))
     rest = rest.join(loose, position, "left_anti")
-    part = rest.join(names, F.contains(F.upper("name"), F.col("_u")) | F.contains(F.col("_u"), F.upper("name")))
+    low, high = rest.select("_u").distinct(), names.select(F.upper("name").alias("_n")).where("_n <> ''").distinct()
+    meet = within(low.toDF("part"), high.toDF("whole")).toDF("_u", "_n").union(within(high.toDF("part"), low.toDF("whole")).select("whole", "part"))
+    part = rest.join(meet, "_u").join(names.withColumn("_n", F.upper("name")), "_n")
     part = part.groupBy(position).agg(F.min(F.struct("name", "ref_no")).alias("m")).select(position, F.col("m.ref_no").alias("ref_no"), F.lit(3).alias("tier"))
     hits = exact.union(loose).union(part)
     return q.join(hits, position, "left").join(names, "ref_no", "left").select(position, label, "ref_no", "name", F.col("tier").cast("bigint").alias("tier"))
@@ -71,9 +104,9 @@ def browse(compounds: DataFrame, ranges: dict[str, tuple[float, float]], order:
 def quota(first: DataFrame, second: DataFrame, total: int, reserved: int, order: Sequence[Column | str]) -> DataFrame:
     """Up to `reserved` rows of second, and of first what is left of `total`; rows have a 'kind'."""
     b = second.orderBy(*order).limit(reserved)
-    a = first.orderBy(*order).withColumn("_r", F.row_number().over(Window.orderBy(*order)))
+    a = first.orderBy(*order).limit(total).withColumn("_r", F.row_number().over(Window.orderBy(*order)))  # over `total` rows at most
     n = b.agg(F.count("*").alias("_n"))
-    return a.where(F.col("_r") <= total).crossJoin(F.broadcast(n)).where(F.col("_r") <= total - F.col("_n")).drop("_r", "_n").unionByName(b)
+    return a.crossJoin(F.broadcast(n)).where(F.col("_r") <= total - F.col("_n")).drop("_r", "_n").unionByName(b)
 
 
 def localized(language: str, fallback: Sequence[str]) -> Column:

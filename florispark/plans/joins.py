@@ -64,10 +64,10 @@ def normalised_name(spark, sf):
     return a.join(b, "k").select("a", "b")
 
 
-@query("join_prefix_two_words", "WITH o AS (SELECT ref_no, name || ' var' || (ref_no % 3) AS org FROM ing ) SELECT DISTINCT i.name AS alias, o.org FROM o JOIN ing i ON split_part(o.org, ' ', 1) || ' ' || split_part(o.org, ' ', 2) = i.name WHERE o.ref_no < 500")
+@query("join_prefix_two_words", "WITH o AS (SELECT ref_no, name || ' var' || (ref_no % 3) AS org FROM ing ) SELECT DISTINCT i.name AS alias, o.org FROM o JOIN ing i ON split_part(o.org, ' ', 1) || ' ' || split_part(o.org, ' ', 2) = i.name")
 def prefix_two(spark, sf):
     ing = ingredient(spark, sf)
-    o = ing.where("ref_no < 500").select(F.concat("name", F.lit(" var"), (F.col("ref_no") % 3).cast("string")).alias("org"))
+    o = ing.select(F.concat("name", F.lit(" var"), (F.col("ref_no") % 3).cast("string")).alias("org"))
     return o.join(ing.select(F.col("name").alias("alias")).distinct(), first_words(F.col("org"), 2) == F.col("alias")).select("alias", "org").distinct()
 
 

@@ -29,6 +29,7 @@ def concentration(spark, sf):
 SELECT category, s.family, n_used, n_candidates FROM s JOIN c ON s.family = c.family""",
 )
 def gaps(spark, sf):
+    """Organisms in use are one part of the table and the wider catalogue is another: what isn't in use has to be elsewhere."""
     p = table(spark, sf, "part").select(F.col("p_brand").alias("genus"), F.col("p_type").alias("family"), F.col("p_name").alias("member"), "p_size", "p_partkey", F.when(F.col("p_size") % 2 == 0, "even").otherwise("odd").alias("category"))
     return M.gaps(p.where("p_size <= 15"), p.where("p_size > 30 and p_partkey % 3 = 0").select("genus", "member").distinct(), "category", "family", "member", "genus")
 
@@ -43,15 +44,15 @@ same("mine_convergent", "SELECT category, count(DISTINCT kingdom) AS orders, cou
 
 @query(
     "mine_niche",
-    """WITH f AS (SELECT ref_no, family, ord, unnest(functions) AS fn FROM ing WHERE size <= 3), g AS (SELECT fn, ord, count(DISTINCT family) AS n_sp FROM f GROUP BY fn, ord),
- t AS (SELECT fn, count(*) AS orders, CAST(sum(n_sp) AS BIGINT) AS species, max(n_sp) AS m FROM g GROUP BY fn HAVING count(*) <= 5 AND sum(n_sp) >= 2)
+    """WITH f AS (SELECT ref_no, family, ord, unnest(functions) AS fn FROM ing ), g AS (SELECT fn, ord, count(DISTINCT family) AS n_sp FROM f GROUP BY fn, ord),
+ t AS (SELECT fn, count(*) AS orders, CAST(sum(n_sp) AS BIGINT) AS species, max(n_sp) AS m FROM g GROUP BY fn HAVING count(*) <= 6 AND sum(n_sp) >= 2)
 SELECT t.fn, t.orders, t.species, g.ord, g.n_sp FROM t JOIN g ON g.fn = t.fn AND g.n_sp = t.m""",
 )
 def niche(spark, sf):
     """Niche categories with their dominant groups, ties included."""
-    f = ingredient(spark, sf).where("size <= 3").select("family", "ord", F.explode("functions").alias("fn"))
+    f = ingredient(spark, sf).select("family", "ord", F.explode("functions").alias("fn"))
     g = f.groupBy("fn", "ord").agg(F.countDistinct("family").alias("n_sp"))
-    t = g.groupBy("fn").agg(F.count("*").alias("orders"), F.sum("n_sp").alias("species"), F.max("n_sp").alias("m")).where("orders <= 5 and species >= 2")
+    t = g.groupBy("fn").agg(F.count("*").alias("orders"), F.sum("n_sp").alias("species"), F.max("n_sp").alias("m")).where("orders <= 6 and species >= 2")
     return t.join(g, "fn").where("n_sp = m").select("fn", "orders", "species", "ord", "n_sp")
 
 
@@ -76,16 +77,14 @@ def part_function(spark, sf):
     return g.where("functions >= 5").select("part", "functions", F.array_join(F.slice("names", 1, 5), "|").alias("first_names"))
 
 
-# edges of one kind of reference, so that sets are far from alike
-PAIR_EDGES = "SELECT DISTINCT l_suppkey AS o, l_partkey % 977 AS i FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber <= 2"
-PAIRS = f"""e AS ({PAIR_EDGES}), n AS (SELECT o, count(*) AS n FROM e GROUP BY o HAVING count(*) >= 10),
+PAIRS = """e AS (SELECT DISTINCT l_suppkey AS o, l_partkey AS i FROM lineitem), n AS (SELECT o, count(*) AS n FROM e GROUP BY o HAVING count(*) >= 10),
  pairs AS (SELECT a.o AS a, b.o AS b, count(*) AS shared, na.n AS n_a, nb.n AS n_b FROM e a JOIN e b ON a.i = b.i AND a.o < b.o JOIN n na ON na.o = a.o JOIN n nb ON nb.o = b.o GROUP BY 1, 2, 4, 5),
- sim AS (SELECT *, CAST(shared AS DOUBLE) / (n_a + n_b - shared) AS jaccard FROM pairs WHERE shared >= 5 AND CAST(shared AS DOUBLE) / (n_a + n_b - shared) >= 0.08)"""
+ sim AS (SELECT *, CAST(shared AS DOUBLE) / (n_a + n_b - shared) AS jaccard FROM pairs WHERE shared >= 5 AND CAST(shared AS DOUBLE) / (n_a + n_b - shared) >= 0.15)"""
 
 
 def _pairs(spark, sf):
-    e = table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_linenumber <= 2").select(F.col("l_suppkey").alias("o"), (F.col("l_partkey") % 977).alias("i")).distinct()
-    return M.similar_pairs(e, "o", "i", least=0.08)
+    """Species (suppliers) whose sets of compounds (parts) are alike, over all of lineitem."""
+    return M.similar_pairs(table(spark, sf, "lineitem"), "l_suppkey", "l_partkey")
 
 
 @query("mine_jaccard", f"WITH {PAIRS} SELECT a, b, shared, n_a, n_b, jaccard FROM sim")
@@ -121,9 +120,9 @@ same(
 )
 
 
-@query("idx_planar", "SELECT block, count(*) AS n, string_agg(CAST(ref_no AS VARCHAR), '|' ORDER BY ref_no) AS siblings FROM (SELECT ref_no, split_part(name || '-' || ref_no, '-', 1) AS block FROM ing WHERE size <= 5) GROUP BY block HAVING count(*) >= 2")
+@query("idx_planar", "SELECT block, count(*) AS n, string_agg(CAST(ref_no AS VARCHAR), '|' ORDER BY ref_no) AS siblings FROM (SELECT ref_no, split_part(name || '-' || ref_no, '-', 1) AS block FROM ing ) GROUP BY block HAVING count(*) >= 2")
 def planar(spark, sf):
-    k = ingredient(spark, sf).where("size <= 5").select("ref_no", F.split_part(F.concat_ws("-", "name", F.col("ref_no").cast("string")), F.lit("-"), F.lit(1)).alias("block"))
+    k = ingredient(spark, sf).select("ref_no", F.split_part(F.concat_ws("-", "name", F.col("ref_no").cast("string")), F.lit("-"), F.lit(1)).alias("block"))
     g = k.groupBy("block").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("ref_no")).alias("s")).where("n >= 2")
     return g.select("block", "n", F.array_join(F.transform("s", lambda x: x.cast("string")), "|").alias("siblings"))
 
@@ -151,7 +150,7 @@ def fuzzy_risk(spark, sf):
     return ingredient(spark, sf).where((F.col("size") % 4 == 1) & (last(F.col("name")) != last(F.concat("family", F.lit(" ring"))))).select("ref_no", "name", "family")
 
 
-# ---- hierarchies: parts below n/2 and n/3, up to 3,000 nodes of the whole table's ids ------------
+# ---- hierarchies: each part below those of half and, for some, a third of its number
 
 DAG = "dag AS (SELECT p_partkey AS child, p_partkey // 2 AS parent FROM part WHERE p_partkey > 1 UNION SELECT p_partkey, p_partkey // 3 FROM part WHERE p_partkey > 2 AND p_partkey % 7 = 0)"
 UP = f"{DAG}, up AS (SELECT child AS node, parent AS ancestor FROM dag WHERE parent > 0 UNION SELECT up.node, dag.parent FROM up JOIN dag ON dag.child = up.ancestor WHERE dag.parent > 0)"

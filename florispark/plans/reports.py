@@ -146,7 +146,7 @@ same("rpt_note_index", "SELECT s.species, s.family, count(*) AS extracts, round(
 
 @query("rpt_list_size_median", "WITH g AS (SELECT species, count(*) AS n FROM edge GROUP BY species), s AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS i, count(*) OVER () AS c FROM g) SELECT n AS upper_median FROM s WHERE i = c // 2")
 def median(spark, sf):
-    return edges(spark, sf).groupBy("species").agg(F.count("*").alias("n")).agg(R.upper_median("n").alias("upper_median"))
+    return R.upper_median(edges(spark, sf).groupBy("species").agg(F.count("*").alias("n")), "n").withColumnRenamed("n", "upper_median")
 
 
 @query("agg_most_common", "SELECT fn, count(*) AS n FROM (SELECT unnest(functions) AS fn FROM ing ) GROUP BY fn ORDER BY n DESC, fn LIMIT 7")

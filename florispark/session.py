@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, shuffle_partitions: int = 200, name: str = "florispark") -> SparkSession:
@@ -20,3 +25,21 @@ def session(master: str | None = None, shuffle_partitions: int = 200, name: str
     }.items():
         b = b.config(key, value)
     return b.getOrCreate()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, in spark.checkpoint.dir; where that is unset, of this machine, on a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + os.path.join(tempfile.gettempdir(), "florispark-checkpoints")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Rows from reliable storage, without their lineage."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession, "cut"))
+    return df.checkpoint(eager=True)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -15,12 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def csv_validated(spark: SparkSession, path: str, columns: dict[str, str], keep_blank: Sequence[str] = ()) -> DataFrame:
+def csv_validated(spark: SparkSession, path: str, columns: dict[str, str], keep_blank: Sequence[str] = (), multiline: bool = True) -> DataFrame:
     """A CSV with header whose columns are checked, renamed and stripped; blanks are null but in keep_blank.
 
     A byte-order mark before the first header is allowed.  Missing columns are an error.
+    Files without line breaks in quotes can be split into tasks: multiline=False.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
+    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline)
     raw = raw.toDF(*(c.lstrip("\ufeff").strip() for c in raw.columns))
     missing = sorted(set(columns) - set(raw.columns))
     if missing:
@@ -28,9 +31,9 @@ def csv_validated(spark: SparkSession, path: str, columns: dict[str, str], keep_
     return raw.select(*((F.coalesce(strip_ws(F.col(f"`{a}`")), F.lit("")) if b in keep_blank else blank_to_null(F.col(f"`{a}`"))).alias(b) for a, b in columns.items()))
 
 
-def csv_strings(spark: SparkSession, path: str) -> DataFrame:
+def csv_strings(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every column a string, blanks null; a glob is many files, gzip is read as such and dealt out again."""
-    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=not path.endswith(".gz"))
+    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline)
     out = raw.select(*(F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns))
     return out.repartition(spark.sparkContext.defaultParallelism) if path.endswith(".gz") else out
 
@@ -141,6 +144,63 @@ def enrich(keys: DataFrame, cache: DataFrame, key: str, fetch: Callable[[DataFra
     return cache.unionByName(fetch(new))
 
 
+def fetch_batches(keys: DataFrame, key: str, client: Callable[[], object], size: int = 100, tries: int = 4, pause: float = 0.05) -> DataFrame:
+    """(key, found, payload): records of a keyed API that takes up to `size` keys at once; tasks ask in parallel.
+
+    client() gives an object with fetch(list of keys) -> {key: payload}, or None for a transient
+    failure, which is asked again after a growing pause and is an error after `tries`; a key that isn't in
+    the answer is missing, which is a result.  Where it has retry(key) -> payload or None, missing
+    keys are asked once more by it, with whatever hint it adds.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        api = client()
+        again = getattr(api, "retry", lambda k: None)
+        for pdf in batches:
+            for at in range(0, len(pdf), size):
+                part = pdf[key].iloc[at : at + size].tolist()
+                for n in range(tries):
+                    if (got := api.fetch(part)) is not None:
+                        break
+                    time.sleep(pause * 2**n)
+                else:
+                    raise RuntimeError(f"{part[0]}: no answer after {tries} tries")
+                values = [got[k] if k in got else again(k) for k in part]
+                yield pd.DataFrame({key: part, "found": [v is not None for v in values], "payload": values})
+
+    kind = keys.schema[key].dataType.simpleString()
+    return keys.select(key).where(F.col(key).isNotNull()).distinct().mapInPandas(run, f"`{key}` {kind}, found boolean, payload string")
+
+
+def group_bindings(bindings: DataFrame, key: str, kind: str, value: str, label: str | None = None) -> DataFrame:
+    """(key, values, label): one row for each key from one row for each combination, as a query endpoint gives them: distinct values by kind, in order."""
+    per = bindings.where(F.col(value).isNotNull()).groupBy(key, kind).agg(F.array_sort(F.collect_set(value)).alias("v"))
+    lists = per.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(kind, "v")))).alias("values"))
+    if label is None:
+        return lists
+    return bindings.groupBy(key).agg(F.min(label).alias("label")).join(lists, key, "left")
+
+
+def snapshot(spark: SparkSession, path: str, fetch: Callable[[], DataFrame], days: float = 7, optional: bool = False) -> DataFrame | None:
+    """A remote table kept at path: as it is there for some days, then fetched again; if that fails, the old one, or None where it is optional."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        old = spark.read.parquet(path)
+        if old.select(F.max(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("_metadata.file_modification_time"))).first()[0] < days * 86400:
+            return old
+    except AnalysisException:
+        old = None
+    try:
+        new = fetch()
+        new.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    except Exception:
+        if old is None and not optional:
+            raise
+        return old
+
+
 def present(spark: SparkSession, names: Sequence[str]) -> dict[str, bool]:
     """Which tables or views the catalog has."""
     return {n: spark.catalog.tableExists(n) for n in names}

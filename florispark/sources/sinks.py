@@ -30,6 +30,13 @@ def write_chunks(df: DataFrame, key: str, columns: Sequence[str], path: str, let
     docs.repartition("chunk").sortWithinPartitions("chunk", key).write.mode("overwrite").partitionBy("chunk").json(path)
 
 
+def write_json_cache(df: DataFrame, key: str, columns: Sequence[str], path: str, letters: int = 2) -> None:
+    """A dictionary cache as readers.json_cache() reads it: JSON objects of records by key, one for each key prefix."""
+    rows = df.groupBy(chunk_key(F.col(key).cast("string"), letters).alias("_chunk")).agg(F.sort_array(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.struct(*columns).alias("v")))).alias("_all"))
+    lines = rows.select(F.to_json(F.map_from_entries("_all"), {"ignoreNullFields": "false"}).alias("value"), "_chunk")
+    lines.repartition("_chunk").write.mode("overwrite").partitionBy("_chunk").text(path)
+
+
 def finding(title: str, df: DataFrame, limit: int = 50, note: str = "") -> str:
     """A titled Markdown table of at most `limit` rows of a sorted result."""
     rows, names = df.limit(limit).collect(), df.columns
