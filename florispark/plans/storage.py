@@ -169,13 +169,13 @@ def ctas(spark, sf):
     return spark.read.parquet(path).select("family", "ord")
 
 
-@query("snk_typed_insert", "SELECT CAST(ref_no AS INTEGER) AS ref_no, CAST(price AS DECIMAL(12,2)) AS price, name FROM ing ")
+@query("snk_typed_insert", "SELECT CAST(ref_no AS INTEGER) AS ref_no, CAST(CAST(price AS DECIMAL(12,2)) AS DOUBLE) AS price, name FROM ing ")
 def typed(spark, sf):
     """Rows put into a table of declared types, which replaces what was there."""
     path = shared_folder(spark, "typed")
     for df in (ingredient(spark, sf).limit(0), ingredient(spark, sf)):
         sinks.write_parquet(df.selectExpr("cast(ref_no as int) as ref_no", "cast(price as decimal(12,2)) as price", "name"), path)
-    return spark.read.schema("ref_no int, price decimal(12,2), name string").parquet(path)
+    return spark.read.schema("ref_no int, price decimal(12,2), name string").parquet(path).withColumn("price", F.col("price").cast("double"))
 
 
 @query("snk_csv", "SELECT CAST(ref_no AS VARCHAR) AS ref_no, name, restriction FROM ing ")
