@@ -286,7 +286,11 @@ def sure_counts(texts: tuple[np.ndarray, np.ndarray], metas: tuple[np.ndarray, n
     for teacher, learner, (h, row) in ((TEXT, META, metas), (META, TEXT, texts)):
         p = probabilities[:, teacher]
         certain, yes = (p >= sure) | (p <= 1 - sure), p > 0.5
-        some = certain[row]
+        some = np.flatnonzero(certain[row])
+        order = some[np.lexsort((h[some], row[some]))]
+        once = np.ones(len(order), dtype=bool)  # a feature counts once for a document
+        once[1:] = (h[order[1:]] != h[order[:-1]]) | (row[order[1:]] != row[order[:-1]])
+        some = order[once]
         h, row = np.concatenate((h[some], np.zeros(certain.sum(), np.uint64))), np.concatenate((row[some], np.flatnonzero(certain)))
         keys, inverse = np.unique(h, return_inverse=True)
         n1 = np.bincount(inverse, weights=yes[row], minlength=len(keys)).astype(np.int64)
@@ -311,8 +315,6 @@ def _teach(batches: Iterator[pa.RecordBatch], models: dict, sure: float) -> Iter
     for batch in batches:
         for _, w, dense, meta, length in _texts(batch):
             texts, metas = marks(w), (meta.ravel(), np.repeat(np.arange(w.count), meta.shape[1]))
-            pairs = np.unique(np.stack((texts[1].astype(np.uint64), texts[0])), axis=1)  # a feature counts once for a document
-            texts = pairs[1], pairs[0].astype(np.int64)
             for i, target in enumerate(TARGETS):
                 if models[target] is not None:
                     views = models[target]["views"]
