@@ -237,7 +237,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), for every node of an edge.
 
     Alternating large-star and small-star rounds, each a grouped minimum and a join on
-    the node; they end when no edge changes.  Only counts reach the driver.
+    the node; they end when no edge changes.  Only counts reach the driver.  After max_rounds, which
+    is an error, chains of links would be longer than any corpus.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 

@@ -8,8 +8,12 @@ than D + 1, and a set that leaves more than those empty is dealt again with anot
 doesn't, so that no equal group can hide among empty ones.  Documents with a common key are tied to the smallest of them, which gives
 families; a key that very many documents share costs one edge for each of them, not pairs.
 
-Copies with equal sets are one row of their family.  A family is split by size band and hash into
-blocks, and two blocks of one band or of neighbouring bands make a tile.  In a tile, each set has a
+Copies with equal sets are one row of their family.  A family of more than one tile is contracted
+first: each member is compared with the smallest of its size band, and those that link with it are
+connected, so no two of them need to be compared.  What is left is compared with all, and the
+linked ones of two neighbouring bands with each other unless their smallest ones link.
+A family is split by size band and hash into blocks, and two blocks of one band or of neighbouring
+bands make a tile.  In a tile, each set has a
 hashed bitmap; a bit that one set has and the other has not is a shingle outside the overlap, so
 bit counts bound the overlap from above.  Pairs that pass, and aren't connected yet, are
 decided by exact intersection of sorted arrays.  Each tile returns a spanning forest of its links.
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import buckets as buckets_for
-from .common import components, cut, distinct_by_text, mix, shingles, word_chunks
+from .common import components, cut, distinct_by_text, mix, shingles, stored, word_chunks
 
 TILE = 256
 PACKET_KEYS = 1 << 20
@@ -195,11 +199,67 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: i
     return links
 
 
+def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    at = np.searchsorted(b, a)
+    overlap = np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a)
+    return 100 * overlap >= percent * (len(a) + len(b) - overlap)
+
+
+def _with_hub(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of (family, band, rep, shingles, hub, hub's shingles): (family, band, rep, hub, linked)."""
+    known, hub_set = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        found = []
+        for rep, shingles_, hub, other in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5), strict=True):
+            if hub != known:
+                known, hub_set = hub, np.frombuffer(other.as_py(), np.uint64)
+            found.append(rep == hub or links(np.frombuffer(shingles_.as_py(), np.uint64), hub_set, percent))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(4), pa.array(found, pa.bool_())], names=["family", "band", "rep", "hub", "linked"])
+
+
 def _tile(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     links = forest(pdf["rep"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], pdf["own"].to_numpy(), percent)
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _large_tiles(sets: DataFrame, percent: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Tiles (family, rep, own, shingles, x, y) of large families (family, band, rep, shingles), and the links (a, b) that are known before."""
+    place = ["family", "band"]
+    hubs = cut(sets.groupBy(*place).agg(F.min("rep").alias("hub")))
+    hub_sets = sets.join(hubs.withColumnRenamed("hub", "rep"), [*place, "rep"]).select(*place, F.col("rep").alias("hub"), F.col("shingles").alias("other"))
+    told = cut(sets.join(hub_sets, place).select(*place, "rep", "shingles", "hub", "other").mapInArrow(lambda it: _with_hub(it, percent), "family long, band long, rep long, hub long, linked boolean"))
+    # hubs of neighbouring bands, as members of the lower band
+    above = hub_sets.select("family", (F.col("band") - 1).alias("band"), F.col("hub").alias("rep"), F.col("other").alias("shingles"))
+    bridges = cut(above.join(hub_sets, place).select(*place, "rep", "shingles", "hub", "other").mapInArrow(lambda it: _with_hub(it, percent), "family long, band long, rep long, hub long, linked boolean").where("linked"))
+    known = told.where("linked and rep <> hub").select("rep", "hub").union(bridges.select("rep", "hub")).toDF("a", "b")
+    bridged = bridges.select(*place, F.lit(True).alias("bridged"))
+    counts = told.groupBy(*place).agg(F.ceil(F.count_if("linked") / F.lit(tile)).cast("long").alias("linked_blocks"), F.ceil(F.count_if(~F.col("linked")) / F.lit(tile)).cast("long").alias("rest_blocks"))
+    counts = counts.join(bridged, place, "left")
+    around = counts
+    for name, step in (("before", 1), ("after", -1)):
+        near = counts.select("family", (F.col("band") + step).alias("band"), *(F.col(c).alias(f"{c}_{name}") for c in ("linked_blocks", "rest_blocks", "bridged")))
+        around = around.join(near, place, "left")
+    code = lambda band, linked, i: (band * 2 + linked) * (1 << 32) + i
+    own = code(F.col("band"), F.col("linked").cast("long"), F.pmod(F.xxhash64("rep"), F.when(F.col("linked"), F.col("linked_blocks")).otherwise(F.col("rest_blocks"))))
+
+    def all_of(count: str, step: int, linked: int):
+        n = F.coalesce(F.col(count), F.lit(0))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: code(F.col("band") + step, F.lit(linked), i))).otherwise(F.array().cast("array<bigint>"))
+
+    none = F.array().cast("array<bigint>")
+    sides = (("_before", -1), ("", 0), ("_after", 1))
+    rest = [all_of(f"rest_blocks{name}", step, 0) for name, step in sides]
+    linked = [all_of(f"linked_blocks{name}", step, 1) for name, step in sides]
+    apart = [F.when(F.col("bridged_before").isNull(), linked[0]).otherwise(none), F.when(F.col("bridged").isNull(), linked[2]).otherwise(none)]
+    other = F.when(F.col("linked"), F.concat(*rest, *apart)).otherwise(F.concat(*rest, *linked))
+    dealt = told.drop("hub").join(around, place).select("rep", "family", own.alias("own"), F.explode(other).alias("other"))
+    rows = sets.select("rep", "shingles").join(dealt, "rep")
+    return rows.select("family", "rep", "own", "shingles", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")), known
+
+
 def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row.
 
@@ -208,7 +268,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     100 * |intersection| >= percent * |union|.  component_id is the smallest doc_id reachable.
     Null and empty texts have an empty set and link with nothing.  Ids should be distinct; rows
     that repeat an id are nodes of one name, each with a result row.  Rows without id link with
-    nothing and have a null component.  Other columns are ignored.
+    nothing and have a null component.  Other columns are ignored.  Components are found in rounds,
+    as many as the logarithm of the longest chain of links; 60 rounds without an end are an error.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = cut(docs.mapInArrow(lambda it: _sets(it, k), "doc_id long, n_shingles long, s1 long, s2 long"))
@@ -224,20 +285,16 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     # a little wider than the ratio of linked sizes, so that rounding can't put linked sets two bands apart
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) * 0.999).cast("long") if percent < 100 else F.col("n")
     laid = cut(reps.join(wide, "family").withColumn("band", band))
-    share = laid.groupBy("family", "band").agg(F.ceil(F.count("*") / F.lit(tile)).cast("long").alias("blocks"))
-    around = share
-    for name, step in (("before", 1), ("after", -1)):
-        around = around.join(share.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name)), ["family", "band"], "left")
-    around = around.na.fill(0, ["before", "after"])
-    code = lambda b, i: b * (1 << 32) + i
-    laid = laid.join(around, ["family", "band"]).withColumn("own", F.when(F.col("total") <= tile, F.lit(-1)).otherwise(code(F.col("band"), F.pmod(F.xxhash64("rep"), F.col("blocks")))))
-    to = lambda step, count: F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda i: code(F.col("band") + step, i))).otherwise(F.array().cast("array<bigint>"))
-    laid = laid.withColumn("other", F.when(F.col("total") <= tile, F.array(F.lit(-1).cast("long"))).otherwise(F.concat(to(-1, "before"), to(0, "blocks"), to(1, "after"))))
-    texts = docs.join(laid.select(F.col("rep").alias("doc_id"), "family", "own", "other", "s1", "s2"), "doc_id").select("text", F.col("doc_id").alias("rep"), "family", "own", "other")
-    tiles = texts.mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long, family long, own long, other array<bigint>").withColumn("other", F.explode("other"))
-    tiles = tiles.select("family", "rep", "own", "shingles", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    links = tiles.groupBy("family", "x", "y").applyInPandas(lambda pdf: _tile(pdf, percent), "a long, b long")
-    joined = components(links).select(F.col("node").alias("rep"), F.col("component"))
+    arrays = lambda rows, *names: docs.join(rows.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", F.col("doc_id").alias("rep"), *names).mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long" + "".join(f", {n} {dict(rows.dtypes)[n]}" for n in names))
+    tiles = arrays(laid.where(F.col("total") <= tile).select("rep", "family"), "family").select("family", "rep", F.lit(-1).cast("long").alias("own"), "shingles", F.lit(-1).cast("long").alias("x"), F.lit(-1).cast("long").alias("y"))
+    large, known = laid.where(F.col("total") > tile), None
+    if not large.isEmpty():
+        sets_, _ = stored(arrays(large.select("rep", "family", "band"), "family", "band"), "sets-of-families")
+        more, known = _large_tiles(sets_, percent, tile)
+        tiles = tiles.union(more)
+    found = tiles.groupBy("family", "x", "y").applyInPandas(lambda pdf: _tile(pdf, percent), "a long, b long")
+    found = found.union(known) if known is not None else found
+    joined = components(found).select(F.col("node").alias("rep"), F.col("component"))
     named = members.select("doc_id", "family", "s1", "s2").join(reps.drop("n"), ["family", "s1", "s2"]).join(joined, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     return sets.select("doc_id", "n_shingles").join(named, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -108,3 +108,26 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_a_family_of_near_copies_costs_rows_not_pairs(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    texts = {}
+    for i in range(3000):
+        x = list(base)
+        x[rng.randrange(len(x))] = f"n{i}"
+        texts[i] = " ".join(x)
+    texts[3000] = " ".join(base[:139] + [f"z{i}" for i in range(11)])  # links with few of them
+    real, seen = ngram_join._large_tiles, []
+
+    def tiles(*args):
+        out = real(*args)
+        seen.append((out[0].count(), out[1].count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_large_tiles", tiles)
+    got = run(spark, texts, tile=64)
+    assert {c for i, (_, c) in got.items() if i < 3000} == {0}
+    rows, links = seen[0]
+    assert links >= 2900 and rows < 2 * 3000
