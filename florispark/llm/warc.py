@@ -5,7 +5,8 @@ each compressed on its own; a bundle ends in a skippable frame that holds the se
 public seekable Zstandard layout: sizes of every frame, packed and unpacked).  The manifest maps
 each record to bundle, frame and its offset within the unpacked frame, so one record costs one
 frame.  Bundles are named by task attempt: a retried task writes files of its own, and only the
-attempt that ended well is in the manifest.
+attempt that ended well is in the manifest, which is a Parquet table beside the bundles, so that
+archives keep their index.  Every bundle begins with a warcinfo record.
 
 Of records with equal payloads of at least min_revisit bytes, that with the smallest page id is a
 response and the others are revisits without payload.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,10 +42,22 @@ def _storage(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
-    """One WARC record with its closing blank lines."""
+def info(name: str, date: str) -> bytes:
+    """The warcinfo record of a bundle."""
+    block = b"software: florispark\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Date: {date}", f"WARC-Record-ID: {unique(name)}", f"WARC-Filename: {name}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def unique(place: str) -> str:
+    """A record id made from where the record is."""
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(place.encode()).digest()[:16], version=4)}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str, place: str) -> bytes:
+    """One WARC record with its closing blank lines; its id is that of its page, or, for a page without one, made from `place`."""
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Date: {date}"]
-    head.append(f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>")
+    head.append(f"WARC-Record-ID: {unique(place) if page_id is None else f'<urn:page:{page_id}>'}")
     if url:
         head.append("WARC-Target-URI: " + "".join(x if x > " " else "%20" for x in url))
     head.append(f"WARC-Payload-Digest: sha256:{digest}")
@@ -117,10 +131,10 @@ class BundleReader:
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 100, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Writes bundles into folder, a URI that driver and executors share; returns the manifest.
+    """Writes bundles into folder, a URI that driver and executors share, and the manifest beside them; returns the manifest.
 
     Null html is an empty payload.  A page without id is written; it can be a revisit but isn't
-    referred to.  Repeated rows with one id are each a response.
+    referred to.  Repeated rows with one id are each a response, and their records have one id.
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("html")).withColumn("digest", F.sha2("html", 256))
@@ -136,7 +150,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     # cut, so that the join deals both sides anew and Spark can split the pages of a common payload
     rows = rows.join(cut(first), "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
     out = rows.select("page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to").mapInArrow(lambda it: _write(it, folder, frame_bytes, bundle_bytes, date), MANIFEST)
-    return cut(out)
+    out.write.parquet(f"{folder}/manifest")
+    return pages.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, frame_bytes: int, bundle_bytes: int, date: str) -> Iterator[pa.RecordBatch]:
@@ -151,7 +166,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, frame_bytes: int, bun
             if writer is None:
                 name = f"bundle-{context.partitionId():06d}-{context.taskAttemptId()}-{made}.warc.zst"
                 writer, made = BundleWriter(store.open_output_stream(f"{path}/{name}", compression=None), frame_bytes), made + 1
-            data = record(page_id, url, html, digest, refers_to, date)
+                writer.add(info(name, date))
+            data = record(page_id, url, html, digest, refers_to, date, f"{name}/{len(writer.frames)}/{writer.held}")
             frame, start = writer.add(data)
             rows.append((page_id, f"{folder}/{name}", frame, start, len(data)))
             if writer.written + writer.held >= bundle_bytes:
@@ -188,7 +204,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if number != frame:
                 frame, data = number, reader.frame(number)
             fields, payload = parse(data[start : start + length])
-            of = lambda key: int(x) if (x := fields.get(key, "")[len("<urn:page:") : -1]) else None  # noqa: B023, E731
+            of = lambda key: int(x[len("<urn:page:") : -1]) if (x := fields.get(key, "")).startswith("<urn:page:") else None  # noqa: B023, E731
             kind = fields["WARC-Type"]
             given = fields["WARC-Payload-Digest"].removeprefix("sha256:")
             if kind == "response" and hashlib.sha256(payload).hexdigest() != given:

@@ -50,3 +50,13 @@ def test_every_contaminated_document_is_found(spark):
         assert clean.columns == df.columns and sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(kept, key=str)
     assert decontamination.contamination(df.where("false"), bench).count() == 0
     assert decontamination.contamination(df, bench.where("false")).count() == 0
+
+
+def test_a_very_long_text(spark):
+    item = " ".join(f"q{i}" for i in range(40))
+    text = " ".join(f"w{i}" for i in range(150_000)) + " " + item + " end"
+    df = spark.createDataFrame([(1, text), (2, "w " * 200_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "w w w w w w w")], "item_id long, text string")
+    for size in (1 << 20, 10):
+        got = sorted(tuple(r) for r in decontamination.contamination(df, bench, block_bytes=size).collect())
+        assert got == [(1, 7, 36, 36), (2, 8, 1, 1)]

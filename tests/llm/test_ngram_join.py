@@ -131,3 +131,10 @@ def test_a_family_of_near_copies_costs_rows_not_pairs(spark, monkeypatch):
     assert {c for i, (_, c) in got.items() if i < 3000} == {0}
     rows, links = seen[0]
     assert links >= 2900 and rows < 2 * 3000
+
+
+def test_very_long_texts(spark):
+    a = [f"w{i}" for i in range(120_000)]
+    texts = {1: " ".join(a), 2: " ".join(a[:118_000]), 3: " ".join(a[:60_000]), 4: "x " * 100_000, 5: "X x x"}
+    got = run(spark, texts)
+    assert got[1] == (119_998, 1) and got[2][1] == 1 and got[3][1] == 3 and got[4] == (1, 4) and got[5] == (1, 4)

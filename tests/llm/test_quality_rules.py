@@ -52,3 +52,16 @@ def test_the_order_of_rules_doesn_t_matter(spark):
     a, b = (sorted(map(str, quality_rules.quality_rules(df, order=o).collect())) for o in (names, names[::-1]))
     assert a == b and any('kept=True' in x for x in a)
     assert sorted(quality_rules.rule_order(quality_rules.base_counts(df, "doc_id", "text"), quality_rules.rules())) == sorted(names)
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"w{i % 70_000}" for i in range(100_000)) + "\n- x" * 2000
+    r = quality_rules.quality_rules(spark.createDataFrame([(1, text)], "doc_id long, text string"), order=list(quality_rules.rules())).first()
+    assert tuple(r)[1:7] == brute(text)
+
+
+def test_the_next_rule_is_the_best_of_what_is_left():
+    # rule 0 rejects what rule 1 rejects and one more; rule 2 rejects others
+    counts = {0b011: 90, 0b001: 1, 0b100: 20, 0: 500}
+    assert quality_rules.greedy(counts, [1.0, 1.0, 1.0]) == [0, 2, 1]
+    assert quality_rules.greedy(counts, [50.0, 1.0, 1.0]) == [1, 2, 0]

@@ -31,6 +31,23 @@ def test_round_trip(spark):
     assert warc.read_record(manifest, 5)[0][0]["WARC-Refers-To"] == "<urn:page:3>"
 
 
+def test_the_manifest_stays_beside_the_bundles(spark):
+    df, rows = pages(spark)
+    folder = work_dir(spark, "warc")
+    warc.write_archives(df, folder)
+    manifest = spark.read.parquet(f"{folder}/manifest")
+    assert warc.read_archives(manifest).count() == len(rows)
+    ids = [warc.parse(warc.BundleReader(open_file(r.bundle)).frame(r.frame)[r.start : r.start + r.length])[0]["WARC-Record-ID"] for r in manifest.where("page_id is null").collect()]
+    assert len(set(ids)) == 2 and all(x.startswith("<urn:uuid:") for x in ids)
+    first = warc.BundleReader(open_file(manifest.first().bundle)).frame(0)
+    assert b"WARC-Type: warcinfo" in first[:60]
+
+
+def open_file(uri):
+    store, path = warc._storage(uri)
+    return store.open_input_file(path)
+
+
 def test_a_bundle_is_plain_zstandard(spark):
     import zstandard
 
