@@ -14,17 +14,22 @@ def similar_pairs(edges: DataFrame, owner: str, item: str, min_members: int = 10
 
     An inverted-index join with a prefix filter: an owner is only looked up under those items, rare ones
     first, of which a similar owner must have one (n - ceil(least * n) + 1 of n).  Common items sort
-    last and so seldom meet; candidates are then counted on full sets, of sizes that can be similar.
+    last and so seldom meet.  What two owners share beyond both their prefixes is in the rest of one
+    of them, so a pair whose common items and the larger rest don't suffice goes; only the others
+    are counted on full sets.
     """
     e = cut(edges.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct())
     sizes = e.groupBy("o").agg(F.count("*").alias("n")).where(F.col("n") >= min_members)
     e = e.join(sizes, "o")
     common = e.groupBy("i").agg(F.count("*").alias("df"))
     ranked = e.join(common, "i").withColumn("r", F.row_number().over(Window.partitionBy("o").orderBy("df", "i")))
-    head = ranked.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("o", "i", "n")
-    a, b = (head.select(F.col("o").alias(x), "i", F.col("n").alias(f"n_{x}")) for x in "ab")
+    first = F.col("n") - F.ceil(F.col("n") * least) + 1
+    head = ranked.where(F.col("r") <= first).select("o", "i", "n", (F.col("n") - first).alias("rest"))
+    a, b = (head.select(F.col("o").alias(x), "i", F.col("n").alias(f"n_{x}"), F.col("rest").alias(f"rest_{x}")) for x in "ab")
     fits = (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)
-    pairs = a.join(b, "i").where(fits).select("a", "b", "n_a", "n_b").distinct()
+    met = a.join(b, "i").where(fits).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count("*").alias("c"))
+    enough = (F.col("c") + F.greatest("rest_a", "rest_b")) * (1 + least) >= (F.col("n_a") + F.col("n_b")) * least - 1e-6
+    pairs = met.where(enough).select("a", "b", "n_a", "n_b")
     x, y = (e.select(F.col("o").alias(c), F.col("i").alias("i")) for c in "ab")
     both = pairs.join(x, "a").join(y, ["b", "i"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
     return both.withColumn("jaccard", F.col("shared").cast("double") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).where((F.col("shared") >= min_shared) & (F.col("jaccard") >= least))
