@@ -44,13 +44,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     compared as well; rows alike in id and text have one number and are one document.  Texts
     without a word stay.
     """
-    named = docs.withColumn(ROW, F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("th")))
-    names = named.select(ROW).distinct()
-    repeated = names.groupBy(f"{ROW}.none", f"{ROW}.id").agg(F.count("*").alias("n")).where("none or n > 1")
-    if repeated.isEmpty():  # ids tell all rows apart
+    th = F.xxhash64("text")
+    by_id = docs.groupBy("doc_id").agg(F.min(th).alias("low"), F.max(th).alias("high"))
+    if by_id.where("doc_id is null or low <> high").isEmpty():  # ids tell all rows apart
         first = ngram_join.ngram_jaccard_components(docs, k=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
         return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
-    numbers = cut(common.numbered(names, ROW, "__near_copies_number"))
+    named = docs.withColumn(ROW, F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), th.alias("th")))
+    numbers = cut(common.numbered(named.select(ROW).distinct(), ROW, "__near_copies_number"))
     told = named.join(numbers, ROW).withColumnRenamed("__near_copies_number", "__n")
     first = ngram_join.ngram_jaccard_components(told, k=5, percent=80, id_col="__n").where("component_id = doc_id").select(F.col("doc_id").alias("__n")).distinct()
     return told.join(first, "__n", "left_semi").dropDuplicates(["__n"]).select(docs.columns)

@@ -117,14 +117,18 @@ class Table:
     """Numbers of hashed features, looked up for many documents at once."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values  # keys ascend
-        self.maybe = np.zeros(1 << 20, dtype=bool)
-        self.maybe[keys & np.uint64((1 << 20) - 1)] = True
+        self.keys, self.values, self.maybe = keys, values, None  # keys ascend
+
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys, "values": self.values, "maybe": None}  # what can be made again isn't sent
 
     def find(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(feature, row), once each, of what hashed values are features."""
         if not len(self.keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if self.maybe is None:
+            self.maybe = np.zeros(1 << 20, dtype=bool)
+            self.maybe[self.keys & np.uint64((1 << 20) - 1)] = True
         some = np.flatnonzero(self.maybe[h & np.uint64((1 << 20) - 1)])
         at = np.searchsorted(self.keys, h[some]).clip(0, len(self.keys) - 1)
         ok = self.keys[at] == h[some]
@@ -345,8 +349,9 @@ def _taught(counts: DataFrame, most: int) -> dict:
             n1, n0, share = F.col("n1"), F.col("n0"), (F.col("n1") + F.col("n0")) / F.lit(float(all1 + all0))
             z = F.abs(n1 / F.lit(float(all1)) - n0 / F.lit(float(all0))) / F.sqrt(share * (1 - share) * F.lit(1 / all1 + 1 / all0) + 1e-12)
             some = counts.where((F.col("target") == i) & (F.col("view") == view) & (F.col("key") != 0) & (n1 + n0 >= MIN_DOCS) & (z >= LEAST_Z))
-            best = some.select("key", "n1", "n0").orderBy(z.desc(), "key").limit(most).toPandas()
-            tables.append(log_odds(best["key"].to_numpy().astype(np.int64).view(np.uint64), best["n1"].to_numpy(), best["n0"].to_numpy(), all1, all0))
+            best = some.select("key", "n1", "n0").orderBy(z.desc(), "key").limit(most).collect()
+            keys, n1, n0 = (np.array([r[c] for r in best], dtype=np.int64) for c in ("key", "n1", "n0"))
+            tables.append(log_odds(keys.view(np.uint64), n1, n0, all1, all0))
         out[target] = tuple(tables)
     return out
 
@@ -369,6 +374,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         sent = context.broadcast(models)
         counts = docs.mapInArrow(lambda it, sent=sent: _teach(it, sent.value, sure), _COUNT).groupBy("target", "view", "key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
         taught = _taught(cut(counts.where(f"key = 0 or n1 + n0 >= {MIN_DOCS}")), taught_words)
+        sent.destroy()  # the counts are stored
 
 
 def _columns(docs: DataFrame) -> DataFrame:
