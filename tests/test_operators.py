@@ -89,3 +89,28 @@ def test_never_clobber_and_layers(spark):
     human = spark.createDataFrame([(1, "auto"), (2, "mine")], "k int, v string")
     assert {r.k: r.v for r in R.never_clobber(made, human, "k", "v", F.col("_was") == "auto").collect()} == {1: "m", 2: "mine", 3: "m"}
     assert [r.k for r in R.addon_delta(made, human.where("k = 1"), human.where("k = 2"), "k").collect()] == [3]
+
+
+def test_what_is_within_what(spark):
+    from florispark.operators.serving import within
+
+    parts = ["red ring", "ring", "ng", "g", "zz", "ring red", "édi"]
+    wholes = ["a red ring", "ring", "strong", "médium", "g", ""]
+    got = within(spark.createDataFrame([(x,) for x in parts], "part string"), spark.createDataFrame([(x,) for x in wholes], "whole string"))
+    assert {tuple(r) for r in got.collect()} == {(p, w) for p in parts for w in wholes if p in w}
+
+
+def test_ranks_medians_and_closures_over_many_ranges(spark):
+    from florispark.operators import graph as G
+    from florispark.operators import relational as R
+
+    df = spark.range(1000).select(F.pmod(F.xxhash64("id"), F.lit(97)).alias("v"))
+    values = sorted(r.v for r in df.collect())
+    assert R.upper_median(df, "v").first().v == values[500]
+    rows = R.ordered(df.groupBy("v").agg(F.count("*").alias("n")), [F.desc("n"), F.asc("v")], "n").orderBy("_rank").collect()
+    assert [r._rank for r in rows] == list(range(1, len(rows) + 1)) and rows[-1]._running == 1000
+    assert all(b._running - a._running == b.n and (-a.n, a.v) < (-b.n, b.v) for a, b in zip(rows, rows[1:]))
+    assert R.upper_median(df.where("false"), "v").count() == 0
+    edges = [(i, i + 1) for i in range(30)] + [(30, 0), (40, 41), (40, 42), (41, 43), (42, 43)]
+    got = {tuple(r) for r in G.ancestors(spark.createDataFrame(edges, "child long, parent long")).collect()}
+    assert got == {(a, b) for a in range(31) for b in range(31)} | {(40, 41), (40, 42), (40, 43), (41, 43), (42, 43)}

@@ -83,3 +83,36 @@ def test_incremental_load_adds_each_key_once(spark, tmp_path):
         q = load_new(spark, src, schema, out, cp, "k")
         assert q.awaitTermination(60)
     assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+class Down:
+    def fetch(self, keys):
+        return None
+
+
+def test_batches_that_never_come_are_an_error(spark):
+    keys = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    with pytest.raises(Exception, match="no answer after 2 tries"):
+        readers.fetch_batches(keys, "k", Down, tries=2, pause=0.0).collect()
+    assert readers.fetch_batches(keys.where("false"), "k", Down).count() == 0
+
+
+def test_snapshots(spark, tmp_path):
+    def down():
+        raise OSError("unreachable")
+
+    with pytest.raises(OSError):
+        readers.snapshot(spark, str(tmp_path / "a"), down)
+    assert readers.snapshot(spark, str(tmp_path / "a"), down, optional=True) is None
+    for n, days, want in ((1, 7, 1), (2, 7, 1), (3, -1, 3)):  # fetched, kept, fetched again
+        got = readers.snapshot(spark, str(tmp_path / "a"), lambda n=n: spark.createDataFrame([(n,)], "n int"), days)
+        assert [r.n for r in got.collect()] == [want]
+
+
+def test_bindings_and_caches(spark, tmp_path):
+    rows = [("k1", "en", "Rose", "L"), ("k1", "en", "Rose", "L"), ("k1", "en", "Alba", "L"), ("k1", "zh", None, "L"), ("k2", "zh", "x", None)]
+    df = spark.createDataFrame(rows, "k string, lang string, name string, label string")
+    got = {r.k: (r["values"], r.label) for r in readers.group_bindings(df, "k", "lang", "name", "label").collect()}
+    assert got == {"k1": ({"en": ["Alba", "Rose"]}, "L"), "k2": ({"zh": ["x"]}, None)}
+    sinks.write_json_cache(df.dropDuplicates(["k"]).select("k", "lang"), "k", ["lang"], str(tmp_path / "c"))
+    assert readers.json_cache(spark, str(tmp_path / "c"), "struct<lang:string>").count() == 2
