@@ -87,4 +87,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
         docs = spark.read.parquet(f"{folder}/{i}")
+        if i:
+            common.drop(spark, f"{folder}/{i - 1}")  # what it was made into is stored
     return docs
