@@ -8,8 +8,8 @@ than D + 1, and a set that leaves more than those empty is dealt again with anot
 doesn't, so that no equal group can hide among empty ones.  Documents with a common key are tied to the smallest of them, which gives
 families; a key that very many documents share costs one edge for each of them, not pairs.
 
-Copies with equal sets are one row of their family.  A family of more than one tile is contracted
-first: each member is compared with the smallest of its size band, and those that link with it are
+Copies with equal sets are one row of their family.  A family of more than LARGE_TILES tiles is
+contracted first: each member is compared with the smallest of its size band, and those that link with it are
 connected, so no two of them need to be compared.  What is left is compared with all, and the
 linked ones of two neighbouring bands with each other unless their smallest ones link.
 A family is split by size band and hash into blocks, and two blocks of one band or of neighbouring
@@ -34,6 +34,7 @@ from .common import buckets as buckets_for
 from .common import components, cut, distinct_by_text, mix, shingles, stored, word_chunks
 
 TILE = 256
+LARGE_TILES = 16
 PACKET_KEYS = 1 << 20
 
 
@@ -225,6 +226,21 @@ def _tile(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _tiles(laid: DataFrame, arrays, tile: int) -> DataFrame:
+    """Tiles (family, rep, own, shingles, x, y) of families, which are rows of family, band, rep and the family's total."""
+    share = laid.groupBy("family", "band").agg(F.ceil(F.count("*") / F.lit(tile)).cast("long").alias("blocks"))
+    around = share
+    for name, step in (("before", 1), ("after", -1)):
+        around = around.join(share.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name)), ["family", "band"], "left")
+    around = around.na.fill(0, ["before", "after"])
+    code = lambda b, i: b * (1 << 32) + i
+    dealt = laid.join(around, ["family", "band"]).withColumn("own", F.when(F.col("total") <= tile, F.lit(-1)).otherwise(code(F.col("band"), F.pmod(F.xxhash64("rep"), F.col("blocks")))))
+    to = lambda step, count: F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda i: code(F.col("band") + step, i))).otherwise(F.array().cast("array<bigint>"))
+    dealt = dealt.withColumn("other", F.when(F.col("total") <= tile, F.array(F.lit(-1).cast("long"))).otherwise(F.concat(to(-1, "before"), to(0, "blocks"), to(1, "after"))))
+    rows = arrays(dealt.select("rep", "family", "own", "other"), "family", "own", "other").withColumn("other", F.explode("other"))
+    return rows.select("family", "rep", "own", "shingles", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+
+
 def _large_tiles(sets: DataFrame, percent: int, tile: int) -> tuple[DataFrame, DataFrame]:
     """Tiles (family, rep, own, shingles, x, y) of large families (family, band, rep, shingles), and the links (a, b) that are known before."""
     place = ["family", "band"]
@@ -260,7 +276,7 @@ def _large_tiles(sets: DataFrame, percent: int, tile: int) -> tuple[DataFrame, D
     return rows.select("family", "rep", "own", "shingles", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")), known
 
 
-def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
+def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE, large_tiles: int = LARGE_TILES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row.
 
     Words are runs of bytes other than white space, in lower-case A-Z; a document's set has its
@@ -286,8 +302,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) * 0.999).cast("long") if percent < 100 else F.col("n")
     laid = cut(reps.join(wide, "family").withColumn("band", band))
     arrays = lambda rows, *names: docs.join(rows.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", F.col("doc_id").alias("rep"), *names).mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long" + "".join(f", {n} {dict(rows.dtypes)[n]}" for n in names))
-    tiles = arrays(laid.where(F.col("total") <= tile).select("rep", "family"), "family").select("family", "rep", F.lit(-1).cast("long").alias("own"), "shingles", F.lit(-1).cast("long").alias("x"), F.lit(-1).cast("long").alias("y"))
-    large, known = laid.where(F.col("total") > tile), None
+    large, known = laid.where(F.col("total") > large_tiles * tile), None
+    tiles = _tiles(laid.where(F.col("total") <= large_tiles * tile), arrays, tile)
     if not large.isEmpty():
         sets_, _ = stored(arrays(large.select("rep", "family", "band"), "family", "band"), "sets-of-families")
         more, known = _large_tiles(sets_, percent, tile)

@@ -66,7 +66,8 @@ def test_components_are_those_of_brute_force(spark):
 def test_families_of_many_tiles_and_other_thresholds(spark):
     texts = corpus(2, 260, 60)
     for percent, k in ((80, 5), (100, 2)):
-        assert run(spark, texts, percent=percent, k=k, tile=5) == brute(texts, k, percent)
+        for large in (1, 1000):  # with and without contraction
+            assert run(spark, texts, percent=percent, k=k, tile=5, large_tiles=large) == brute(texts, k, percent)
 
 
 def test_odd_tables(spark):
@@ -128,6 +129,7 @@ def test_a_family_of_near_copies_costs_rows_not_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(ngram_join, "_large_tiles", tiles)
     got = run(spark, texts, tile=64)
+    assert len(seen) == 1
     assert {c for i, (_, c) in got.items() if i < 3000} == {0}
     rows, links = seen[0]
     assert links >= 2900 and rows < 2 * 3000
