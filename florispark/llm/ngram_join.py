@@ -35,7 +35,7 @@ from .common import components, cut, distinct_by_text, mix, shingles, stored, wo
 
 TILE = 256
 LARGE_TILES = 16
-PACKET_KEYS = 1 << 20
+PACKET_KEYS = 1 << 19
 
 
 def band_floors(percent: int, most: int) -> np.ndarray:
@@ -113,8 +113,12 @@ def smallest_of_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.
     first[1:] = keys[1:] != keys[:-1]
     low = ids[first][np.cumsum(first) - 1]
     other = low != ids
-    edges = np.unique(np.stack((ids[other], low[other])), axis=1) if other.any() else np.zeros((2, 0), np.int64)
-    return keys[first], ids[first], edges[0], edges[1]
+    a, b = ids[other], low[other]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return keys[first], ids[first], a[new], b[new]
 
 
 def _packets(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:

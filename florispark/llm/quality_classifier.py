@@ -324,7 +324,7 @@ def _teach(batches: Iterator[pa.RecordBatch], models: dict, sure: float) -> Iter
                     views = models[target]["views"]
                     p = sigmoid(np.column_stack((views[TEXT].logit(*texts, dense), views[META].logit(*metas, length[:, None]))))
                     held += sure_counts(texts, metas, p, i, sure)
-            if sum(len(x[0]) for x in held) > 1 << 20:
+            if sum(len(x[0]) for x in held) > 1 << 18:
                 yield flush()
     if held:
         yield flush()
