@@ -34,7 +34,7 @@ from .common import buckets as buckets_for
 from .common import components, cut, distinct_by_text, mix, shingles, stored, word_chunks
 
 TILE = 256
-LARGE_TILES = 16
+LARGE_TILES = 256  # contraction reads the texts once more, which pays for large families only
 PACKET_KEYS = 1 << 19
 
 
