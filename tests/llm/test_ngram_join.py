@@ -128,7 +128,7 @@ def test_a_family_of_near_copies_costs_rows_not_pairs(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(ngram_join, "_large_tiles", tiles)
-    got = run(spark, texts, tile=64)
+    got = run(spark, texts, tile=64, large_tiles=16)
     assert len(seen) == 1
     assert {c for i, (_, c) in got.items() if i < 3000} == {0}
     rows, links = seen[0]
