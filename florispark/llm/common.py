@@ -6,43 +6,23 @@ single bytes in UTF-8, so words can be found in the bytes of a text.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from florispark.session import cut, shared_folder
+
 CHUNK_BYTES = 1 << 18
 BUCKET_BYTES = 32 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master only, one set here where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = "file://" + os.path.join(tempfile.gettempdir(), "florispark-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df from reliable storage, without its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A new folder that driver and executors share."""
+    return shared_folder(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -85,6 +65,22 @@ def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     return ranged.select(*df.columns, (base.cast("long") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
 
 
+def in_order(df: DataFrame, order: Sequence[Column], name: str, within: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """df stored in an order, dealt by ranges of it, and what turns a row's place in its range into one of the whole order.
+
+    The first frame has df's columns, __part (the range) and __at, which grows along the order.
+    The second has a row for each group of `within` columns, in which the order begins, and range that holds some of it:
+    __at + __shift is the row's place in its group, from 0.  No task gets a group whole, and the
+    second frame has no more rows than there are groups and ranges.  Ties fall as Spark deals them.
+    """
+    at = F.monotonically_increasing_id()
+    ranged, _ = stored(df.repartitionByRange(partitions(df), *order).sortWithinPartitions(*order).select("*", at.alias("__at")), name)
+    ranged = ranged.withColumn("__part", F.shiftright("__at", 33))
+    pieces = ranged.groupBy(*within, "__part").agg(F.min("__at").alias("__low"), F.count("*").alias("__n"))
+    before = Window.partitionBy(*within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    return ranged, pieces.withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__low")).drop("__low")
+
+
 # ---- vectorised hashing -------------------------------------------------------------------------
 
 _B = np.uint64(0x9E3779B97F4A7C15)

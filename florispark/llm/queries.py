@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, line_dedup, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
+from . import bpe, conversations, decontamination, importance, line_dedup, mixture, ngram_join, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, warc
 from .common import read
 
 VOCAB = "word_bpe_49k.json"
@@ -59,9 +59,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, read(spark, sf_dir, "pages"))
 
 
+def op11_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.words_taken(read(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_and_audit(read(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in sorted(globals().items()) if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_join": ngram_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE}
+    return {"op3_ngram_join": ngram_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op8_decontamination": decontamination.ORACLE, "op10_warc": warc.ORACLE, "op11_mixture": mixture.ORACLE, "op12_importance": importance.ORACLE, "op13_conversations": conversations.ORACLE}
