@@ -21,7 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -199,62 +199,79 @@ def encoding_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", t
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, leaf_chars: int, digests: bool) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids binary, decoded string"
-    short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= leaf_chars).mapInPandas(lambda it: _short(it, path, digests), out)
+    short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= leaf_chars).mapInArrow(lambda it: _short(it, path, digests), out)
     # a long text: its leaves are rows, dealt out one by one, encoded, and gathered by text
-    long = docs.where(F.length("text") > leaf_chars).mapInPandas(lambda it: _split(it, path, leaf_chars), "uid string, part int, doc_id long, leaf int, special boolean, text string")
-    coded = long.repartition("uid", "leaf").mapInPandas(lambda it: _leaf(it, path), _LEAF)
-    joined = coded.groupBy("uid").applyInPandas(lambda pdf: _join_text(pdf, path, digests), out)
+    long = docs.where(F.length("text") > leaf_chars).mapInArrow(lambda it: _split(it, path, leaf_chars), _LEAF.partition(", ids")[0])
+    coded = long.repartition("uid", "leaf").mapInArrow(lambda it: _leaf(it, path), _LEAF)
+    joined = coded.groupBy("uid").applyInArrow(lambda table: _join_text(table, path, digests), out)
     return short.union(joined)
 
 
-def _short(batches: Iterator[pd.DataFrame], path: str, digests: bool) -> Iterator[pd.DataFrame]:
+def _results(doc_id: pa.Array, rows: list[tuple], digests: bool) -> list[pa.Array]:
+    kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.binary(), pa.string())
+    return [doc_id, *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))]
+
+
+def _names(digests: bool) -> list[str]:
+    return ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]
+
+
+def _short(batches: Iterator[pa.RecordBatch], path: str, digests: bool) -> Iterator[pa.RecordBatch]:
     c = coder(path)
-    for pdf in batches:
+    for batch in batches:
         rows = []
-        for text in pdf["text"]:
+        for text in batch.column(1).to_pylist():
             words = c.enc.pretokens(text) if text else []
             c.fill(words)
             ids, decoded = c.ids(words), c.decoded(words)
             rows.append(digest(ids, decoded) if digests else (ids, decoded))
-        yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]).assign(doc_id=pdf["doc_id"].to_numpy())
+        yield pa.RecordBatch.from_arrays(_results(batch.column(0), rows, digests), names=_names(digests))
 
 
-def _split(batches: Iterator[pd.DataFrame], path: str, most: int) -> Iterator[pd.DataFrame]:
-    from pyspark import TaskContext
-
-    enc, made = encoder(path), 0
-    for pdf in batches:
-        for key, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-            made += 1
+def _split(batches: Iterator[pa.RecordBatch], path: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Leaves of long texts.  A text is named by its id and a hash, so a task that runs again names it alike."""
+    enc = encoder(path)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            key, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            uid = f"{key}:{hashlib.blake2b(text.encode(), digest_size=16).hexdigest()}"
             rows = [(p, n, special, x) for p, (special, t) in enumerate(enc.parts(text)) for n, x in enumerate([t] if special else leaves(enc.normalised(t), most))]
-            yield pd.DataFrame(rows, columns=["part", "leaf", "special", "text"]).assign(uid=f"{TaskContext.get().partitionId()}-{made}", doc_id=key)
+            part, leaf, special, stretch = (pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.bool_(), pa.string()), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array([uid] * len(rows), pa.string()), part, pa.array([key] * len(rows), pa.int64()), leaf, special, stretch], names=["uid", "part", "doc_id", "leaf", "special", "text"])
 
 
-def _leaf(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+def _leaf(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     c, pack = coder(path), zstandard.ZstdCompressor(level=1).compress
-    for pdf in batches:
+    for batch in batches:
         ids, first = [], []
-        for special, text in zip(pdf["special"], pdf["text"], strict=True):
+        for special, text in zip(batch.column("special").to_pylist(), batch.column("text").to_pylist(), strict=True):
             i, s, e, f = c.spans("") if special else c.spans(text)
             ids.append(pack(planes(i) + planes(np.diff(s, prepend=0))))
             first.append(np.packbits(f).tobytes())
-        yield pdf.assign(ids=ids, first=first)
-
-
-def _join_text(pdf: pd.DataFrame, path: str, digests: bool) -> pd.DataFrame:
-    c = coder(path)
-    ids: list[np.ndarray] = []
-    for _, part in pdf.sort_values(["part", "leaf"]).groupby("part", sort=True):
-        if part["special"].iloc[0]:
-            ids.append(np.array([c.enc.special[part["text"].iloc[0]]], "<u4"))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(first, pa.binary())], names=[*batch.schema.names, "ids", "first"])
+
+
+def _join_text(table: pa.Table, path: str, digests: bool) -> pa.Table:
+    """Of a text's leaves: a result row for each of the rows that had this id and text."""
+    c, ids, copies = coder(path), [], 0
+    parts: dict[int, list[dict]] = {}
+    seen = set()
+    for row in table.select(["part", "leaf", "special", "text", "ids", "first"]).sort_by([("part", "ascending"), ("leaf", "ascending")]).to_pylist():
+        copies += (row["part"], row["leaf"]) == (0, 0)
+        if (row["part"], row["leaf"]) not in seen:
+            seen.add((row["part"], row["leaf"]))
+            parts.setdefault(row["part"], []).append(row)
+    for _, part in sorted(parts.items()):
+        if part[0]["special"]:
+            ids.append(np.array([c.enc.special[part[0]["text"]]], "<u4"))
             continue
         sides = []
-        for text, packed, first in zip(part["text"], part["ids"], part["first"], strict=True):
-            data = zstandard.decompress(packed)
+        for row in part:
+            data = zstandard.decompress(row["ids"])
             i, gap = from_planes(data[: len(data) // 2]), from_planes(data[len(data) // 2 :])
             start = np.cumsum(gap.astype(np.int64))
-            sides.append(Side(text.encode(), i, start, start + c.size[i], np.unpackbits(np.frombuffer(first, np.uint8), count=len(i)).astype(bool)))
+            sides.append(Side(row["text"].encode(), i, start, start + c.size[i], np.unpackbits(np.frombuffer(row["first"], np.uint8), count=len(i)).astype(bool)))
         ids.append(tree(c, sides).ids)
     whole = np.concatenate([np.zeros(0, "<u4"), *ids])
     row = digest(whole.astype("<u4").tobytes(), c.decode(whole)) if digests else (whole.astype("<u4").tobytes(), c.decode(whole))
-    return pd.DataFrame([(pdf["doc_id"].iloc[0], *row)], columns=["doc_id", *(["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])])
+    return pa.Table.from_arrays(_results(table.column("doc_id").combine_chunks().slice(0, 1).take(pa.array([0] * copies)), [row] * copies, digests), names=_names(digests))
