@@ -8,6 +8,7 @@ from florispark.operators import relational as R
 from florispark.session import shared_folder
 from florispark.sources import readers, sinks
 from florispark.sources.readers import table
+from florispark.sources.versions import VersionedTable
 
 from .domain import ingredient, query
 
@@ -152,6 +153,9 @@ def snapshot(spark, sf):
     readers.snapshot(spark, f"{path}/b", lambda: table(spark, sf, "region").select(F.col("r_name").alias("name")))
     stale = readers.snapshot(spark, f"{path}/b", down, days=-1)
     assert readers.snapshot(spark, f"{path}/c", down, optional=True) is None
+    # the remote breaks off when some of it has been read
+    broken = lambda: n.withColumn("name", F.when(F.col("name") < "M", F.col("name")).otherwise(F.raise_error(F.lit("broke off"))))
+    stale = readers.snapshot(spark, f"{path}/b", broken, days=-1)
     return kept.withColumn("state", F.lit("kept")).union(stale.withColumn("state", F.lit("stale")))
 
 
@@ -210,3 +214,51 @@ def update_keys(spark, sf):
 def finding(spark, sf):
     top = ingredient(spark, sf).groupBy("ord").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ord")
     return spark.createDataFrame([(sinks.finding("Orders", top, limit=5),)], "report string")
+
+
+@query("snk_cow_update", "SELECT ref_no, CASE WHEN ref_no % 97 = 5 THEN name || ' (seen)' ELSE name END AS name, CASE WHEN ref_no % 97 = 5 THEN size + ref_no ELSE size END AS size FROM ing ")
+def cow_update(spark, sf):
+    """UPDATE of keys in a table of files: the files that hold one are rewritten, the others stay."""
+    i = ingredient(spark, sf).select("ref_no", "name", "size")
+    t = VersionedTable(spark, shared_folder(spark, "cow"))
+    t.replace(i, ["ref_no"])
+    t.update(i.where("ref_no % 97 = 5").select("ref_no", F.lit(" (seen)").alias("note")), "ref_no", {"name": F.concat("name", "_new_note"), "size": F.col("size") + F.col("_new_key")})
+    return t.read()
+
+
+@query("snk_cow_delete", "SELECT ref_no, name FROM ing WHERE ref_no NOT IN (SELECT CAST(l_partkey AS BIGINT) FROM lineitem WHERE l_quantity > 49) AND ref_no % 10 <> 0")
+def cow_delete(spark, sf):
+    """DELETE with a subquery, and another one on the version that it leaves."""
+    t = VersionedTable(spark, shared_folder(spark, "cow"))
+    t.replace(ingredient(spark, sf).select("ref_no", "name"), ["ref_no"])
+    t.delete(table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").cast("long").alias("ref_no")), "ref_no")
+    t.delete(t.read().where("ref_no % 10 = 0"), "ref_no")
+    return t.read()
+
+
+@query("snk_cow_upsert", "SELECT ref_no, CASE WHEN ref_no % 2 = 0 THEN family ELSE ord END AS value, CASE WHEN ref_no % 2 = 0 THEN 0 ELSE 1 END AS layer FROM ing WHERE ref_no % 3 <> 0 OR ref_no % 2 <> 0")
+def cow_upsert(spark, sf):
+    """New values where a key is known, new rows where it isn't; the version before is read after that as well."""
+    i = ingredient(spark, sf)
+    t = VersionedTable(spark, shared_folder(spark, "cow"))
+    t.replace(i.where("ref_no % 3 <> 0").select("ref_no", F.col("family").alias("value"), F.lit(0).alias("layer")), ["ref_no"])
+    before = t.read()
+    t.upsert(i.where("ref_no % 2 <> 0").select("ref_no", F.col("ord").alias("value"), F.lit(1).alias("layer")), "ref_no")
+    return t.read().join(before.select("ref_no"), "ref_no", "left_semi").unionByName(t.read().join(before.select("ref_no"), "ref_no", "left_anti"))
+
+
+@query("snk_key_index", "SELECT i.ref_no, i.name, e.n FROM ing i JOIN (SELECT CAST(l_partkey AS BIGINT) AS ref_no, count(*) AS n FROM lineitem GROUP BY 1) e USING (ref_no)")
+def key_index(spark, sf):
+    """Two tables in buckets of one key, sorted, with Bloom filters: joined without an exchange."""
+    i = sinks.write_indexed(ingredient(spark, sf).select("ref_no", "name"), shared_folder(spark, "index"), "ref_no", 8)
+    counts = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").cast("long").alias("ref_no")).agg(F.count("*").alias("n"))
+    e = sinks.write_indexed(counts, shared_folder(spark, "index"), "ref_no", 8)
+    return i.hint("merge").join(e, "ref_no")
+
+
+@query("snk_key_lookup", "SELECT ref_no, name FROM ing WHERE ref_no = (SELECT max(ref_no) // 2 FROM ing )")
+def key_lookup(spark, sf):
+    """One key from an indexed table: one bucket, and the row groups that may hold it."""
+    i = ingredient(spark, sf).select("ref_no", "name")
+    key = i.agg(F.floor(F.max("ref_no") / 2)).first()[0]
+    return sinks.write_indexed(i, shared_folder(spark, "index"), "ref_no", 8).where(F.col("ref_no") == key)

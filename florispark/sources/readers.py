@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from florispark.functions.text import blank_to_null, strip_ws
+from florispark.sources.versions import VersionedTable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,8 +48,8 @@ def numbered(df: DataFrame, keys: Sequence[str], name: str = "entry_seq") -> Dat
 
 
 def json_cache(spark: SparkSession, path: str, value: str) -> DataFrame:
-    """(name, record) rows of files that each hold one JSON object of records; value is the record's DDL type."""
-    text = spark.read.text(path, wholetext=True)
+    """(name, record) rows of JSON objects of records by name: an object for a file, or, in folders of keys, one on each line; value is the record's DDL type."""
+    text = spark.read.text(path, wholetext=path.endswith(".json"))
     return text.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("name", "record"))
 
 
@@ -182,23 +183,21 @@ def group_bindings(bindings: DataFrame, key: str, kind: str, value: str, label:
 
 
 def snapshot(spark: SparkSession, path: str, fetch: Callable[[], DataFrame], days: float = 7, optional: bool = False) -> DataFrame | None:
-    """A remote table kept at path: as it is there for some days, then fetched again; if that fails, the old one, or None where it is optional."""
-    from pyspark.errors import AnalysisException
+    """A remote table kept at path: as it is there for some days, then fetched again; if that fails, before or while it runs, the old one, or None where it is optional.
 
+    Each copy is a version of its own, so the old one is there until the new one is whole.
+    """
+    kept = VersionedTable(spark, path)
+    made = kept.versions()
+    if made and time.time() - made[max(made)] < days * 86400:
+        return kept.read()
     try:
-        old = spark.read.parquet(path)
-        if old.select(F.max(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("_metadata.file_modification_time"))).first()[0] < days * 86400:
-            return old
-    except AnalysisException:
-        old = None
-    try:
-        new = fetch()
-        new.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        kept.replace(fetch())
     except Exception:
-        if old is None and not optional:
+        if not made and not optional:
             raise
-        return old
+        return kept.read() if made else None
+    return kept.read()
 
 
 def present(spark: SparkSession, names: Sequence[str]) -> dict[str, bool]:

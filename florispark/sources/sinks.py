@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,10 +32,22 @@ def write_chunks(df: DataFrame, key: str, columns: Sequence[str], path: str, let
 
 
 def write_json_cache(df: DataFrame, key: str, columns: Sequence[str], path: str, letters: int = 2) -> None:
-    """A dictionary cache as readers.json_cache() reads it: JSON objects of records by key, one for each key prefix."""
-    rows = df.groupBy(chunk_key(F.col(key).cast("string"), letters).alias("_chunk")).agg(F.sort_array(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.struct(*columns).alias("v")))).alias("_all"))
-    lines = rows.select(F.to_json(F.map_from_entries("_all"), {"ignoreNullFields": "false"}).alias("value"), "_chunk")
-    lines.repartition("_chunk").write.mode("overwrite").partitionBy("_chunk").text(path)
+    """A dictionary cache as readers.json_cache() reads it: in a folder for each key prefix, an object of one key a line."""
+    name = F.col(key).cast("string")
+    line = F.to_json(F.create_map(name, F.struct(*columns)), {"ignoreNullFields": "false"})
+    df.where(name.isNotNull()).select(chunk_key(name, letters).alias("_chunk"), name.alias("_key"), line.alias("value")).repartitionByRange("_chunk", "_key").sortWithinPartitions("_chunk", "_key").drop("_key").write.mode("overwrite").partitionBy("_chunk").text(path)
+
+
+def write_indexed(df: DataFrame, path: str, key: str, buckets: int, group_bytes: int = 8 << 20) -> DataFrame:
+    """A table that finds a key fast: hashed into buckets, sorted within, small row groups with least and largest keys and Bloom filters.
+
+    A filter on the key reads one bucket, and in it the row groups that may have the key; a join or grouping by the
+    key of tables with as many buckets has no exchange.  The table is in the session's catalog, its files at path.
+    """
+    name = "indexed_" + uuid.uuid4().hex
+    out = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).option("parquet.block.size", group_bytes)
+    out.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.page.row.count.limit", 1000).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def finding(title: str, df: DataFrame, limit: int = 50, note: str = "") -> str:
