@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.sql import functions as F
 
 from florispark.operators import relational as R
 from florispark.session import shared_folder
-from florispark.sources import readers, sinks
+from florispark.sources import fetching, notes, readers, sinks
 from florispark.sources.readers import table
 from florispark.sources.versions import VersionedTable
+from florispark.streaming.incremental import load_decisions, load_new
 
-from .domain import ingredient, query
+from .domain import ingredient, query, species
 
 
 @query("src_csv_validated", "SELECT CAST(ref_no AS VARCHAR) AS no, nullif(CASE WHEN size % 3 = 0 THEN '' ELSE name END, '') AS name, CASE WHEN size % 2 = 0 THEN '' ELSE family END AS family FROM ing ")
@@ -75,19 +79,20 @@ def obo(spark, sf):
 
 
 class Shop:
-    """An API in memory: ids of four digits, searched by prefix, paged, and fetched by key."""
+    """An API in memory: as many ids as it is told, of six digits, searched by prefix and paged."""
 
-    most = 2500
+    def __init__(self, most: int):
+        self.most = most
 
-    def of(self, prefix: str) -> list[str]:
-        low = int(prefix.ljust(4, "0"))
-        return [f"{i:04d}" for i in range(low, min(low + 10 ** (4 - len(prefix)), self.most))]
+    def of(self, prefix: str) -> range:
+        low = int(prefix.ljust(6, "0"))
+        return range(low, min(low + 10 ** (6 - len(prefix)), self.most))
 
     def count(self, prefix: str) -> int:
-        return len(self.of(prefix))
+        return max(0, len(self.of(prefix)))
 
     def page(self, prefix: str, number: int, size: int) -> list[tuple[str, str]]:
-        return [(x, f"p{int(x) % 13}") for x in self.of(prefix)[number * size : (number + 1) * size]]
+        return [(f"{x:06d}", f"p{x % 13}") for x in self.of(prefix)[number * size : (number + 1) * size]]
 
 
 class ShopSource(readers.PagedSource):
@@ -98,11 +103,41 @@ class ShopSource(readers.PagedSource):
         return "shop"
 
 
-@query("src_paged", "SELECT lpad(CAST(i AS VARCHAR), 4, '0') AS id, 'p' || (i % 13) AS payload FROM range(2500) t(i)")
+class ShopStream(fetching.PagedStream):
+    clients = {"shop": Shop}
+
+    @classmethod
+    def name(cls) -> str:
+        return "shop_stream"
+
+
+SHOP = "SELECT lpad(CAST(i AS VARCHAR), 6, '0') AS id, 'p' || (i % 13) AS payload FROM (SELECT unnest(range(n)) AS i FROM (SELECT count(*) AS n FROM part))"
+
+
+@query("src_paged", SHOP)
 def paged(spark, sf):
-    """A paged search API as a data source: a partition for each id prefix that is below the paging depth."""
+    """A paged search API that has an id for each part, as a data source: a partition for each id prefix that is below the paging depth."""
     spark.dataSource.register(ShopSource)
-    return readers.reconciled(spark.read.format("shop").options(client="shop", most="300", size="70").load(), "id", 2500)
+    n = table(spark, sf, "part").count()
+    return readers.reconciled(spark.read.format("shop").options(client="shop", arguments=json.dumps({"most": n}), most="300", size="70").load(), "id", n)
+
+
+@query("src_paged_stream", SHOP)
+def paged_stream(spark, sf):
+    """The same as a stream of pages, broken off after its first batches and taken up again."""
+    spark.dataSource.register(ShopStream)
+    n, path = table(spark, sf, "part").count(), shared_folder(spark, "pages")
+    options = {"client": "shop", "arguments": json.dumps({"most": n}), "store": f"{path}/store", "most": "10000", "size": "200", "rate": "2000", "pages_per_batch": "40"}
+    for part in (0, 1):
+        q = spark.readStream.format("shop_stream").options(**options).load().writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").start(f"{path}/rows")
+        try:
+            while not part and q.isActive and not q.lastProgress:
+                time.sleep(0.05)
+            if part:
+                q.processAllAvailable()
+        finally:
+            q.stop()
+    return readers.reconciled(spark.read.schema("id string, payload string").parquet(f"{path}/rows"), "id", n)
 
 
 class Fetcher:
@@ -117,8 +152,11 @@ class Fetcher:
             return None
         return {k: f"v{k % 11}" for k in keys if k % 7}
 
-    def retry(self, key: int) -> str | None:
-        return "hinted" if key % 2 else None
+    def retry(self, key: int) -> dict | None:
+        self.calls += 1
+        if self.calls % 5 == 1:
+            return None
+        return {key: "hinted"} if key % 2 else {}
 
 
 @query("src_fetch_batches", "SELECT ref_no, ref_no % 7 <> 0 OR ref_no % 2 = 1 AS found, CASE WHEN ref_no < 20 THEN 'cached' WHEN ref_no % 7 <> 0 THEN 'v' || (ref_no % 11) WHEN ref_no % 2 = 1 THEN 'hinted' END AS payload FROM ing WHERE ref_no >= 20 UNION ALL SELECT ref_no, true, 'cached' FROM ing WHERE ref_no < 20")
@@ -262,3 +300,43 @@ def key_lookup(spark, sf):
     i = ingredient(spark, sf).select("ref_no", "name")
     key = i.agg(F.floor(F.max("ref_no") / 2)).first()[0]
     return sinks.write_indexed(i, shared_folder(spark, "index"), "ref_no", 8).where(F.col("ref_no") == key)
+
+
+@query("snk_notes", "SELECT name, '---' || chr(10) || 'family: ' || family || chr(10) || '---' || chr(10) || chr(10) || '<!-- AUTO-START -->' || chr(10) || chr(10) || kingdom || ' again' || chr(10) || chr(10) || '<!-- AUTO-END -->' || CASE WHEN species % 5 = 0 THEN ' new' ELSE ' said of ' || species END AS text FROM (SELECT *, 'note ' || species AS name FROM species )")
+def written_notes(spark, sf):
+    """A note for each species, written twice: heads are the second run's, tails the first's where there was one."""
+    path, s = shared_folder(spark, "notes"), species(spark, sf)
+    made = s.select("species", F.concat(F.lit("note "), F.col("species").cast("string")).alias("name"), F.concat(F.lit("family: "), "family").alias("frontmatter"), F.col("kingdom").alias("body"))
+    notes.write_notes(made.where("species % 5 <> 0").withColumn("tail", F.concat(F.lit(" said of "), F.col("species").cast("string"))), path)
+    notes.write_notes(made.withColumn("body", F.concat("body", F.lit(" again"))).withColumn("tail", F.lit(" new")), path)
+    return notes.read_notes(spark, path)
+
+
+def _in_batches(spark, folder, batches, load):
+    for b in batches:
+        b.write.mode("append").parquet(f"{folder}/in")
+        load()
+    return VersionedTable(spark, f"{folder}/table").read()
+
+
+@query("snk_stream_once", "SELECT ref_no, CASE WHEN size <= 15 THEN 'first' WHEN size <= 35 THEN 'second' ELSE 'third' END AS batch, name FROM ing ")
+def stream_once(spark, sf):
+    """Three batches of files, each started anew from the checkpoint: a key is loaded by the first batch that has it."""
+    folder, i = shared_folder(spark, "stream"), ingredient(spark, sf)
+    batch = lambda n, most: i.where(F.col("size") <= most).select("ref_no", F.lit(n).alias("batch"), "name")
+    load = lambda: load_new(spark, f"{folder}/in", "ref_no long, batch string, name string", f"{folder}/table", f"{folder}/checkpoint", "ref_no").awaitTermination()
+    return _in_batches(spark, folder, [batch("first", 15), batch("second", 35), batch("third", 50)], load)
+
+
+@query("snk_stream_decisions", "SELECT ref_no, CASE WHEN ref_no % 7 = 0 THEN 'late' WHEN size <= 20 AND size % 5 = 0 THEN 'said ' || name ELSE ord END AS value, ref_no % 7 = 0 OR (size <= 20 AND size % 5 = 0) AS person FROM ing ")
+def stream_decisions(spark, sf):
+    """Three batches of what a machine makes and people decide: later values replace earlier ones, but never a person's by a machine's."""
+    folder, i = shared_folder(spark, "stream"), ingredient(spark, sf)
+    rows = lambda where, value, n, person: i.where(where).select("ref_no", value.alias("value"), F.lit(n).cast("long").alias("at"), F.lit(person).alias("person"))
+    batches = [
+        rows("size <= 20", F.col("name"), 1, False).union(rows("size <= 20 and size % 5 = 0", F.concat(F.lit("said "), "name"), 1, True)),
+        rows("true", F.col("family"), 2, False),
+        rows("true", F.col("ord"), 3, False).union(rows("ref_no % 7 = 0", F.lit("late"), 3, True)),
+    ]
+    load = lambda: load_decisions(spark, f"{folder}/in", "ref_no long, value string, at long, person boolean", f"{folder}/table", f"{folder}/checkpoint", "ref_no", "at", "person").awaitTermination()
+    return _in_batches(spark, folder, batches, load).drop("at")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -86,11 +88,15 @@ class Bucket(InputPartition):
         self.prefix, self.total = prefix, total
 
 
+def client_of(clients: dict[str, Callable], options) -> Callable[[], object]:
+    return partial(clients[options["client"]], **json.loads(options.get("arguments", "{}")))
+
+
 class PagedSource(DataSource):
     """A paged search API as a source: id prefixes are split until each is below the API's paging depth, one partition each.
 
-    Options reach a client by name; register_client() gives the client, which has
-    count(prefix) -> int and page(prefix, number, size) -> rows.
+    The option client names one of clients, which makes an object with count(prefix) -> int and
+    page(prefix, number, size) -> rows; the option arguments is a JSON object of what it is made with.
     """
 
     clients: dict[str, Callable[[], object]] = {}
@@ -103,7 +109,7 @@ class PagedSource(DataSource):
         return self.options.get("schema", "id string, payload string")
 
     def reader(self, schema) -> "PagedReader":
-        return PagedReader(self.clients[self.options["client"]], int(self.options.get("most", 10_000)), int(self.options.get("size", 200)), self.options.get("alphabet", "0123456789"))
+        return PagedReader(client_of(self.clients, self.options), int(self.options.get("most", 10_000)), int(self.options.get("size", 200)), self.options.get("alphabet", "0123456789"))
 
 
 class PagedReader(DataSourceReader):
@@ -150,23 +156,25 @@ def fetch_batches(keys: DataFrame, key: str, client: Callable[[], object], size:
 
     client() gives an object with fetch(list of keys) -> {key: payload}, or None for a transient
     failure, which is asked again after a growing pause and is an error after `tries`; a key that isn't in
-    the answer is missing, which is a result.  Where it has retry(key) -> payload or None, missing
-    keys are asked once more by it, with whatever hint it adds.
+    the answer is missing, which is a result.  Where it has retry(key), missing keys are asked once more
+    by it, one by one, with whatever hint it adds; its answer has the same form, {} for a miss that lasts.
     """
 
+    def asked(ask: Callable[[], dict | None], what) -> dict:
+        for n in range(tries):
+            if (got := ask()) is not None:
+                return got
+            time.sleep(pause * 2**n)
+        raise RuntimeError(f"{what}: no answer after {tries} tries")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         api = client()
-        again = getattr(api, "retry", lambda k: None)
+        again = getattr(api, "retry", lambda k: {})
         for pdf in batches:
             for at in range(0, len(pdf), size):
                 part = pdf[key].iloc[at : at + size].tolist()
-                for n in range(tries):
-                    if (got := api.fetch(part)) is not None:
-                        break
-                    time.sleep(pause * 2**n)
-                else:
-                    raise RuntimeError(f"{part[0]}: no answer after {tries} tries")
-                values = [got[k] if k in got else again(k) for k in part]
+                got = asked(lambda part=part: api.fetch(part), part[0])
+                values = [got[k] if k in got else asked(lambda k=k: again(k), k).get(k) for k in part]
                 yield pd.DataFrame({key: part, "found": [v is not None for v in values], "payload": values})
 
     kind = keys.schema[key].dataType.simpleString()

@@ -90,9 +90,9 @@ class VersionedTable:
         (df.repartitionByRange(*cluster).sortWithinPartitions(*cluster) if cluster else df).write.parquet(folder)
         return sorted(self.spark.read.schema(df.schema).parquet(folder).inputFiles())
 
-    def _commit(self, before: int | None, files: Sequence[str], schema: StructType) -> int:
+    def _commit(self, before: int | None, files: Sequence[str], schema: StructType, batches: dict[str, int] | None = None) -> int:
         number, name = (0 if before is None else before + 1), f"{uuid.uuid4().hex}.json"
-        self._put(json.dumps({"schema": schema.json(), "files": list(files)}), "manifests", name)
+        self._put(json.dumps({"schema": schema.json(), "files": list(files), "batches": batches or {}}), "manifests", name)
         try:
             self._put(name, "versions", str(number))
         except Exception as e:
@@ -106,11 +106,17 @@ class VersionedTable:
         before = self.version()
         return self._commit(before, self._write(df, cluster), df.schema)
 
-    def append(self, df: DataFrame, cluster: Sequence[str] = ()) -> int:
+    def append(self, df: DataFrame, cluster: Sequence[str] = (), batch: tuple[str, int] | None = None) -> int:
+        """More rows; of a stream's batch, (its name, its number), that a version has already, nothing."""
         before = self.version()
-        m = self._manifest(before)
+        m = self._manifest(before) if before is not None else {"files": [], "schema": df.schema.json()}
+        batches = dict(m.get("batches", {}))
+        if batch is not None:
+            if batches.get(batch[0], -1) >= batch[1]:
+                return before
+            batches[batch[0]] = batch[1]
         kind = StructType.fromJson(json.loads(m["schema"]))
-        return self._commit(before, [*m["files"], *self._write(df.select(*kind.names), cluster)], kind)
+        return self._commit(before, [*m["files"], *self._write(df.select(*kind.names), cluster)], kind, batches)
 
     def _hit(self, rows: DataFrame, keys: DataFrame, key: str) -> list[str]:
         """Files with a row whose key is among keys: only the key column is read."""
@@ -129,7 +135,7 @@ class VersionedTable:
             return {"version": before, "rewritten": 0, "kept": len(stay)}
         made = self._write(change(self._rows(sorted(hit), m["schema"])).select(*kind.names)) if hit else []
         added = self._write(new.select(*kind.names)) if new is not None else []
-        number = self._commit(before, [*stay, *made, *added], kind)
+        number = self._commit(before, [*stay, *made, *added], kind, m.get("batches"))
         return {"version": number, "rewritten": len(hit), "kept": len(stay)}
 
     def update(self, keys: DataFrame, key: str, values: dict[str, Column]) -> dict:

@@ -1,27 +1,85 @@
-"""Incremental load: new inventory files become an append-only layer, each key once."""
+"""Incremental loads with keyed state: new files are read once, and what is known of a key is in the state store, not in the target."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from florispark.sources.versions import VersionedTable
+
 
+def _source(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(folder)
 
-def load_new(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Rows of new Parquet files whose key isn't in target yet; ends when what is there has been read.
 
-    A batch that is tried again writes to its own folder anew, so no row is there twice.
+def _kept(rows: DataFrame, key: str, order: str | None, human: str | None, schema: str, first: bool) -> DataFrame:
+    """Of each key, the row of a batch that changes what is known of it, if there is one.
+
+    first: the first row of a key stays.  Else a later one takes its place, unless a person has
+    decided and it is the machine's.  Rows of a batch go by order, then by all their columns.
     """
+    names = rows.columns
+
+    def run(_, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        known = state.get if state.exists else None
+        best, rank = None, (bool(known[0]), known[1]) if known else None
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                own = (bool(human and row["_human"]), int(row["_order"]))
+                tie = (*own, *((row[c] is None, str(row[c])) for c in names))
+                if first:
+                    better = known is None and (best is None or (tie[1:], ) < (best[0][1:], ))
+                else:
+                    better = (rank is None or own >= rank) and (best is None or tie > best[0])
+                if better:
+                    best = (tie, own, row["_json"])
+        if best is not None:
+            state.update((best[1][0], best[1][1]))
+            yield pd.DataFrame({"_json": [best[2]]})
+
+    told = rows.where(F.col(key).isNotNull()).select("*", (F.col(human) if human else F.lit(False)).alias("_human"), (F.col(order).cast("long") if order else F.lit(0).cast("long")).alias("_order"), F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("_json"))
+    out = told.groupBy(key).applyInPandasWithState(run, "_json string", "human boolean, at long", "update", GroupStateTimeout.NoTimeout)
+    return out.select(F.from_json("_json", schema).alias("r")).select("r.*")
+
+
+def _run(rows: DataFrame, checkpoint: str, put) -> StreamingQuery:
+    return rows.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def load_new(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, key: str, order: str | None = None) -> StreamingQuery:
+    """Rows of new Parquet files whose key hasn't come before, appended to a versioned table; ends when what is there has been read.
 
-    def add(batch: DataFrame, epoch: int) -> None:
-        new = batch.dropDuplicates([key])
+    Of a batch's rows of one key the first by order stays.  The target isn't read.  A batch
+    that is tried again after its version was made adds nothing.  Rows without key are left out.
+    """
+    table = VersionedTable(spark, target)
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        table.append(batch, batch=(checkpoint, epoch))
+
+    return _run(_kept(_source(spark, folder, schema), key, order, None, schema, True), checkpoint, put)
+
+
+def load_decisions(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, key: str, order: str, human: str) -> StreamingQuery:
+    """Rows of new Parquet files put in place of those with their key; a row of the machine never replaces a person's (human is true).
+
+    Only files with a changed key are rewritten; a batch that is tried again leaves the same rows.
+    """
+    table = VersionedTable(spark, target)
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        held = batch.persist()
         try:
-            have = spark.read.option("basePath", target).parquet(target).where(F.col("epoch") != epoch).select(key)
-            new = new.join(have, key, "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        new.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
-
-    stream = spark.readStream.schema(schema).parquet(folder)
-    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            if table.version() is None:
+                table.replace(held, [key])
+            elif not held.isEmpty():
+                table.upsert(held, key)
+        finally:
+            held.unpersist()
+
+    return _run(_kept(_source(spark, folder, schema), key, order, human, schema, False), checkpoint, put)

@@ -1,11 +1,14 @@
 import gzip
 import json
+import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from florispark.sources import readers, sinks
-from florispark.streaming.incremental import load_new
+from florispark.sources import fetching, notes, readers, sinks
+from florispark.sources.versions import VersionedTable
+from florispark.streaming.incremental import load_decisions, load_new
 
 
 def test_validated_csv(spark, tmp_path):
@@ -82,7 +85,80 @@ def test_incremental_load_adds_each_key_once(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
         q = load_new(spark, src, schema, out, cp, "k")
         assert q.awaitTermination(60)
-    assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert sorted((r.k, r.v) for r in VersionedTable(spark, out).read().collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    # a batch whose version is there adds nothing when it is tried again
+    assert VersionedTable(spark, out).append(spark.createDataFrame([(9, "z")], schema), batch=(cp, 1)) == VersionedTable(spark, out).version()
+    assert VersionedTable(spark, out).read().count() == 3
+
+
+def test_machines_never_replace_decisions(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = "k int, v string, n int, person boolean"
+    for rows in ([(1, "a", 1, False), (2, "b", 1, True), (None, "x", 1, False), (3, "c", 1, False)], [(1, "a2", 2, False), (2, "b2", 2, False), (3, "c2", 2, True), (3, "c3", 3, False)], [(3, None, 4, True), (2, "b3", 3, False), (1, "a0", 0, False), (4, "d", 3, False)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        assert load_decisions(spark, src, schema, out, cp, "k", "n", "person").awaitTermination(60)
+    assert sorted((r.k, r.v) for r in VersionedTable(spark, out).read().collect()) == [(1, "a2"), (2, "b"), (3, None), (4, "d")]
+
+
+def test_notes_keep_their_tails(spark, tmp_path):
+    path = str(tmp_path / "notes")
+    rows = lambda n, extra=(): spark.createDataFrame([(x, f"v: {n}", f"body {n}", f"\ntail {n} {x}") for x in ("Rosa canina", "a+b", *extra)], "name string, frontmatter string, body string, tail string")
+    notes.write_notes(rows(1), path)
+    (tmp_path / "notes" / "Rosa canina.md").write_text((tmp_path / "notes" / "Rosa canina.md").read_text() + "\nmine, with <!-- AUTO-END --> in it")
+    (tmp_path / "notes" / "other.md").write_text("no marker")
+    notes.write_notes(rows(2, ["new", "other"]), path)
+    got = {r.name: r.text for r in notes.read_notes(spark, path).collect()}
+    head = "---\nv: 2\n---\n\n<!-- AUTO-START -->\n\nbody 2\n\n<!-- AUTO-END -->"
+    assert got == {"Rosa canina": head + "\ntail 1 Rosa canina\nmine, with <!-- AUTO-END --> in it", "a+b": head + "\ntail 1 a+b", "new": head + "\ntail 2 new", "other": head + "\ntail 2 other"}
+    # a task that fails leaves no file, and old notes as they were
+    with pytest.raises(Exception, match="not a name"):
+        notes.write_notes(rows(3, ["fresh", "../up"]), path)
+    assert {r.name: r.text for r in notes.read_notes(spark, path).collect()} == got and not [x for x in (tmp_path / "notes").iterdir() if x.is_dir()]
+
+
+class Counting(Api):
+    """Notes each page that is asked for, and dies when it is told to."""
+
+    pointer = os.path.join(tempfile.gettempdir(), f"florispark-counting-{os.getuid()}")  # read in other processes
+
+    def page(self, prefix, number, size):
+        self.folder = open(self.pointer).read()
+        with open(f"{self.folder}/asked", "a") as f:
+            f.write(f"{prefix}-{number}\n")
+        if number == 1 and prefix == "1" and not os.path.exists(f"{self.folder}/well"):
+            raise OSError("gone away")
+        return super().page(prefix, number, size)
+
+
+class CountingStream(fetching.PagedStream):
+    clients = {"api": Counting}
+
+    @classmethod
+    def name(cls):
+        return "counting_stream"
+
+
+def test_a_fetch_is_taken_up_where_it_broke_off(spark, tmp_path):
+    with open(Counting.pointer, "w") as f:
+        f.write(str(tmp_path))
+    spark.dataSource.register(CountingStream)
+
+    def start():
+        stream = spark.readStream.format("counting_stream").options(client="api", store=str(tmp_path / "store"), most="100", size="30", rate="1000", tasks="2", pages_per_batch="3").load()
+        return stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).start(str(tmp_path / "out"))
+
+    q = start()
+    with pytest.raises(Exception, match="gone away"):
+        q.processAllAvailable()
+    (tmp_path / "well").write_text("")
+    q = start()
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [f"{i:03d}" for i in range(250)]
+    asked = (tmp_path / "asked").read_text().split()
+    again = [p for p in set(asked) if asked.count(p) > 1]
+    assert again == ["1-1"] and len(set(asked)) == 10  # only the page at which it died
 
 
 class Down:
