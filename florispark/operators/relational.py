@@ -125,8 +125,34 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.selectExpr("rows", f"stack({len(columns)}, {lines}) as (column, blank, distinct_values, longest)")
 
 
+def sketches(df: DataFrame, columns: Sequence[str], by: Sequence[Column] = (), log_k: int = 14) -> DataFrame:
+    """(by..., column, rows, blank, longest, distinct_sketch, length_sketch): one aggregate whose state is a few kilobytes a column, mergeable by merged()."""
+    text = {c: F.col(c).cast("string") for c in columns}
+    parts = (
+        ("blank", lambda c: F.count_if(text[c].isNull() | (F.trim(text[c]) == ""))),
+        ("longest", lambda c: F.max(F.length(text[c])).cast("long")),
+        ("distinct_sketch", lambda c: F.hll_sketch_agg(F.concat(F.lit("="), text[c]), log_k)),  # it takes no empty texts
+        ("length_sketch", lambda c: F.kll_sketch_agg_bigint(F.length(text[c]).cast("long"))),
+    )
+    one = df.groupBy(*by).agg(F.count("*").alias("rows"), *(f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in parts))
+    each = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"{n}_{i}").alias(n) for n, _ in parts)) for i, c in enumerate(columns)))
+    names = [c for c in one.columns if c == "rows" or not c.rsplit("_", 1)[-1].isdigit()]
+    return one.select(*names, F.explode(each).alias("_c")).select(*names, "_c.*")
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """(column, rows, blank, longest, distinct_values, median_length) of sketches of parts of a table, by column.
+
+    distinct_values is an estimate: with log_k of 14, 95 % of them are within 1.7 % (and all up to some thousands exact or nearly).
+    median_length is an element whose rank is within 2 % of the middle; blanks that are null have no length.
+    """
+    g = parts.groupBy("column").agg(F.sum("rows").alias("rows"), F.sum("blank").alias("blank"), F.max("longest").alias("longest"), F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_values"), F.kll_merge_agg_bigint("length_sketch").alias("_k"))
+    some = F.kll_sketch_get_n_bigint("_k") > 0
+    return g.select("column", "rows", "blank", "longest", "distinct_values", F.when(some, F.kll_sketch_get_quantile_bigint("_k", F.lit(0.5))).alias("median_length"))
+
+
 def checks(rows: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """(label, ok, observed): each a one-row frame with 'observed' and the test on it."""
+    """(label, ok, observed): each a one-row frame with 'observed' and the test on it; checks of rows that are being written belong in VersionedTable.replace()."""
     return reduce(DataFrame.unionByName, [d.select(F.lit(label).alias("label"), test.alias("ok"), F.col("observed").cast("bigint").alias("observed")) for label, d, test in rows])
 
 

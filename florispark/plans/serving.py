@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from florispark.operators import graph as G
 from florispark.operators import relational as R
 from florispark.operators import serving as S
+from florispark.operators.search_index import SearchIndex
+from florispark.session import shared_folder
 
-from .domain import edges, ingredient, query, same, species, used_by
+from .domain import ORACLES, edges, ingredient, query, same, species, used_by
 
 REQUESTS = ["12", " 7 ", "c-0000000031", "Red Ring", "SMALL BOX", "nothing"]
 VALUES = ", ".join(f"('{x}')" for x in REQUESTS)
@@ -80,6 +82,26 @@ def analyze(spark, sf):
     return S.match_list(spark.createDataFrame(list(enumerate(LABELS)), "position long, label string"), ingredient(spark, sf))
 
 
+
+def _index(spark, sf):
+    return SearchIndex.build(ingredient(spark, sf), ["family", "ord"], shared_folder(spark, "search-index"))
+
+
+@query("api_search_indexed")
+def search_indexed(spark, sf):
+    """The search above from a stored index."""
+    return _index(spark, sf).search(" Red Ring", ["family", "ord"], F.col("is_bio")).select("ref_no", "name", "score")
+
+
+@query("api_analyze_indexed")
+def analyze_indexed(spark, sf):
+    """The list above from a stored index."""
+    return _index(spark, sf).match_list(spark.createDataFrame(list(enumerate(LABELS)), "position long, label string"))
+
+
+ORACLES |= {"api_search_indexed": ORACLES["api_search"], "api_analyze_indexed": ORACLES["api_analyze_list"]}
+
+
 @query("api_list_summary", f"WITH q(label) AS (VALUES {', '.join(f'({chr(39)}{x}{chr(39)})' for x in LABELS if x)}), h AS (SELECT label, max(ref_no) AS ref_no FROM q LEFT JOIN ing ON upper(name) = upper(trim(label)) GROUP BY label) SELECT i.family, count(*) AS n FROM h JOIN ing i ON i.ref_no = h.ref_no GROUP BY i.family")
 def list_summary(spark, sf):
     q = spark.createDataFrame([(x,) for x in LABELS if x], "label string").withColumn("k", F.upper(F.trim("label")))

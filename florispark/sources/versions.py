@@ -10,13 +10,17 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+class CheckFailed(ValueError):
+    """What was written breaks a rule; no version has it."""
+
+
 class Conflict(RuntimeError):
     """Someone else has made the version that this change would have been."""
 
@@ -84,11 +88,13 @@ class VersionedTable:
 
     # ---- changing -------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, cluster: Sequence[str] = ()) -> list[str]:
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame, cluster: Sequence[str] = (), observation: Observation | None = None, metrics: Sequence[Column] = ()) -> list[str]:
+        folder, schema = f"{self.path}/data/{uuid.uuid4().hex}", df.schema
         # keys that are near each other in few files, so that few files are hit
-        (df.repartitionByRange(*cluster).sortWithinPartitions(*cluster) if cluster else df).write.parquet(folder)
-        return sorted(self.spark.read.schema(df.schema).parquet(folder).inputFiles())
+        df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster) if cluster else df
+        # behind the exchange, as ranges are found by a run of their own
+        (df.observe(observation, *metrics) if observation else df).write.parquet(folder)
+        return sorted(self.spark.read.schema(schema).parquet(folder).inputFiles())
 
     def _commit(self, before: int | None, files: Sequence[str], schema: StructType, batches: dict[str, int] | None = None) -> int:
         number, name = (0 if before is None else before + 1), f"{uuid.uuid4().hex}.json"
@@ -106,6 +112,24 @@ class VersionedTable:
         before = self.version()
         return self._commit(before, self._write(df, cluster), df.schema)
 
+    def replace_checked(self, df: DataFrame, checks: dict[str, tuple[Column, Callable[[object], bool]]], cluster: Sequence[str] = ()) -> dict[str, tuple[bool, object]]:
+        """As replace(), if all checks hold: each an aggregate and a test of its value, all of them taken in the pass that writes.
+
+        (ok, value) by label; where one fails, CheckFailed is raised and the table stays as it was.
+        """
+        before, seen = self.version(), Observation()
+        files = self._write(df, cluster, seen, [agg.alias(label) for label, (agg, _) in checks.items()])
+        got = seen.get
+        out = {label: (bool(test(got[label])), got[label]) for label, (_, test) in checks.items()}
+        failed = {label: value for label, (ok, value) in out.items() if not ok}
+        if failed:
+            fs, where = self._at("data", files[0].rsplit("/", 2)[-2]) if files else (None, None)
+            if fs is not None:
+                fs.delete(where, True)
+            raise CheckFailed(", ".join(f"{label}: {value}" for label, value in failed.items()))
+        self._commit(before, files, df.schema)
+        return out
+
     def append(self, df: DataFrame, cluster: Sequence[str] = (), batch: tuple[str, int] | None = None) -> int:
         """More rows; of a stream's batch, (its name, its number), that a version has already, nothing."""
         before = self.version()
