@@ -8,14 +8,14 @@ than D + 1, and a set that leaves more than those empty is dealt again with anot
 doesn't, so that no equal group can hide among empty ones.  Documents with a common key are tied to the smallest of them, which gives
 families; a key that very many documents share costs one edge for each of them, not pairs.
 
-Copies with equal sets are one row of their family.  A family of more than LARGE_TILES tiles is
-contracted first: each member is compared with the smallest of its size band, and those that link with it are
-connected, so no two of them need to be compared.  What is left is compared with all, and the
-linked ones of two neighbouring bands with each other unless their smallest ones link.
-A family is split by size band and hash into blocks, and two blocks of one band or of neighbouring
-bands make a tile.  In a tile, each set has a
-hashed bitmap; a bit that one set has and the other has not is a shingle outside the overlap, so
-bit counts bound the overlap from above.  Pairs that pass, and aren't connected yet, are
+Copies with equal sets are one row of their family.  A family of up to TILE sets is one tile.  A larger
+one is contracted: each member is compared with the smallest sets that share a key with it, its hubs, first with the smallest of these, then
+with those that it isn't connected with; what is linked so is connected.  Of what isn't connected then, only sets that share a key have to meet: a key whose sets
+are all connected is done with, and any other is a tile, or several where many sets share it.  Of these sets the
+largest connected part is dealt into blocks, the rest goes to all of them; two of the largest part never meet.  So families of near copies,
+and chains of texts that drift, cost rows, not pairs.
+In a tile, each set has a hashed bitmap; a bit that one set has and the other has not is a shingle outside
+the overlap, so bit counts bound the overlap from above.  Pairs that pass, and aren't connected yet, are
 decided by exact intersection of sorted arrays.  Each tile returns a spanning forest of its links.
 """
 
@@ -30,12 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets as buckets_for
-from .common import components, cut, distinct_by_text, mix, shingles, stored, word_chunks
+from .common import components, cut, distinct_by_text, mix, partitions, shingles, stored, word_chunks
 
 TILE = 256
-LARGE_TILES = 256  # contraction reads the texts once more, which pays for large families only
-PACKET_KEYS = 1 << 19
+PACKET_KEYS = 1 << 18
+KEY_BUCKET_BYTES = 8 << 20
 
 
 def band_floors(percent: int, most: int) -> np.ndarray:
@@ -177,12 +176,13 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out, axis=1).view(np.uint64)
 
 
-def forest(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what the links of a tile connect; side tells two blocks of a tile apart (all equal: one block)."""
+def forest(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int, connected: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect what the links of a tile connect; side tells two blocks of a tile apart (all equal: one block); connected numbers what is connected before."""
     order = np.argsort([len(s) for s in sets], kind="stable")
     ids, sets, side = ids[order], [sets[i] for i in order], side[order]
+    comp = np.arange(len(sets)) if connected is None else np.unique(connected[order], return_inverse=True)[1]
     n, marks = np.array([len(s) for s in sets]), bitmaps(sets)
-    comp, links, both = np.arange(len(sets)), [], len(set(side.tolist())) > 1
+    links, both = [], len(set(side.tolist())) > 1
     for i in range(len(sets) - 1):
         j = np.arange(i + 1, int(np.searchsorted(n, 100 * n[i] // percent, "right")))
         j = j[comp[j] != comp[i]]
@@ -213,74 +213,70 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * overlap >= percent * (len(a) + len(b) - overlap)
 
 
-def _with_hub(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of (family, band, rep, shingles, hub, hub's shingles): (family, band, rep, hub, linked)."""
-    known, hub_set = None, np.zeros(0, np.uint64)
-    for batch in batches:
-        found = []
-        for rep, shingles_, hub, other in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5), strict=True):
-            if hub != known:
-                known, hub_set = hub, np.frombuffer(other.as_py(), np.uint64)
-            found.append(rep == hub or links(np.frombuffer(shingles_.as_py(), np.uint64), hub_set, percent))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(4), pa.array(found, pa.bool_())], names=["family", "band", "rep", "hub", "linked"])
+def _unpack(column) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column]
 
 
 def _tile(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    links = forest(pdf["rep"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], pdf["own"].to_numpy(), percent)
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-
-def _tiles(laid: DataFrame, arrays, tile: int) -> DataFrame:
-    """Tiles (family, rep, own, shingles, x, y) of families, which are rows of family, band, rep and the family's total."""
-    share = laid.groupBy("family", "band").agg(F.ceil(F.count("*") / F.lit(tile)).cast("long").alias("blocks"))
-    around = share
-    for name, step in (("before", 1), ("after", -1)):
-        around = around.join(share.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name)), ["family", "band"], "left")
-    around = around.na.fill(0, ["before", "after"])
-    code = lambda b, i: b * (1 << 32) + i
-    dealt = laid.join(around, ["family", "band"]).withColumn("own", F.when(F.col("total") <= tile, F.lit(-1)).otherwise(code(F.col("band"), F.pmod(F.xxhash64("rep"), F.col("blocks")))))
-    to = lambda step, count: F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda i: code(F.col("band") + step, i))).otherwise(F.array().cast("array<bigint>"))
-    dealt = dealt.withColumn("other", F.when(F.col("total") <= tile, F.array(F.lit(-1).cast("long"))).otherwise(F.concat(to(-1, "before"), to(0, "blocks"), to(1, "after"))))
-    rows = arrays(dealt.select("rep", "family", "own", "other"), "family", "own", "other").withColumn("other", F.explode("other"))
-    return rows.select("family", "rep", "own", "shingles", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-
-
-def _large_tiles(sets: DataFrame, percent: int, tile: int) -> tuple[DataFrame, DataFrame]:
-    """Tiles (family, rep, own, shingles, x, y) of large families (family, band, rep, shingles), and the links (a, b) that are known before."""
-    place = ["family", "band"]
-    hubs = cut(sets.groupBy(*place).agg(F.min("rep").alias("hub")))
-    hub_sets = sets.join(hubs.withColumnRenamed("hub", "rep"), [*place, "rep"]).select(*place, F.col("rep").alias("hub"), F.col("shingles").alias("other"))
-    told = cut(sets.join(hub_sets, place).select(*place, "rep", "shingles", "hub", "other").mapInArrow(lambda it: _with_hub(it, percent), "family long, band long, rep long, hub long, linked boolean"))
-    # hubs of neighbouring bands, as members of the lower band
-    above = hub_sets.select("family", (F.col("band") - 1).alias("band"), F.col("hub").alias("rep"), F.col("other").alias("shingles"))
-    bridges = cut(above.join(hub_sets, place).select(*place, "rep", "shingles", "hub", "other").mapInArrow(lambda it: _with_hub(it, percent), "family long, band long, rep long, hub long, linked boolean").where("linked"))
-    known = told.where("linked and rep <> hub").select("rep", "hub").union(bridges.select("rep", "hub")).toDF("a", "b")
-    bridged = bridges.select(*place, F.lit(True).alias("bridged"))
-    counts = told.groupBy(*place).agg(F.ceil(F.count_if("linked") / F.lit(tile)).cast("long").alias("linked_blocks"), F.ceil(F.count_if(~F.col("linked")) / F.lit(tile)).cast("long").alias("rest_blocks"))
-    counts = counts.join(bridged, place, "left")
-    around = counts
-    for name, step in (("before", 1), ("after", -1)):
-        near = counts.select("family", (F.col("band") + step).alias("band"), *(F.col(c).alias(f"{c}_{name}") for c in ("linked_blocks", "rest_blocks", "bridged")))
-        around = around.join(near, place, "left")
-    code = lambda band, linked, i: (band * 2 + linked) * (1 << 32) + i
-    own = code(F.col("band"), F.col("linked").cast("long"), F.pmod(F.xxhash64("rep"), F.when(F.col("linked"), F.col("linked_blocks")).otherwise(F.col("rest_blocks"))))
-
-    def all_of(count: str, step: int, linked: int):
-        n = F.coalesce(F.col(count), F.lit(0))
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: code(F.col("band") + step, F.lit(linked), i))).otherwise(F.array().cast("array<bigint>"))
-
-    none = F.array().cast("array<bigint>")
-    sides = (("_before", -1), ("", 0), ("_after", 1))
-    rest = [all_of(f"rest_blocks{name}", step, 0) for name, step in sides]
-    linked = [all_of(f"linked_blocks{name}", step, 1) for name, step in sides]
-    apart = [F.when(F.col("bridged_before").isNull(), linked[0]).otherwise(none), F.when(F.col("bridged").isNull(), linked[2]).otherwise(none)]
-    other = F.when(F.col("linked"), F.concat(*rest, *apart)).otherwise(F.concat(*rest, *linked))
-    dealt = told.drop("hub").join(around, place).select("rep", "family", own.alias("own"), F.explode(other).alias("other"))
-    rows = sets.select("rep", "shingles").join(dealt, "rep")
-    return rows.select("family", "rep", "own", "shingles", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")), known
-
-
-def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE, large_tiles: int = LARGE_TILES) -> DataFrame:
+    """Links of a tile of (rep, own, comp, shingles)."""
+    found = forest(pdf["rep"].to_numpy(), _unpack(pdf["shingles"]), pdf["own"].to_numpy(), percent, pdf["comp"].to_numpy())
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _star(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of a hub (the row with own) with some of those that share a key with it."""
+    hub = pdf[pdf["own"]]
+    one, near = np.frombuffer(hub["shingles"].iloc[0], np.uint64), pdf[~pdf["own"]]
+    linked = [r for r, x in zip(near["rep"], _unpack(near["shingles"]), strict=True) if links(x, one, percent)]
+    return pd.DataFrame({"a": linked, "b": [hub["rep"].iloc[0]] * len(linked)}, dtype="int64")
+
+
+def _keys(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(key, rep, comp) of sets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = _unpack(part.column("shingles").to_pylist())
+            keys, text = keys_of(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(part.column(c).take(pa.array(text)) for c in ("rep", "comp"))], names=["key", "rep", "comp"])
+
+
+def _by_hubs(sets: DataFrame, shared: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Links (a, b) among pairs (a, b) of sets, b being a's hub.  A hub's set is sent once for every `tile` of its pairs."""
+    slots = shared.groupBy("b").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("slots"))
+    near = shared.join(slots, "b").select(F.col("a").alias("rep"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), F.col("slots")).cast("int").alias("slot"), F.lit(False).alias("own"))
+    hubs = slots.select(F.col("b").alias("rep"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.lit(True).alias("own"))
+    rows = near.union(hubs).join(sets.select("rep", "shingles"), "rep")
+    return rows.groupBy("hub", "slot").applyInPandas(lambda pdf: _star(pdf, percent), "a long, b long")
+
+
+def _by_keys(sets: DataFrame, comps: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Tiles (rep, comp, own, shingles, x, y, z) of sets that share a key and aren't connected; comps has (rep, comp) of families that aren't connected yet."""
+    keys = cut(sets.join(comps, "rep").select("rep", "comp", "shingles").mapInArrow(lambda it: _keys(it, percent), "key long, rep long, comp long").distinct())
+    parts = keys.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    per = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), F.max(F.struct("n", "comp")).alias("most")).where("parts > 1")
+    rows = keys.join(per.select("key", "total", F.col("most.comp").alias("largest")), "key")
+    few_sets = rows.where(F.col("total") <= tile).select("rep", "comp", F.lit(-1).cast("long").alias("own"), F.col("key").alias("x"), F.lit(-1).cast("long").alias("y"), F.lit(-1).cast("long").alias("z"))
+    # keys that many sets share go together if they have their largest part in common, so that two sets don't meet once for each key
+    hot = rows.where(F.col("total") > tile).select("largest", "rep", "comp").distinct()
+    big = F.col("comp") == F.col("largest")
+    blocks = lambda test: F.ceil(F.count_if(test) / F.lit(tile)).cast("int")
+    hot = hot.join(hot.groupBy("largest").agg(blocks(big).alias("many"), blocks(~big).alias("few")), "largest")
+    hot = hot.withColumn("mine", F.pmod(F.xxhash64("rep"), F.when(big, F.col("many")).otherwise(F.col("few"))).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    # (y, z): a block of the rest with a block of the largest part (from 0) or with one of the rest (below 0)
+    of_big = F.transform(every(F.col("few")), lambda i: F.struct(i.alias("y"), F.col("mine").alias("z")))
+    of_rest = F.concat(
+        F.transform(every(F.col("many")), lambda i: F.struct(F.col("mine").alias("y"), i.alias("z"))),
+        F.transform(every(F.col("few")), lambda i: F.struct(F.least("mine", i).alias("y"), (-1 - F.greatest("mine", i)).alias("z"))),
+    )
+    own = F.when(big, F.lit(-2)).otherwise(F.col("mine")).cast("long").alias("own")
+    dealt = hot.select("rep", "comp", own, F.col("largest").alias("x"), F.explode(F.when(big, of_big).otherwise(of_rest)).alias("p"))
+    dealt = dealt.select("rep", "comp", "own", "x", F.col("p.y").cast("long").alias("y"), F.col("p.z").cast("long").alias("z"))
+    return few_sets.union(dealt).join(sets.select("rep", "shingles"), "rep").select("rep", "comp", "own", "shingles", "x", "y", "z")
+
+
+def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row.
 
     Words are runs of bytes other than white space, in lower-case A-Z; a document's set has its
@@ -293,29 +289,40 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = cut(docs.mapInArrow(lambda it: _sets(it, k), "doc_id long, n_shingles long, s1 long, s2 long"))
-    # a key for every few words: about as many bytes as the text has
-    buckets = buckets_for(docs, "text", 1.0)
+    # a set has about a key for every 100 / (100 - percent) shingles in each of two schemes, of 16 bytes with the id
+    size = sets.agg(F.sum(F.lit(64) + F.col("n_shingles") * (32 * (100 - percent) // 100 + 4))).first()[0] or 0
+    buckets = max(partitions(docs), size // KEY_BUCKET_BYTES + 1)
     edges = docs.where("doc_id is not null").mapInArrow(lambda it: _packets(it, k, percent, buckets), _PACKET).groupBy("bucket").applyInPandas(_tie, "a long, b long")
+    edges = cut(edges.distinct())
     families = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     # a document whose copy repeats its id may be in a family without edges of its own
     members = cut(sets.where("doc_id is not null and n_shingles > 0").join(families, "doc_id", "left").withColumn("family", F.coalesce("family", "doc_id")))
     # cut, so that the join below deals both sides anew and Spark can split a large group of copies
-    reps = cut(members.groupBy("family", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")))
+    reps = cut(members.groupBy("family", "s1", "s2").agg(F.min("doc_id").alias("rep")))
     wide = reps.groupBy("family").agg(F.count("*").alias("total")).where("total > 1")
-    # a little wider than the ratio of linked sizes, so that rounding can't put linked sets two bands apart
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) * 0.999).cast("long") if percent < 100 else F.col("n")
-    laid = cut(reps.join(wide, "family").withColumn("band", band))
-    arrays = lambda rows, *names: docs.join(rows.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", F.col("doc_id").alias("rep"), *names).mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long" + "".join(f", {n} {dict(rows.dtypes)[n]}" for n in names))
-    large, known = laid.where(F.col("total") > large_tiles * tile), None
-    tiles = _tiles(laid.where(F.col("total") <= large_tiles * tile), arrays, tile)
+    laid = cut(reps.join(wide, "family").select("family", "rep", "total"))
+    arrays = lambda rows: docs.join(rows.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", F.col("doc_id").alias("rep"), "family").mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long, family long")
+    nothing = F.lit(0).cast("long")
+    tiles = arrays(laid.where(F.col("total") <= tile).select("rep", "family")).select("rep", F.col("rep").alias("comp"), F.lit(-1).cast("long").alias("own"), "shingles", F.col("family").alias("x"), nothing.alias("y"), nothing.alias("z"))
+    large, known = laid.where(F.col("total") > tile).select("rep", "family"), None
     if not large.isEmpty():
-        sets_, _ = stored(arrays(large.select("rep", "family", "band"), "family", "band"), "sets-of-families")
-        more, known = _large_tiles(sets_, percent, tile)
-        tiles = tiles.union(more)
-    found = tiles.groupBy("family", "x", "y").applyInPandas(lambda pdf: _tile(pdf, percent), "a long, b long")
+        held, _ = stored(arrays(large).dropDuplicates(["rep"]), "sets-of-families")
+        named = members.join(reps, ["family", "s1", "s2"]).join(large.select("rep"), "rep", "left_semi").select("doc_id", "rep")
+        shared = edges.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        shared = cut(shared)
+        # first each set with its smallest hub, then with those hubs that it isn't connected with
+        known = cut(_by_hubs(held, shared.groupBy("a").agg(F.min("b").alias("b")), percent, tile))
+        comps = cut(large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+        of = lambda side: comps.select(F.col("rep").alias(side), F.col("comp").alias(f"{side}_comp"))
+        apart = shared.join(of("a"), "a").join(of("b"), "b").where("a_comp <> b_comp").select("a", "b")
+        known = cut(known.union(_by_hubs(held, cut(apart), percent, tile)))
+        comps = large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        open_ = comps.groupBy("family").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("family")
+        tiles = tiles.union(_by_keys(held, cut(comps.join(open_, "family", "left_semi").select("rep", "comp")), percent, tile))
+    found = tiles.groupBy("x", "y", "z").applyInPandas(lambda pdf: _tile(pdf, percent), "a long, b long")
     found = found.union(known) if known is not None else found
     joined = components(found).select(F.col("node").alias("rep"), F.col("component"))
-    named = members.select("doc_id", "family", "s1", "s2").join(reps.drop("n"), ["family", "s1", "s2"]).join(joined, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
+    named = members.select("doc_id", "family", "s1", "s2").join(reps, ["family", "s1", "s2"]).join(joined, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     return sets.select("doc_id", "n_shingles").join(named, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

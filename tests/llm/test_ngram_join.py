@@ -66,8 +66,8 @@ def test_components_are_those_of_brute_force(spark):
 def test_families_of_many_tiles_and_other_thresholds(spark):
     texts = corpus(2, 260, 60)
     for percent, k in ((80, 5), (100, 2)):
-        for large in (1, 1000):  # with and without contraction
-            assert run(spark, texts, percent=percent, k=k, tile=5, large_tiles=large) == brute(texts, k, percent)
+        for tile in (2, 5, 1000):  # with and without contraction
+            assert run(spark, texts, percent=percent, k=k, tile=tile) == brute(texts, k, percent)
 
 
 def test_odd_tables(spark):
@@ -120,19 +120,40 @@ def test_a_family_of_near_copies_costs_rows_not_pairs(spark, monkeypatch):
         x[rng.randrange(len(x))] = f"n{i}"
         texts[i] = " ".join(x)
     texts[3000] = " ".join(base[:139] + [f"z{i}" for i in range(11)])  # links with few of them
-    real, seen = ngram_join._large_tiles, []
+    got, rows = counted(spark, texts, monkeypatch)
+    assert {c for i, (_, c) in got.items() if i < 3000} == {0}
+    assert rows["hubs"] < 2 * 3000 and rows["tiles"] < 3 * 3000
+
+
+def counted(spark, texts, monkeypatch):
+    """The result, and how many rows were made for hubs and for tiles of large families."""
+    rows = {"hubs": 0, "tiles": 0}
+    by_hubs, by_keys = ngram_join._by_hubs, ngram_join._by_keys
 
-    def tiles(*args):
-        out = real(*args)
-        seen.append((out[0].count(), out[1].count()))
+    def hubs(sets, shared, *rest):
+        rows["hubs"] += shared.count()
+        return by_hubs(sets, shared, *rest)
+
+    def keys(*args):
+        out = by_keys(*args)
+        rows["tiles"] += out.count()
         return out
 
-    monkeypatch.setattr(ngram_join, "_large_tiles", tiles)
-    got = run(spark, texts, tile=64, large_tiles=16)
-    assert len(seen) == 1
-    assert {c for i, (_, c) in got.items() if i < 3000} == {0}
-    rows, links = seen[0]
-    assert links >= 2900 and rows < 2 * 3000
+    monkeypatch.setattr(ngram_join, "_by_hubs", hubs)
+    monkeypatch.setattr(ngram_join, "_by_keys", keys)
+    return run(spark, texts, tile=64), rows
+
+
+def test_texts_that_drift_cost_rows_not_pairs(spark, monkeypatch):
+    """Each text has two new words and is without the two oldest ones: all are one component, but only neighbours link."""
+    per = {}
+    for n in (500, 2000):
+        texts = {i: " ".join(f"w{j}" for j in range(2 * i, 2 * i + 120)) for i in range(n)}
+        got, rows = counted(spark, texts, monkeypatch)
+        monkeypatch.undo()
+        assert {c for _, c in got.values()} == {0}
+        per[n] = (rows["hubs"] + rows["tiles"]) / n
+    assert per[2000] < 1.2 * per[500] and per[2000] < 60
 
 
 def test_very_long_texts(spark):
