@@ -32,6 +32,11 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df from a Parquet table in the shared folder."""
+    return stored(df, name)[0]
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Removes a table that no later step reads."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -236,7 +241,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     the node; they end when no edge changes.  Only counts reach the driver.  After max_rounds, which
     is an error, chains of links would be longer than any corpus.
     """
-    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark = edges.sparkSession
+    edges, path = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:
@@ -255,7 +261,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        edges = cut(star(star(edges, True), False))
+        before = path
+        edges, path = stored(star(star(edges, True), False), "edges")
+        drop(spark, before)  # what it was made into is stored
         now = print_of(edges)
         if now == seen:
             break

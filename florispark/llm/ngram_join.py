@@ -30,10 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, distinct_by_text, mix, partitions, shingles, stored, word_chunks
+from .common import components, distinct_by_text, kept, mix, partitions, shingles, word_chunks
 
 TILE = 256
-PACKET_KEYS = 1 << 18
+PACKET_KEYS = 1 << 19
 KEY_BUCKET_BYTES = 8 << 20
 
 
@@ -226,8 +226,8 @@ def _tile(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 def _star(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links of a hub (the row with own) with some of those that share a key with it."""
     hub = pdf[pdf["own"]]
-    one, near = np.frombuffer(hub["shingles"].iloc[0], np.uint64), pdf[~pdf["own"]]
-    linked = [r for r, x in zip(near["rep"], _unpack(near["shingles"]), strict=True) if links(x, one, percent)]
+    ones, near = _unpack(hub["shingles"]), pdf[~pdf["own"]]
+    linked = [r for r, x in zip(near["rep"], _unpack(near["shingles"]), strict=True) if any(links(x, one, percent) for one in ones)]
     return pd.DataFrame({"a": linked, "b": [hub["rep"].iloc[0]] * len(linked)}, dtype="int64")
 
 
@@ -252,7 +252,7 @@ def _by_hubs(sets: DataFrame, shared: DataFrame, percent: int, tile: int) -> Dat
 
 def _by_keys(sets: DataFrame, comps: DataFrame, percent: int, tile: int) -> DataFrame:
     """Tiles (rep, comp, own, shingles, x, y, z) of sets that share a key and aren't connected; comps has (rep, comp) of families that aren't connected yet."""
-    keys = cut(sets.join(comps, "rep").select("rep", "comp", "shingles").mapInArrow(lambda it: _keys(it, percent), "key long, rep long, comp long").distinct())
+    keys = kept(sets.join(comps, "rep").select("rep", "comp", "shingles").mapInArrow(lambda it: _keys(it, percent), "key long, rep long, comp long").distinct(), "keys-of-families")
     parts = keys.groupBy("key", "comp").agg(F.count("*").alias("n"))
     per = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), F.max(F.struct("n", "comp")).alias("most")).where("parts > 1")
     rows = keys.join(per.select("key", "total", F.col("most.comp").alias("largest")), "key")
@@ -288,37 +288,40 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     as many as the logarithm of the longest chain of links; 60 rounds without an end are an error.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = cut(docs.mapInArrow(lambda it: _sets(it, k), "doc_id long, n_shingles long, s1 long, s2 long"))
+    sets = kept(docs.mapInArrow(lambda it: _sets(it, k), "doc_id long, n_shingles long, s1 long, s2 long"), "sizes-of-sets")
     # a set has about a key for every 100 / (100 - percent) shingles in each of two schemes, of 16 bytes with the id
     size = sets.agg(F.sum(F.lit(64) + F.col("n_shingles") * (32 * (100 - percent) // 100 + 4))).first()[0] or 0
     buckets = max(partitions(docs), size // KEY_BUCKET_BYTES + 1)
     edges = docs.where("doc_id is not null").mapInArrow(lambda it: _packets(it, k, percent, buckets), _PACKET).groupBy("bucket").applyInPandas(_tie, "a long, b long")
-    edges = cut(edges.distinct())
+    edges = kept(edges.distinct(), "shared-keys")
     families = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     # a document whose copy repeats its id may be in a family without edges of its own
-    members = cut(sets.where("doc_id is not null and n_shingles > 0").join(families, "doc_id", "left").withColumn("family", F.coalesce("family", "doc_id")))
-    # cut, so that the join below deals both sides anew and Spark can split a large group of copies
-    reps = cut(members.groupBy("family", "s1", "s2").agg(F.min("doc_id").alias("rep")))
+    members = kept(sets.where("doc_id is not null and n_shingles > 0").join(families, "doc_id", "left").withColumn("family", F.coalesce("family", "doc_id")), "members")
+    # stored, so that the join below deals both sides anew and Spark can split a large group of copies
+    reps = kept(members.groupBy("family", "s1", "s2").agg(F.min("doc_id").alias("rep")), "different-sets")
     wide = reps.groupBy("family").agg(F.count("*").alias("total")).where("total > 1")
-    laid = cut(reps.join(wide, "family").select("family", "rep", "total"))
-    arrays = lambda rows: docs.join(rows.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", F.col("doc_id").alias("rep"), "family").mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long, family long")
+    laid = reps.join(wide, "family").select("family", F.col("rep").alias("doc_id"), "total")
+    # the texts move once, to those that have someone to be compared with
+    arrays = docs.join(laid, "doc_id").select("text", F.col("doc_id").alias("rep"), "family", "total").mapInArrow(lambda it: _arrays(it, k), "shingles binary, rep long, family long, total long")
+    held = kept(arrays, "sets-of-families")
     nothing = F.lit(0).cast("long")
-    tiles = arrays(laid.where(F.col("total") <= tile).select("rep", "family")).select("rep", F.col("rep").alias("comp"), F.lit(-1).cast("long").alias("own"), "shingles", F.col("family").alias("x"), nothing.alias("y"), nothing.alias("z"))
-    large, known = laid.where(F.col("total") > tile).select("rep", "family"), None
+    tiles = held.where(F.col("total") <= tile).select("rep", F.col("rep").alias("comp"), F.lit(-1).cast("long").alias("own"), "shingles", F.col("family").alias("x"), nothing.alias("y"), nothing.alias("z"))
+    held = held.where(F.col("total") > tile).dropDuplicates(["rep", "shingles"])  # rows that repeat an id may differ in text
+    large, known = held.select("rep", "family").distinct(), None
     if not large.isEmpty():
-        held, _ = stored(arrays(large).dropDuplicates(["rep"]), "sets-of-families")
+        held, large = held.select("rep", "shingles"), kept(large, "large-families")
         named = members.join(reps, ["family", "s1", "s2"]).join(large.select("rep"), "rep", "left_semi").select("doc_id", "rep")
         shared = edges.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        shared = cut(shared)
+        shared = kept(shared, "hubs")
         # first each set with its smallest hub, then with those hubs that it isn't connected with
-        known = cut(_by_hubs(held, shared.groupBy("a").agg(F.min("b").alias("b")), percent, tile))
-        comps = cut(large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+        known = kept(_by_hubs(held, shared.groupBy("a").agg(F.min("b").alias("b")), percent, tile), "links-with-hubs")
+        comps = kept(large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "connected-by-hubs")
         of = lambda side: comps.select(F.col("rep").alias(side), F.col("comp").alias(f"{side}_comp"))
         apart = shared.join(of("a"), "a").join(of("b"), "b").where("a_comp <> b_comp").select("a", "b")
-        known = cut(known.union(_by_hubs(held, cut(apart), percent, tile)))
+        known = kept(known.union(_by_hubs(held, kept(apart, "other-hubs"), percent, tile)), "links-with-hubs")
         comps = large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         open_ = comps.groupBy("family").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("family")
-        tiles = tiles.union(_by_keys(held, cut(comps.join(open_, "family", "left_semi").select("rep", "comp")), percent, tile))
+        tiles = tiles.union(_by_keys(held, kept(comps.join(open_, "family", "left_semi").select("rep", "comp"), "open-families"), percent, tile))
     found = tiles.groupBy("x", "y", "z").applyInPandas(lambda pdf: _tile(pdf, percent), "a long, b long")
     found = found.union(known) if known is not None else found
     joined = components(found).select(F.col("node").alias("rep"), F.col("component"))
