@@ -9,8 +9,8 @@ doesn't, so that no equal group can hide among empty ones.  Documents with a com
 families; a key that very many documents share costs one edge for each of them, not pairs.
 
 Copies with equal sets are one row of their family.  A family of up to TILE sets is one tile.  A larger
-one is contracted: each member is compared with the smallest sets that share a key with it, its hubs, first with the smallest of these, then
-with those that it isn't connected with; what is linked so is connected.  Of what isn't connected then, only sets that share a key have to meet: a key whose sets
+one is contracted: each member is compared with its hubs, the smallest sets of most of its keys where keys are tied together, as many rows
+as it has hubs; what is linked so is connected.  Of what isn't connected then, only sets that share a key have to meet: a key whose sets
 are all connected is done with, and any other is a tile, or several where many sets share it.  Of these sets the
 largest connected part is dealt into blocks, the rest goes to all of them; two of the largest part never meet.  So families of near copies,
 and chains of texts that drift, cost rows, not pairs.
@@ -105,7 +105,10 @@ _PACKET = "bucket int, edge boolean, keys binary, ids binary"
 
 
 def smallest_of_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys with their smallest id, and edges (id, smallest) of the other ids."""
+    """Sorted distinct keys with their smallest id, and edges (id, hub) that connect all ids of each key.
+
+    An id's hub is the smallest id of most of its keys; its keys' other smallest ids are connected with the hub.
+    """
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     first = np.ones(len(keys), dtype=bool)
@@ -117,7 +120,16 @@ def smallest_of_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.
     a, b = a[order], b[order]
     new = np.ones(len(a), dtype=bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return keys[first], ids[first], a[new], b[new]
+    at = np.flatnonzero(new)
+    a, b, times = a[at], b[at], np.diff(np.append(at, len(a)))
+    order = np.lexsort((b, -times, a))
+    a, b = a[order], b[order]
+    best = np.ones(len(a), dtype=bool)
+    best[1:] = a[1:] != a[:-1]
+    hub = b[best][np.cumsum(best) - 1]
+    more = ~best
+    pairs = np.unique(np.stack((np.maximum(b[more], hub[more]), np.minimum(b[more], hub[more])), axis=1), axis=0)
+    return keys[first], ids[first], np.concatenate((a[best], pairs[:, 0])), np.concatenate((b[best], pairs[:, 1]))
 
 
 def _packets(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -312,14 +324,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
         held, large = held.select("rep", "shingles"), kept(large, "large-families")
         named = members.join(reps, ["family", "s1", "s2"]).join(large.select("rep"), "rep", "left_semi").select("doc_id", "rep")
         shared = edges.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        shared = kept(shared, "hubs")
-        # first each set with its smallest hub, then with those hubs that it isn't connected with
-        known = kept(_by_hubs(held, shared.groupBy("a").agg(F.min("b").alias("b")), percent, tile), "links-with-hubs")
+        known = kept(_by_hubs(held, kept(shared, "hubs"), percent, tile), "links-with-hubs")
         comps = kept(large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "connected-by-hubs")
-        of = lambda side: comps.select(F.col("rep").alias(side), F.col("comp").alias(f"{side}_comp"))
-        apart = shared.join(of("a"), "a").join(of("b"), "b").where("a_comp <> b_comp").select("a", "b")
-        known = kept(known.union(_by_hubs(held, kept(apart, "other-hubs"), percent, tile)), "links-with-hubs")
-        comps = large.join(components(known).toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         open_ = comps.groupBy("family").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("family")
         tiles = tiles.union(_by_keys(held, kept(comps.join(open_, "family", "left_semi").select("rep", "comp"), "open-families"), percent, tile))
     found = tiles.groupBy("x", "y", "z").applyInPandas(lambda pdf: _tile(pdf, percent), "a long, b long")
