@@ -82,7 +82,12 @@ def binomial(words: Column, not_genus: Sequence[str] = (), not_epithet: Sequence
     return F.when(ok, F.struct(F.initcap(genus).alias("genus"), F.lower(epithet).alias("epithet")))
 
 
-def description_candidates(c: Column, family_pattern: str = r"\p{Lu}\p{Ll}+aceae", noise: Sequence[str] = ()) -> Column:
+# fixed values: family names that don't end as the others do
+CONSERVED_FAMILIES = ("Leguminosae", "Labiatae", "Compositae", "Umbelliferae", "Gramineae", "Guttiferae", "Palmae", "Cruciferae")
+FAMILY = r"(?:\p{Lu}\p{Ll}+aceae|" + "|".join(CONSERVED_FAMILIES) + ")"
+
+
+def description_candidates(c: Column, family_pattern: str = FAMILY, noise: Sequence[str] = ()) -> Column:
     """struct(family, candidates): the last family word, and 'Genus epithet' pairs before it."""
     families = F.regexp_extract_all(c, F.lit(f"({family_pattern})"), 1)
     family = F.when(F.size(families) > 0, F.element_at(families, -1))

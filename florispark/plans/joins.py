@@ -78,23 +78,23 @@ def prefix_exists(spark, sf):
     return R.prefix_exists(a, ing.where("is_bio"), "w", "name").select("w")
 
 
-@query("join_genus_bridge", "WITH u AS (SELECT DISTINCT family, ord FROM ing WHERE is_bio), k AS (SELECT DISTINCT ord, name FROM ing WHERE NOT is_bio AND name NOT IN (SELECT name FROM ing WHERE is_bio AND size < 12)) SELECT family, count(DISTINCT name) AS n FROM k JOIN u USING (ord) GROUP BY family")
+@query("join_genus_bridge", "WITH u AS (SELECT DISTINCT family, ord FROM ing WHERE is_bio), k AS (SELECT DISTINCT ord, name FROM ing WHERE NOT is_bio AND name NOT IN (SELECT name FROM ing WHERE is_bio AND length(name) % 2 = 0)) SELECT family, count(DISTINCT name) AS n FROM k JOIN u USING (ord) GROUP BY family")
 def genus_bridge(spark, sf):
     ing = ingredient(spark, sf)
     u = ing.where("is_bio").select("family", "ord").distinct()
-    k = ing.where("not is_bio").join(ing.where("is_bio and size < 12").select("name").distinct(), "name", "left_anti").select("ord", "name").distinct()
+    k = ing.where("not is_bio").join(ing.where("is_bio and length(name) % 2 = 0").select("name").distinct(), "name", "left_anti").select("ord", "name").distinct()
     return k.join(u, "ord").groupBy("family").agg(F.countDistinct("name").alias("n"))
 
 
-ALIASES = """WITH n AS (SELECT DISTINCT name AS species FROM ing WHERE is_bio AND size < 6),
- s AS (SELECT DISTINCT name AS species, family || ' ' || (ref_no % 40) AS alias, CASE WHEN ref_no % 3 = 0 THEN 'EXACT' ELSE 'FUZZY' END AS match_type, 'SYNONYM' AS status, ref_no % 5 AS accepted_key, size % 5 AS own_key FROM ing WHERE is_bio AND size < 6),
+ALIASES = """WITH n AS (SELECT DISTINCT name AS species FROM ing WHERE is_bio),
+ s AS (SELECT DISTINCT name AS species, family || ' ' || (ref_no % 4000) AS alias, CASE WHEN ref_no % 3 = 0 THEN 'EXACT' ELSE 'FUZZY' END AS match_type, 'SYNONYM' AS status, ref_no % 5 AS accepted_key, size % 5 AS own_key FROM ing WHERE is_bio),
  v AS (SELECT DISTINCT species, alias FROM s WHERE match_type = 'EXACT' AND status = 'SYNONYM' AND accepted_key = own_key AND alias LIKE '% %' AND alias NOT IN (SELECT species FROM n))"""
 
 
 @query("alias_build", ALIASES + " SELECT species, species AS alias, 'name' AS via FROM n UNION ALL SELECT species, alias, 'synonym' FROM v WHERE alias IN (SELECT alias FROM v GROUP BY alias HAVING count(*) = 1)")
 def alias_build(spark, sf):
-    ing = ingredient(spark, sf).where("is_bio and size < 6")
-    syn = ing.select(F.col("name").alias("species"), F.concat("family", F.lit(" "), (F.col("ref_no") % 40).cast("string")).alias("alias"), F.when(F.col("ref_no") % 3 == 0, "EXACT").otherwise("FUZZY").alias("match_type"), F.lit("SYNONYM").alias("status"), (F.col("ref_no") % 5).alias("accepted_key"), (F.col("size") % 5).alias("own_key"))
+    ing = ingredient(spark, sf).where("is_bio")
+    syn = ing.select(F.col("name").alias("species"), F.concat("family", F.lit(" "), (F.col("ref_no") % 4000).cast("string")).alias("alias"), F.when(F.col("ref_no") % 3 == 0, "EXACT").otherwise("FUZZY").alias("match_type"), F.lit("SYNONYM").alias("status"), (F.col("ref_no") % 5).alias("accepted_key"), (F.col("size") % 5).alias("own_key"))
     return aliases(ing.select(F.col("name").alias("species")).distinct(), syn)
 
 

@@ -22,8 +22,8 @@ def concentration(spark, sf):
 
 @query(
     "mine_gaps",
-    """WITH u AS (SELECT p_brand AS genus, p_type AS family, p_name AS member, CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS category FROM part WHERE p_size <= 15),
- k AS (SELECT DISTINCT p_brand AS genus, p_name AS member FROM part WHERE p_size > 30 AND p_partkey % 3 = 0),
+    """WITH u AS (SELECT p_brand AS genus, p_type AS family, p_name AS member, CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS category FROM part WHERE length(p_name) % 2 = 0),
+ k AS (SELECT DISTINCT p_brand AS genus, p_name AS member FROM part WHERE p_size > 30),
  s AS (SELECT category, family, count(DISTINCT member) AS n_used FROM u GROUP BY category, family HAVING count(DISTINCT member) >= 5),
  c AS (SELECT family, count(DISTINCT k.member) AS n_candidates FROM k JOIN (SELECT DISTINCT genus, family FROM u) b USING (genus) WHERE k.member NOT IN (SELECT member FROM u WHERE member IS NOT NULL) GROUP BY family)
 SELECT category, s.family, n_used, n_candidates FROM s JOIN c ON s.family = c.family""",
@@ -31,7 +31,7 @@ SELECT category, s.family, n_used, n_candidates FROM s JOIN c ON s.family = c.fa
 def gaps(spark, sf):
     """Organisms in use are one part of the table and the wider catalogue is another: what isn't in use has to be elsewhere."""
     p = table(spark, sf, "part").select(F.col("p_brand").alias("genus"), F.col("p_type").alias("family"), F.col("p_name").alias("member"), "p_size", "p_partkey", F.when(F.col("p_size") % 2 == 0, "even").otherwise("odd").alias("category"))
-    return M.gaps(p.where("p_size <= 15"), p.where("p_size > 30 and p_partkey % 3 = 0").select("genus", "member").distinct(), "category", "family", "member", "genus")
+    return M.gaps(p.where("length(member) % 2 = 0"), p.where("p_size > 30").select("genus", "member").distinct(), "category", "family", "member", "genus")
 
 
 same(

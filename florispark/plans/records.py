@@ -88,13 +88,13 @@ def ids(spark, sf):
 
 @query(
     "txt_levenshtein_class",
-    "SELECT a, b, CASE WHEN a = b THEN 'equal' WHEN levenshtein(a, b) = 1 THEN 'spelling_variant' WHEN levenshtein(a, b) <= 2 THEN 'near' ELSE 'other' END AS kind FROM (SELECT DISTINCT name AS a FROM ing ) x, (SELECT DISTINCT replace(name, 'i', 'ii') AS b FROM ing WHERE size < 20) y WHERE split_part(a, ' ', 1) = replace(split_part(b, ' ', 1), 'ii', 'i')",
+    "SELECT a, b, CASE WHEN a = b THEN 'equal' WHEN levenshtein(a, b) = 1 THEN 'spelling_variant' WHEN levenshtein(a, b) <= 2 THEN 'near' ELSE 'other' END AS kind FROM (SELECT DISTINCT name AS a FROM ing ) x, (SELECT DISTINCT replace(name, 'i', 'ii') AS b FROM ing ) y WHERE split_part(a, ' ', 1) = replace(split_part(b, ' ', 1), 'ii', 'i')",
 )
 def lev(spark, sf):
     i = ingredient(spark, sf)
     first = lambda c: F.split_part(c, F.lit(" "), F.lit(1))
     a = i.select(F.col("name").alias("a")).distinct().withColumn("k", first(F.col("a")))
-    b = i.where("size < 20").select(F.replace("name", F.lit("i"), F.lit("ii")).alias("b")).distinct().withColumn("k", F.replace(first(F.col("b")), F.lit("ii"), F.lit("i")))
+    b = i.select(F.replace("name", F.lit("i"), F.lit("ii")).alias("b")).distinct().withColumn("k", F.replace(first(F.col("b")), F.lit("ii"), F.lit("i")))
     d = F.levenshtein("a", "b")
     return a.join(b, "k").select("a", "b", F.when(F.col("a") == F.col("b"), "equal").when(d == 1, "spelling_variant").when(d <= 2, "near").otherwise("other").alias("kind"))
 

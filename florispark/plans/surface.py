@@ -230,7 +230,8 @@ def stated_facts(spark, sf):
 
 GENUS = "upper(left(name, 1)) || split_part(substring(name, 2), ' ', 1)"
 DESCRIPTION = f"""CASE size % 4 WHEN 0 THEN 'Oil of ' || {GENUS} || ' ' || split_part(name, ' ', 2) || ' (syn. Foo bar) L., Rosaceae' WHEN 1 THEN {GENUS} || ' ' || split_part(name, ' ', 2) || ' and Othera minor of Poaceae, Extract nono, Lamiaceae, see Laterus alba'
- WHEN 2 THEN 'Grown from ' || {GENUS} || ' ' || split_part(name, ' ', 2) || ' syn. Rosa alba' ELSE 'water' END"""
+ WHEN 2 THEN 'Grown from ' || {GENUS} || ' ' || split_part(name, ' ', 2) || ' syn. Rosa alba' ELSE 'Root of ' || {GENUS} || ' ' || split_part(name, ' ', 2) || ', Palmae or Umbelliferae' END"""
+FAMILIES = "(?:[A-Z][a-z]+aceae|Leguminosae|Labiatae|Compositae|Umbelliferae|Gramineae|Guttiferae|Palmae|Cruciferae)"
 
 
 def _described(spark, sf):
@@ -241,16 +242,16 @@ def _described(spark, sf):
         F.when(n == 0, F.concat(F.lit("Oil of "), g, F.lit(" "), e, F.lit(" (syn. Foo bar) L., Rosaceae")))
         .when(n == 1, F.concat(g, F.lit(" "), e, F.lit(" and Othera minor of Poaceae, Extract nono, Lamiaceae, see Laterus alba")))
         .when(n == 2, F.concat(F.lit("Grown from "), g, F.lit(" "), e, F.lit(" syn. Rosa alba")))
-        .otherwise("water")
+        .otherwise(F.concat(F.lit("Root of "), g, F.lit(" "), e, F.lit(", Palmae or Umbelliferae")))
     )
     return i.select("ref_no", "size", g.alias("genus"), text.alias("descr"))
 
 
 CANDIDATES = rf"""d AS (SELECT ref_no, size, {GENUS} AS genus, {DESCRIPTION} AS descr FROM ing ),
- f AS (SELECT *, regexp_extract_all(descr, '[A-Z][a-z]+aceae')[-1] AS fam, regexp_replace(regexp_replace(descr, '\(syn\.[^)]*\)', ' ', 'g'), '\bsyn\.[^,;]*$', ' ') AS clean FROM d),
- h AS (SELECT *, CASE WHEN fam IS NULL THEN clean ELSE regexp_extract(clean, '(?s)^(.*)[A-Z][a-z]+aceae', 1) END AS head FROM f),
- c AS (SELECT *, list_filter(list_transform(regexp_extract_all(head, '[A-Z][a-z]+\s+[a-z][a-z-]+'), lambda x: regexp_replace(x, '\s+', ' ')), lambda x: NOT list_contains(['Oil', 'Extract', 'Grown'], split_part(x, ' ', 1))) AS cands FROM h)"""
-NOISE = ("Oil", "Extract", "Grown")
+ f AS (SELECT *, regexp_extract_all(descr, '{FAMILIES}')[-1] AS fam, regexp_replace(regexp_replace(descr, '\(syn\.[^)]*\)', ' ', 'g'), '\bsyn\.[^,;]*$', ' ') AS clean FROM d),
+ h AS (SELECT *, CASE WHEN fam IS NULL THEN clean ELSE regexp_extract(clean, '(?s)^(.*){FAMILIES}', 1) END AS head FROM f),
+ c AS (SELECT *, list_filter(list_transform(regexp_extract_all(head, '[A-Z][a-z]+\s+[a-z][a-z-]+'), lambda x: regexp_replace(x, '\s+', ' ')), lambda x: NOT list_contains(['Oil', 'Extract', 'Grown', 'Root'], split_part(x, ' ', 1))) AS cands FROM h)"""
+NOISE = ("Oil", "Extract", "Grown", "Root")
 
 
 @query("txt_description_candidates", f"WITH {CANDIDATES} SELECT ref_no, fam AS family, array_to_string(cands, '|') AS candidates FROM c")

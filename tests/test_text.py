@@ -83,6 +83,9 @@ def test_description_candidates(spark):
     pick = lambda genus: tuple(one(spark, T.pick_candidate(T.description_candidates(F.col("v"))["candidates"], F.lit(genus)), v=text))
     assert pick("Pinus") == ("Pinus", "pinaster") and pick("Pynus") == ("Pinus", "pinaster") and pick("Rosa") == ("Abies", "alba")
     assert one(spark, T.description_candidates(F.col("v")), v="glycerin").family is None
+    for name in T.CONSERVED_FAMILIES:
+        got = one(spark, T.description_candidates(F.col("v")), v=f"Seeds of Ammi visnaga, Apiaceae, once {name}, see Bunium persicum")
+        assert got.family == name and [tuple(x) for x in got.candidates] == [("Seeds", "of"), ("Ammi", "visnaga")]
 
 
 @pytest.mark.parametrize(
