@@ -25,11 +25,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return shared_folder(spark, name)
 
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows of df from a Parquet table in the shared folder, packed where cut() would hold them plain, and its path."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    """The rows of df from a Parquet table in the shared folder, packed where cut() would hold them plain, and its path.
+
+    Once the table is there nothing reads the shuffles that made it, so Spark is told to remove their
+    files then, where they would stay until the driver happens to collect garbage.
+    """
+    spark = df.sparkSession
+    path, before = work_dir(spark, name), spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
