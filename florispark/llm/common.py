@@ -246,15 +246,56 @@ def from_planes(data: bytes) -> np.ndarray:
 # ---- connected components -----------------------------------------------------------------------
 
 
+CONTRACTED_EDGES = 1 << 19
+
+
+def smallest_connected(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of edges (a, b) that have a smaller one in their component, and the smallest one."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b, up = at[: len(a)], at[len(a) :], np.arange(len(nodes))
+    while True:
+        x, y = up[a], up[b]
+        apart = x != y
+        if not apart.any():
+            break
+        np.minimum.at(up, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while not np.array_equal(further := up[up], up):
+            up = further
+    below = np.flatnonzero(up != np.arange(len(nodes)))
+    return nodes[below], nodes[up[below]]
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges as stars: of each CONTRACTED_EDGES that a task gets, nodes with the smallest one that these edges connect them with."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def stars() -> pa.RecordBatch:
+        a, b = smallest_connected(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for batch in batches:
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        if sum(len(x) for x, _ in held) >= CONTRACTED_EDGES:
+            yield stars()
+    if held:
+        yield stars()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), for every node of an edge.
 
     Alternating large-star and small-star rounds, each a grouped minimum and a join on
-    the node; they end when no edge changes.  Only counts reach the driver.  After max_rounds, which
+    the node; what a task gets of a round's edges is contracted there, so that chains within it don't
+    take rounds.  They end when no edge changes.  Only counts reach the driver.  After max_rounds, which
     is an error, chains of links would be longer than any corpus.
     """
     spark = edges.sparkSession
-    edges, path = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+
+    def contracted(e: DataFrame) -> tuple[DataFrame, str]:
+        return stored(e.mapInArrow(_contracted, "a long, b long"), "edges")
+
+    edges, path = contracted(edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).distinct())
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:
@@ -266,7 +307,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         moved = moved.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) if large else moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         return moved.where("a <> b").distinct()
 
-    def print_of(e: DataFrame) -> tuple:
+    def print_of(e: DataFrame) -> tuple:  # an edge that two tasks have made counts twice, but not after the next round
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     seen = print_of(edges)
@@ -274,7 +315,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not seen[0]:
             break
         before = path
-        edges, path = stored(star(star(edges, True), False), "edges")
+        edges, path = contracted(star(star(edges, True), False))
         drop(spark, before)  # what it was made into is stored
         now = print_of(edges)
         if now == seen:

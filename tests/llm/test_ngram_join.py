@@ -161,3 +161,25 @@ def test_very_long_texts(spark):
     texts = {1: " ".join(a), 2: " ".join(a[:118_000]), 3: " ".join(a[:60_000]), 4: "x " * 100_000, 5: "X x x"}
     got = run(spark, texts)
     assert got[1] == (119_998, 1) and got[2][1] == 1 and got[3][1] == 3 and got[4] == (1, 4) and got[5] == (1, 4)
+
+
+def test_edges_are_contracted_in_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from florispark.llm import common
+
+    monkeypatch.setattr(common, "CONTRACTED_EDGES", 40)
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 300, (2, 200))
+    keep = a != b
+    a, b = np.maximum(a, b)[keep], np.minimum(a, b)[keep]
+    parts = [pa.RecordBatch.from_arrays([pa.array(a[i : i + 16]), pa.array(b[i : i + 16])], names=["a", "b"]) for i in range(0, len(a), 16)]
+    made = list(common._contracted(iter(parts)))
+    assert len(made) > 1
+    x, y = (np.concatenate([r.column(i).to_numpy() for r in made]) for i in (0, 1))
+    assert (x > y).all()
+    whole, again = common.smallest_connected(a, b), common.smallest_connected(x, y)
+    assert np.array_equal(whole[0], again[0]) and np.array_equal(whole[1], again[1])
+    for nodes, low in [common.smallest_connected(np.arange(1, 5000), np.arange(4999))]:
+        assert len(nodes) == 4999 and not low.any()
