@@ -163,11 +163,32 @@ def _packets(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: i
 
 
 def _tie(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Edges of one bucket of keys."""
+    """Edges of one bucket of keys, in a row."""
     load = lambda rows, name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in rows[name])])
     new, old = pdf[~pdf["edge"]], pdf[pdf["edge"]]
     _, _, a, b = smallest_of_keys(load(new, "keys", np.uint64), load(new, "ids", np.int64))
-    return pd.DataFrame({"a": np.concatenate((a, load(old, "keys", np.int64))), "b": np.concatenate((b, load(old, "ids", np.int64)))})
+    return pd.DataFrame({"a": [np.concatenate((a, load(old, "keys", np.int64))).tobytes()], "b": [np.concatenate((b, load(old, "ids", np.int64))).tobytes()]})
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different edges of a task's buckets: ids that share many keys are tied in each bucket, and leave the task once."""
+    held: list[np.ndarray] = []
+
+    def different() -> pa.RecordBatch:
+        a, b = np.unique(np.concatenate(held, axis=1), axis=1)
+        held[:] = [np.stack((a, b))]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for batch in batches:
+        for a, b in zip(batch.column(0), batch.column(1), strict=True):
+            held.append(np.stack((np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64))))
+            if sum(x.shape[1] for x in held) >= PACKET_KEYS:
+                made = different()
+                if made.num_rows >= PACKET_KEYS // 2:
+                    yield made
+                    held.clear()
+    if held:
+        yield different()
 
 
 def _arrays(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -304,7 +325,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_
     # a set has about a key for every 100 / (100 - percent) shingles in each of two schemes, of 16 bytes with the id
     size = sets.agg(F.sum(F.lit(64) + F.col("n_shingles") * (32 * (100 - percent) // 100 + 4))).first()[0] or 0
     buckets = max(partitions(docs), size // KEY_BUCKET_BYTES + 1)
-    edges = docs.where("doc_id is not null").mapInArrow(lambda it: _packets(it, k, percent, buckets), _PACKET).groupBy("bucket").applyInPandas(_tie, "a long, b long")
+    edges = docs.where("doc_id is not null").mapInArrow(lambda it: _packets(it, k, percent, buckets), _PACKET).groupBy("bucket").applyInPandas(_tie, "a binary, b binary").mapInArrow(_edges, "a long, b long")
     edges = kept(edges.distinct(), "shared-keys")
     families = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     # a document whose copy repeats its id may be in a family without edges of its own
