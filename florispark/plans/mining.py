@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from florispark.operators import graph as G
 from florispark.operators import mining as M
+from florispark.operators import reachability as R
 from florispark.sources.readers import table
 
 from .domain import edges, ingredient, query, same, species, used_by
@@ -194,6 +195,34 @@ def category(spark, sf):
     return got
 
 
+# ---- a deep hierarchy: runs of fifty, each part below the one before it, each run below a part of a fiftieth of its number; some are below a third of theirs as well
+
+DEEP = "deep AS (SELECT p_partkey AS child, CASE WHEN p_partkey % 50 = 1 THEN p_partkey // 50 ELSE p_partkey - 1 END AS parent FROM part WHERE p_partkey > 1 UNION SELECT p_partkey, p_partkey // 3 FROM part WHERE p_partkey > 2 AND p_partkey % 35 = 0)"
+ABOVE = f"{DEEP}, above AS (SELECT child AS node, parent AS ancestor FROM deep WHERE parent > 0 UNION SELECT above.node, deep.parent FROM above JOIN deep ON deep.child = above.ancestor WHERE deep.parent > 0)"
+
+
+def _deep(spark, sf):
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("child"))
+    run = p.where("child > 1").withColumn("parent", F.when(F.col("child") % 50 == 1, F.floor(F.col("child") / 50).cast("long")).otherwise(F.col("child") - 1))
+    return run.union(p.where("child > 2 and child % 35 = 0").withColumn("parent", F.floor(F.col("child") / 3).cast("long"))).where("parent > 0")
+
+
+@query("reach_below", f"WITH {DEEP}, down AS (SELECT child AS node FROM deep WHERE parent = 2 UNION SELECT deep.child FROM down JOIN deep ON deep.parent = down.node) SELECT node FROM down", recursive=True)
+def reach_below(spark, sf):
+    return R.below(2, R.labels(_deep(spark, sf)))
+
+
+@query("reach_inherit", f"WITH {ABOVE}, {ROLES}, a AS (SELECT node, role FROM roles UNION SELECT above.node, role FROM above JOIN roles ON roles.node = above.ancestor) SELECT node, count(*) AS roles, min(role) AS first_role FROM a GROUP BY node", recursive=True)
+def reach_inherit(spark, sf):
+    a = R.inherited(_roles(spark, sf), R.labels(_deep(spark, sf)), "node", "role")
+    return a.groupBy("node").agg(F.count("*").alias("roles"), F.min("attribute").alias("first_role"))
+
+
+@query("reach_category", f"WITH {ABOVE}, n AS (SELECT child AS node FROM deep WHERE parent > 0 UNION SELECT parent FROM deep WHERE parent > 0), s AS (SELECT node, ancestor FROM above UNION SELECT node, node FROM n) SELECT node, coalesce(min(CASE ancestor WHEN 40 THEN 0 WHEN 20 THEN 1 WHEN 3 THEN 2 END), 3) AS category FROM s GROUP BY node", recursive=True)
+def reach_category(spark, sf):
+    return R.first_root(R.labels(_deep(spark, sf)), [40, 20, 3])
+
+
 @query(
     "graph_match_tiers",
     """WITH k AS (SELECT p_brand || '-' || CASE WHEN p_size % 3 = 0 THEN 'U' ELSE 'S' END AS key FROM part GROUP BY 1), t AS (SELECT DISTINCT p_brand || '-U' AS key, p_type AS role FROM part WHERE p_size % 3 = 0 AND p_brand < 'Brand#2')

@@ -64,3 +64,18 @@ def test_attributes_and_categories_equal_the_closure(spark):
     assert sorted(map(tuple, R.inherited(held, made, "node", "role").collect())) == sorted(map(tuple, G.inherited(clean, closure, "node", "role").collect()))
     every = made.nodes.select("node")
     assert sorted(map(tuple, R.first_root(made, [4, 2, 1]).collect())) == sorted(map(tuple, G.first_root(every, closure, [4, 2, 1], "node").collect()))
+
+
+def test_deep_hierarchies_have_a_row_a_node(spark):
+    """A chain of 1,500 with a few other edges, and a cycle of 400 with a chain below it."""
+    chain = [(i, i - 1) for i in range(1, 1500)] + [(i, i // 3) for i in range(300, 1500, 300)]
+    ring = [(2000 + i, 2000 + (i + 1) % 400) for i in range(400)] + [(2400, 2000)] + [(i, i - 1) for i in range(2401, 2450)]
+    made = R.labels(spark.createDataFrame(chain + ring, EDGES))
+    assert made.nodes.count() == 1500 + 450
+    assert made.links.count() == 4 + 1  # edges outside the forest
+    marks = spark.createDataFrame([(1000, 1), (1400, 2), (2017, 3), (2430, 4)], "node long, mark long")
+    got = {}
+    for r in R.spread(marks, made, own=False).collect():
+        got.setdefault(r.mark, []).append(r.node)
+    want = {1: range(1001, 1500), 2: range(1401, 1500), 3: range(2000, 2450), 4: range(2431, 2450)}
+    assert {m: sorted(v) for m, v in got.items()} == {m: list(v) for m, v in want.items()}
