@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florispark.session import cut
+from florispark.session import cut, table_cut
 
 
 def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", most_rounds: int = 40) -> DataFrame:
@@ -31,14 +31,16 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", mo
 def descendants(edges: DataFrame, root, child: str = "child", parent: str = "parent", most_rounds: int = 200) -> DataFrame:
     """(node): what is below one root, level by level over the frontier only."""
     spark = edges.sparkSession
-    e = edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).where("p is not null and c is not null")
+    e = table_cut(edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).where("p is not null and c is not null"))
     seen = front = spark.range(1).select(F.lit(root).cast(dict(e.dtypes)["p"]).alias("node"))
     seen = seen.where("false")
     for _ in range(most_rounds):
-        front = cut(front.join(e, F.col("node") == F.col("p")).select(F.col("c").alias("node")).distinct().join(seen, "node", "left_anti"))
+        # all edges and all that was seen stay where they are; only joins that need no table on the driver
+        next_ = front.join(e.hint("merge"), F.col("node") == F.col("p")).select(F.col("c").alias("node")).distinct()
+        front = table_cut(next_.hint("merge").join(seen, "node", "left_anti"))
         if front.isEmpty():
             return seen
-        seen = cut(seen.union(front))
+        seen = table_cut(seen.union(front))
     raise RuntimeError("the hierarchy is deeper than expected")
 
 

@@ -79,3 +79,15 @@ def test_deep_hierarchies_have_a_row_a_node(spark):
         got.setdefault(r.mark, []).append(r.node)
     want = {1: range(1001, 1500), 2: range(1401, 1500), 3: range(2000, 2450), 4: range(2431, 2450)}
     assert {m: sorted(v) for m, v in got.items()} == {m: list(v) for m, v in want.items()}
+
+
+def estimated(df):
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def test_rounds_below_a_root_have_the_sizes_of_their_files(spark):
+    """What is estimated for a round isn't the product of all rounds before it: the driver's plans don't grow."""
+    edges = spark.createDataFrame([(i, i // 2) for i in range(2, 1000)], EDGES)
+    got = G.descendants(edges, 3)
+    assert sorted(r.node for r in got.collect()) == sorted(c for c, p in above([(i, i // 2) for i in range(2, 1000)]) if p == 3)
+    assert estimated(got) < 1_000_000
