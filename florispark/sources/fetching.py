@@ -60,7 +60,7 @@ class PagedStreamReader(DataSourceStreamReader):
             store = Store(self.path)
             self.plan = store.get("plan")
             if self.plan is None:
-                buckets = PagedReader(self.client, self.most, self.size, self.alphabet).partitions()
+                buckets = PagedReader(self.client, self.most, self.size, self.alphabet).buckets()
                 self.plan = [[b.prefix, n] for b in buckets for n in range(-(-b.total // self.size))]
                 store.put("plan", self.plan)
             self.at = store.get("progress") or 0

@@ -192,3 +192,15 @@ def test_bindings_and_caches(spark, tmp_path):
     assert got == {"k1": ({"en": ["Alba", "Rose"]}, "L"), "k2": ({"zh": ["x"]}, None)}
     sinks.write_json_cache(df.dropDuplicates(["k"]).select("k", "lang"), "k", ["lang"], str(tmp_path / "c"))
     assert readers.json_cache(spark, str(tmp_path / "c"), "struct<lang:string>").count() == 2
+
+
+def test_paged_api_of_more_than_a_million_ids():
+    """Every id has a page, whatever its length, and tasks that read several buckets read each row once."""
+    from florispark.plans.storage import Shop
+
+    for most in (1_000_000, 1_000_123):
+        reader = readers.PagedReader(lambda most=most: Shop(most), most=300_000, size=50_000, alphabet="0123456789", rows_per_task=400_000)
+        parts = reader.partitions()
+        assert len(parts) < len(reader.buckets())
+        got = [r[0] for p in parts for r in reader.read(p)]
+        assert len(got) == len(set(got)) == most and {int(x) for x in got} == set(range(most))
