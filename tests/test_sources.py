@@ -204,3 +204,15 @@ def test_paged_api_of_more_than_a_million_ids():
         assert len(parts) < len(reader.buckets())
         got = [r[0] for p in parts for r in reader.read(p)]
         assert len(got) == len(set(got)) == most and {int(x) for x in got} == set(range(most))
+
+
+def test_plan_of_a_stream_has_more_than_a_million_ids(tmp_path):
+    from florispark.plans.storage import Shop
+    from florispark.sources.fetching import PagedStreamReader
+
+    reader = PagedStreamReader(lambda: Shop(1_000_500), {"store": f"file://{tmp_path}/store", "size": "500"})
+    end = reader.latestOffset()
+    reader.batch = 10_000
+    end = reader.latestOffset()
+    got = sum(1 for p in reader.partitions({"pages": end["pages"] - 40}, end) for _ in reader.read(p))
+    assert end["pages"] == 2001 and got == 40 * 500
