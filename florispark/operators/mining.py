@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from florispark.operators.relational import ordered
-from florispark.session import cut
+from florispark.session import dealt, table_cut
 
 
 def similar_pairs(edges: DataFrame, owner: str, item: str, min_members: int = 10, min_shared: int = 5, least: float = 0.15) -> DataFrame:
@@ -18,20 +18,26 @@ def similar_pairs(edges: DataFrame, owner: str, item: str, min_members: int = 10
     of them, so a pair whose common items and the larger rest don't suffice goes; only the others
     are counted on full sets.
     """
-    e = cut(edges.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct())
+    own = edges.select(F.col(owner).alias("o"), F.col(item).alias("i"))
+    e = table_cut(dealt(own, edges.count(), "o", "i").distinct())
+    rows = e.count()
+    full, e = e, dealt(e, rows, "o")
     sizes = e.groupBy("o").agg(F.count("*").alias("n")).where(F.col("n") >= min_members)
     e = e.join(sizes, "o")
     common = e.groupBy("i").agg(F.count("*").alias("df"))
-    ranked = e.join(common, "i").withColumn("r", F.row_number().over(Window.partitionBy("o").orderBy("df", "i")))
+    ranked = dealt(dealt(e, rows, "i").join(common, "i"), rows, "o").withColumn("r", F.row_number().over(Window.partitionBy("o").orderBy("df", "i")))
     first = F.col("n") - F.ceil(F.col("n") * least) + 1
-    head = ranked.where(F.col("r") <= first).select("o", "i", "n", (F.col("n") - first).alias("rest"))
+    head = table_cut(ranked.where(F.col("r") <= first).select("o", "i", "n", (F.col("n") - first).alias("rest")))
+    heads = head.count()
     a, b = (head.select(F.col("o").alias(x), "i", F.col("n").alias(f"n_{x}"), F.col("rest").alias(f"rest_{x}")) for x in "ab")
     fits = (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)
-    met = a.join(b, "i").where(fits).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count("*").alias("c"))
+    met = dealt(a, heads, "i").join(dealt(b, heads, "i"), "i").where(fits).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count("*").alias("c"))
     enough = (F.col("c") + F.greatest("rest_a", "rest_b")) * (1 + least) >= (F.col("n_a") + F.col("n_b")) * least - 1e-6
-    pairs = met.where(enough).select("a", "b", "n_a", "n_b")
-    x, y = (e.select(F.col("o").alias(c), F.col("i").alias("i")) for c in "ab")
-    both = pairs.join(x, "a").join(y, ["b", "i"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    pairs = table_cut(met.where(enough).select("a", "b", "n_a", "n_b"))
+    x, y = (full.select(F.col("o").alias(c), F.col("i").alias("i")) for c in "ab")
+    # a pair has a row for each item of its first owner; these are as many as the mean set times the pairs, or so
+    many = max(rows, pairs.count() * rows // max(1, e.select("o").distinct().count()))
+    both = dealt(dealt(pairs, rows, "a").join(dealt(x, rows, "a"), "a"), many, "b", "i").join(dealt(y, many, "b", "i"), ["b", "i"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
     return both.withColumn("jaccard", F.col("shared").cast("double") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).where((F.col("shared") >= min_shared) & (F.col("jaccard") >= least))
 
 

@@ -114,3 +114,15 @@ def test_ranks_medians_and_closures_over_many_ranges(spark):
     edges = [(i, i + 1) for i in range(30)] + [(30, 0), (40, 41), (40, 42), (41, 43), (42, 43)]
     got = {tuple(r) for r in G.ancestors(spark.createDataFrame(edges, "child long, parent long")).collect()}
     assert got == {(a, b) for a in range(31) for b in range(31)} | {(40, 41), (40, 42), (40, 43), (41, 43), (42, 43)}
+
+
+def test_rows_are_dealt_by_their_number_not_by_their_bytes(spark):
+    from florispark.session import dealt
+
+    df = spark.range(10_000).selectExpr("id % 2500 as k", "id")
+    sizes = lambda d: [r[0] for r in d.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+    got = dealt(df, 10_000, "k", most=500)
+    assert len(sizes(got)) == 20 and max(sizes(got)) < 1000
+    # a group of the same columns needs no further exchange, which would be put together by bytes again
+    assert got.groupBy("k").count()._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert dealt(df, 10_000, "k") is df
