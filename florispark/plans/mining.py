@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from florispark.operators import graph as G
 from florispark.operators import mining as M
 from florispark.operators import reachability as R
+from florispark.session import dealt
 from florispark.sources.readers import table
 
-from .domain import edges, ingredient, query, same, species, used_by
+from .domain import edges, ingredient, placed_edges, query, same, species, used_by
 
 
 @query(
@@ -57,7 +58,14 @@ def niche(spark, sf):
     return t.join(g, "fn").where("n_sp = m").select("fn", "orders", "species", "ord", "n_sp")
 
 
-same("mine_richness", "SELECT s.family, count(DISTINCT s.species) AS species, count(DISTINCT e.compound) AS compounds, CAST(count(*) AS DOUBLE) / count(DISTINCT s.species) AS per_species FROM species s JOIN edge e ON e.species = s.species GROUP BY s.family HAVING count(DISTINCT s.species) >= 2")
+@query("mine_richness", "SELECT s.family, count(DISTINCT s.species) AS species, count(DISTINCT e.compound) AS compounds, CAST(count(*) AS DOUBLE) / count(DISTINCT s.species) AS per_species FROM species s JOIN edge e ON e.species = s.species GROUP BY s.family HAVING count(DISTINCT s.species) >= 2")
+def richness(spark, sf):
+    """Of each family its species, distinct compounds and pairs; each is counted over groups of its own, so that no task tells them all apart."""
+    j, rows = placed_edges(spark, sf)
+    of_species = j.groupBy("family", "species").agg(F.count("*").alias("n")).groupBy("family").agg(F.countDistinct("species").alias("species"), F.sum("n").alias("n"))
+    compounds = dealt(j.select(F.col("family").alias("_f"), "compound"), rows, "_f", "compound").distinct().groupBy("_f").agg(F.count("compound").alias("compounds"))
+    return of_species.where("species >= 2").join(compounds, F.col("family").eqNullSafe(F.col("_f"))).select("family", "species", "compounds", (F.col("n").cast("double") / F.col("species")).alias("per_species"))
+
 
 
 @query(
@@ -65,7 +73,8 @@ same("mine_richness", "SELECT s.family, count(DISTINCT s.species) AS species, co
     "SELECT family, count(*) AS total, count(*) FILTER (n >= 2) AS shared, max(n) AS most FROM (SELECT s.family, e.compound, count(DISTINCT s.species) AS n FROM species s JOIN edge e ON e.species = s.species GROUP BY s.family, e.compound) GROUP BY family HAVING count(*) >= 50",
 )
 def sharing(spark, sf):
-    return M.sharing(edges(spark, sf).join(species(spark, sf), "species"), "family", "species", "compound")
+    j, rows = placed_edges(spark, sf)
+    return M.sharing(dealt(j.select("family", "species", "compound"), rows, "family", "compound"), "family", "species", "compound")
 
 
 @query(

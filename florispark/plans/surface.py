@@ -8,6 +8,7 @@ from florispark.functions import text as T
 from florispark.operators import graph as G
 from florispark.operators import serving as S
 from florispark.operators.relational import top_per_group
+from florispark.session import dealt
 from florispark.sources.readers import table
 
 from .domain import edges, ingredient, query, species, used_by
@@ -130,16 +131,22 @@ def many_part_sets(spark, sf):
     return x.where("sets >= 4").orderBy(F.desc("sets"), F.desc("n"), "ord").limit(12)
 
 
-def _dossier(rows, key):
-    """(key, species, families, items, top_species, top_families): the 20 species with most items and the 15 families with most species."""
-    stats = rows.groupBy(key).agg(F.countDistinct("species").alias("species"), F.countDistinct("family").alias("families"), F.countDistinct("ref_no").alias("items"))
+def _dossier(rows, key, many):
+    """(key, species, families, items, top_species, top_families): the 20 species with most items and the 15 families with most species.
 
-    def top(of, value, k, name):
-        g = rows.groupBy(key, of).agg(F.countDistinct(value).alias("n"))
+    rows are some `many`.  Each count has groups of its own, whose members are in one task.
+    """
+    own = lambda of, value: dealt(rows.select(key, of, value), many, key, of).groupBy(key, of).agg(F.countDistinct(value).alias("n"))
+    by_species = own("species", "ref_no")
+    by_family = dealt(rows.select(key, "family", "species"), many, key, "species").distinct().groupBy(key, "family").agg(F.count("species").alias("n"))
+    items = dealt(rows.select(key, "ref_no"), many, key, "ref_no").distinct().groupBy(key).agg(F.count("ref_no").alias("items"))
+
+    def top(g, of, k, name):
         ranked = top_per_group(g, [key], [F.desc("n"), F.asc(of)], k)
         return ranked.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), F.col(of).alias("v")))), lambda x: F.concat_ws(":", x["v"].cast("string"), (-x["m"]).cast("string"))), "|").alias(name))
 
-    return stats.join(top("species", "ref_no", 20, "top_species"), key).join(top("family", "species", 15, "top_families"), key)
+    stats = by_species.groupBy(key).agg(F.count("species").alias("species")).join(by_family.groupBy(key).agg(F.count("family").alias("families")), key).join(items, key)
+    return stats.join(top(by_species, "species", 20, "top_species"), key).join(top(by_family, "family", 15, "top_families"), key)
 
 
 def _dossier_sql(rows, key):
@@ -150,9 +157,11 @@ SELECT s.*, (SELECT string_agg(species || ':' || n, '|' ORDER BY n DESC, species
 
 
 def _placed(spark, sf):
-    e = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("long").alias("species"), F.col("l_partkey").cast("long").alias("ref_no")).distinct()
+    li = table(spark, sf, "lineitem")
+    rows = li.count()
+    e = dealt(li.select(F.col("l_suppkey").cast("long").alias("species"), F.col("l_partkey").cast("long").alias("ref_no")), rows, "species", "ref_no").distinct()
     s = species(spark, sf).select("species", "family")
-    return e.join(ingredient(spark, sf).drop("family"), "ref_no").join(s, "species")
+    return dealt(e, rows, "ref_no").hint("merge").join(ingredient(spark, sf).drop("family"), "ref_no").join(s, "species")
 
 
 PLACED = "(SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS species, CAST(l_partkey AS BIGINT) AS ref_no FROM lineitem) e JOIN (SELECT ref_no, functions, ord FROM ing ) i USING (ref_no) JOIN (SELECT species, family FROM species ) s USING (species)"
@@ -160,12 +169,13 @@ PLACED = "(SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS species, CAST(l_partkey
 
 @query("rpt_dossier_part", _dossier_sql(f"SELECT unnest(functions) AS part, species, family, ref_no FROM {PLACED}", "part"))
 def dossier_part(spark, sf):
-    return _dossier(_placed(spark, sf).select(F.explode("functions").alias("part"), "species", "family", "ref_no"), "part")
+    words = ingredient(spark, sf).agg(F.ceil(F.avg(F.size("functions")))).first()[0] or 1
+    return _dossier(_placed(spark, sf).select(F.explode("functions").alias("part"), "species", "family", "ref_no"), "part", table(spark, sf, "lineitem").count() * words)
 
 
 @query("rpt_dossier_process", _dossier_sql(f"SELECT ord AS process, species, family, ref_no FROM {PLACED}", "process"))
 def dossier_process(spark, sf):
-    return _dossier(_placed(spark, sf).withColumnRenamed("ord", "process"), "process")
+    return _dossier(_placed(spark, sf).withColumnRenamed("ord", "process"), "process", table(spark, sf, "lineitem").count())
 
 
 # label -> (table, expression): counts of rows, of distinct values, of rows and values under a condition
@@ -299,5 +309,5 @@ def uncited(spark, sf):
 @query("srt_species_rank", "SELECT s.species, count(DISTINCT e.compound) AS items, CAST(coalesce(sum(e.n_refs), 0) AS BIGINT) AS refs, s.family FROM species s LEFT JOIN edge e ON e.species = s.species GROUP BY s.species, s.family ORDER BY items DESC, refs DESC, s.species LIMIT 50")
 def species_rank(spark, sf):
     """Species by items, then references, then name."""
-    g = species(spark, sf).join(edges(spark, sf), "species", "left").groupBy("species", "family").agg(F.countDistinct("compound").alias("items"), F.coalesce(F.sum("n_refs"), F.lit(0)).alias("refs"))
+    g = species(spark, sf).join(edges(spark, sf, "species"), "species", "left").groupBy("species", "family").agg(F.countDistinct("compound").alias("items"), F.coalesce(F.sum("n_refs"), F.lit(0)).alias("refs"))
     return g.orderBy(F.desc("items"), F.desc("refs"), "species").limit(50)
