@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florispark.session import cut, table_cut
+from florispark.session import dealt, table_cut
 
 
 def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", most_rounds: int = 40) -> DataFrame:
@@ -18,13 +18,23 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", mo
     pairs, on either side, so rounds grow with the logarithm of the depth and no two old pairs meet
     again.  Ends when a round finds nothing new.
     """
-    new = pairs = cut(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).where("node is not null and ancestor is not null").distinct())
-    over = lambda low, high: low.select("node", F.col("ancestor").alias("_via")).join(high.select(F.col("node").alias("_via"), "ancestor"), "_via").select("node", "ancestor")
+    new = pairs = table_cut(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).where("node is not null and ancestor is not null").distinct())
+    many = got = pairs.count()
+
+    def over(low, n_low, high, n_high):
+        low = dealt(low.select("node", F.col("ancestor").alias("_via")), n_low, "_via").hint("merge")
+        return low.join(dealt(high.select(F.col("node").alias("_via"), "ancestor"), n_high, "_via"), "_via").select("node", "ancestor")
+
     for _ in range(most_rounds):
-        new = cut(over(new, pairs).union(over(pairs, new)).distinct().join(pairs, ["node", "ancestor"], "left_anti"))
-        if new.isEmpty():
+        # repeated pairs go where the new ones are told from the old
+        both = table_cut(over(new, got, pairs, many).union(over(pairs, many, new, got)))
+        rows = max(both.count(), many)
+        found = dealt(both, rows, "node", "ancestor").distinct().hint("merge")
+        new = table_cut(found.join(dealt(pairs, rows, "node", "ancestor"), ["node", "ancestor"], "left_anti"))
+        got = new.count()
+        if not got:
             return pairs
-        pairs = cut(pairs.union(new))
+        pairs, many = table_cut(pairs.union(new)), many + got
     raise RuntimeError("the hierarchy is deeper than expected")
 
 
@@ -47,8 +57,9 @@ def descendants(edges: DataFrame, root, child: str = "child", parent: str = "par
 def inherited(attributes: DataFrame, closure: DataFrame, node: str, attribute: str) -> DataFrame:
     """(node, attribute): own attributes and those of all ancestors."""
     own = attributes.select(F.col(node).alias("node"), F.col(attribute).alias("attribute"))
-    above = closure.join(own.withColumnRenamed("node", "ancestor"), "ancestor").select("node", "attribute")
-    return own.union(above).distinct()
+    rows = closure.count()
+    above = dealt(closure, rows, "ancestor").join(own.withColumnRenamed("node", "ancestor"), "ancestor").select("node", "attribute")
+    return dealt(own.union(above), rows, "node").distinct()
 
 
 def two_tier_match(keys: DataFrame, table: DataFrame, key: str, flat: Column, value: str) -> DataFrame:
@@ -63,7 +74,8 @@ def two_tier_match(keys: DataFrame, table: DataFrame, key: str, flat: Column, va
 def first_root(nodes: DataFrame, closure: DataFrame, roots: Sequence, node: str) -> DataFrame:
     """(node, category): index of the first of some roots that a node is or is below, else their number."""
     number = reduce(lambda acc, ir: acc.when(F.col("ancestor") == F.lit(ir[1]), F.lit(ir[0])), list(enumerate(roots)), F.when(F.lit(False), F.lit(0)))
-    both = nodes.select(F.col(node).alias("node")).join(closure, "node", "left").select("node", "ancestor").union(nodes.select(F.col(node).alias("node"), F.col(node).alias("ancestor")))
+    rows = closure.count()
+    both = dealt(nodes.select(F.col(node).alias("node")), rows, "node").join(dealt(closure, rows, "node"), "node", "left").select("node", "ancestor").union(nodes.select(F.col(node).alias("node"), F.col(node).alias("ancestor")))
     return both.groupBy("node").agg(F.coalesce(F.min(number), F.lit(len(roots))).cast("bigint").alias("category"))
 
 
