@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florispark.session import shared_folder
+from florispark.session import table_cut as cut
 
 from .relational import ordered
 
@@ -27,17 +27,10 @@ class Labels(NamedTuple):
     links: DataFrame
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Rows from a table in the shared folder; unlike a checkpoint it has sizes of its own, where those estimated for joins of joins grow without bound."""
-    path = shared_folder(df.sparkSession, "labels")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _jumped(state: DataFrame, values: list, wanted: tuple[str, ...]) -> DataFrame:
     """state with each jump replaced by that of the node jumped to; values may use its columns with _ in front."""
     to = state.select(*(F.col(c).alias(f"_{c}") for c in ("node", "jump", *wanted)))
-    return state.join(to, F.col("jump") == F.col("_node"), "left").select("node", F.col("_jump").alias("jump"), *values)
+    return state.join(to.hint("merge"), F.col("jump") == F.col("_node"), "left").select("node", F.col("_jump").alias("jump"), *values)
 
 
 def _without_cycles(tree: DataFrame, many: int) -> DataFrame:
@@ -58,9 +51,9 @@ def _sizes(tree: DataFrame, many: int) -> DataFrame | None:
             return None
         # size counts what is less than `steps` below; those exactly so far below bring what is less than `steps` below them
         more = state.where("jump is not null").groupBy(F.col("jump").alias("_at")).agg(F.sum("size").alias("_more"))
-        grown = state.join(more, F.col("node") == F.col("_at"), "left").select("node", "jump", (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size"))
+        grown = state.join(more.hint("merge"), F.col("node") == F.col("_at"), "left").select("node", "jump", (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size"))
         state, steps = cut(_jumped(grown, ["size"], ())), 2 * steps
-    return cut(tree.join(state.select("node", "size"), "node"))
+    return cut(tree.join(state.select("node", "size").hint("merge"), "node"))
 
 
 def labels(edges: DataFrame, child: str = "child", parent: str = "parent") -> Labels:
@@ -71,7 +64,7 @@ def labels(edges: DataFrame, child: str = "child", parent: str = "parent") -> La
     e = cut(edges.select(F.col(child).alias("child"), F.col(parent).alias("parent")).where("child is not null and parent is not null").distinct())
     least = e.where("child <> parent").groupBy("child").agg(F.min("parent").alias("up"))
     every = e.select(F.col("child").alias("node")).union(e.select("parent")).distinct()
-    tree = cut(every.join(least, F.col("node") == F.col("child"), "left").select("node", "up"))
+    tree = cut(every.join(least.hint("merge"), F.col("node") == F.col("child"), "left").select("node", "up"))
     many = tree.count()
     sized = _sizes(tree, many)
     if sized is None:
@@ -80,14 +73,14 @@ def labels(edges: DataFrame, child: str = "child", parent: str = "parent") -> La
     # siblings stand in order; what a node's earlier siblings hold is a running sum over all, less that of its first sibling
     run = cut(ordered(sized, [F.asc_nulls_first("up"), F.asc("node")], "size").select("node", "up", "size", (F.col("_running") - F.col("size")).alias("start")))
     base = run.groupBy(F.col("up").alias("_up")).agg(F.min("start").alias("_base"))
-    placed = run.join(base, F.col("up").eqNullSafe(F.col("_up"))).withColumn("first", F.col("start") - F.col("_base") + F.when(F.col("up").isNull(), 0).otherwise(1))
+    placed = run.join(base.hint("merge"), F.col("up").eqNullSafe(F.col("_up"))).withColumn("first", F.col("start") - F.col("_base") + F.when(F.col("up").isNull(), 0).otherwise(1))
     state = cut(placed.select("node", F.col("up").alias("jump"), "first"))
     while not state.where("jump is not null").isEmpty():
         state = cut(_jumped(state, [(F.col("first") + F.coalesce("_first", F.lit(0))).alias("first")], ("first",)))
-    nodes = cut(state.join(sized.select("node", "size"), "node").select("node", "first", (F.col("first") + F.col("size") - 1).alias("last")))
-    other = e.join(tree.where("up is not null"), (F.col("child") == F.col("node")) & (F.col("parent") == F.col("up")), "left_anti")
+    nodes = cut(state.join(sized.select("node", "size").hint("merge"), "node").select("node", "first", (F.col("first") + F.col("size") - 1).alias("last")))
+    other = e.join(tree.where("up is not null").hint("merge"), (F.col("child") == F.col("node")) & (F.col("parent") == F.col("up")), "left_anti")
     low = nodes.select(F.col("node").alias("child"), "first", "last")
-    links = other.join(low, "child").join(nodes.select(F.col("node").alias("parent"), F.col("first").alias("at")), "parent")
+    links = other.join(low.hint("merge"), "child").join(nodes.select(F.col("node").alias("parent"), F.col("first").alias("at")).hint("merge"), "parent")
     return Labels(nodes, cut(links.select(F.xxhash64("at", "first").alias("link"), "at", "first", "last")))
 
 
@@ -112,15 +105,15 @@ def spread(marks: DataFrame, labels: Labels, own: bool = True, most_rounds: int
     Without `own` a marked node is there if it is below one of the same mark, as on a cycle.  Marks of
     unknown nodes, and null nodes and marks, have no rows.  A link is followed once for each mark.
     """
-    begin = marks.where("mark is not null").join(labels.nodes, "node").select("mark", "first", "last").distinct()
+    begin = marks.where("mark is not null").join(labels.nodes.hint("merge"), "node").select("mark", "first", "last").distinct()
     front = cut(begin)
     found = front if own else front.where("first < last").withColumn("first", F.col("first") + 1)
     links = labels.links.withColumn("block", F.floor(F.col("at") / BLOCK)).withColumnsRenamed({"first": "_first", "last": "_last"})
     seen = front.select("mark", F.lit(0).cast("long").alias("link"), "first", "last").where("false")
     for _ in range(most_rounds):
-        met = _in_blocks(front).join(links, "block").where("at between first and last")
+        met = _in_blocks(front).join(links.hint("merge"), "block").where("at between first and last")
         new = met.select("mark", "link", F.col("_first").alias("first"), F.col("_last").alias("last")).distinct()
-        new = cut(new.join(seen, ["mark", "link", "first", "last"], "left_anti"))
+        new = cut(new.join(seen.hint("merge"), ["mark", "link", "first", "last"], "left_anti"))
         if new.isEmpty():
             break
         seen = cut(seen.union(new))
@@ -130,7 +123,7 @@ def spread(marks: DataFrame, labels: Labels, own: bool = True, most_rounds: int
     stretches = _covered(found.union(seen.select("mark", "first", "last")).distinct())
     # the numbers of a stretch, a block at a time
     numbers = _in_blocks(stretches).select("mark", F.explode(F.sequence(F.greatest("first", F.col("block") * BLOCK), F.least("last", F.col("block") * BLOCK + (BLOCK - 1)))).alias("first"))
-    return numbers.join(labels.nodes, "first").select("node", "mark")
+    return numbers.join(labels.nodes.hint("merge"), "first").select("node", "mark")
 
 
 def below(root, labels: Labels) -> DataFrame:
@@ -142,7 +135,7 @@ def below(root, labels: Labels) -> DataFrame:
 def inherited(attributes: DataFrame, labels: Labels, node: str, attribute: str) -> DataFrame:
     """(node, attribute): own attributes and those of all ancestors; nodes outside the hierarchy keep their own."""
     own = attributes.select(F.col(node).alias("node"), F.col(attribute).alias("mark")).where("node is not null and mark is not null").distinct()
-    alone = own.join(labels.nodes.select("node"), "node", "left_anti")
+    alone = own.join(labels.nodes.select("node").hint("merge"), "node", "left_anti")
     return spread(own, labels).union(alone).select("node", F.col("mark").alias("attribute"))
 
 
@@ -152,4 +145,4 @@ def first_root(labels: Labels, roots: list) -> DataFrame:
     hit = F.filter(numbers, lambda x: x["r"] == F.col("node"))
     marks = labels.nodes.where(F.size(hit) > 0).select("node", F.element_at(hit, 1)["i"].alias("mark"))
     best = spread(marks, labels).groupBy("node").agg(F.min("mark").alias("mark"))
-    return labels.nodes.select("node").join(best, "node", "left").select("node", F.coalesce("mark", F.lit(len(roots))).cast("bigint").alias("category"))
+    return labels.nodes.select("node").join(best.hint("merge"), "node", "left").select("node", F.coalesce("mark", F.lit(len(roots))).cast("bigint").alias("category"))
