@@ -183,3 +183,74 @@ def test_edges_are_contracted_in_parts(monkeypatch):
     assert np.array_equal(whole[0], again[0]) and np.array_equal(whole[1], again[1])
     for nodes, low in [common.smallest_connected(np.arange(1, 5000), np.arange(4999))]:
         assert len(nodes) == 4999 and not low.any()
+
+
+def test_components_of_more_edges_than_one_task_contracts(spark, monkeypatch):
+    from florispark.llm import common
+
+    pairs = [(i, i + 1) for i in range(40)] + [(100, 101)]
+    made = []
+    stored = common.stored
+    monkeypatch.setattr(common, "stored", lambda *args: made.append(args) or stored(*args))
+    for most in (common.CONTRACTED_EDGES, 3):
+        made.clear()
+        monkeypatch.setattr(common, "CONTRACTED_EDGES", most)
+        got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(8)).collect()}
+        assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+        assert ("Exchange" in made[1][0]._jdf.queryExecution().toString()) == (most == 3)  # few edges end in one task
+
+
+def test_bitmaps_pass_all_links_and_name_what_meets_once():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, int(rng.integers(1, 6000)), dtype=np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.concatenate((x[rng.random(len(x)) < 0.93], rng.integers(0, 2**63, len(x) // 30, dtype=np.uint64)))) for x in sets if len(x) > 1]
+    sets += [rng.integers(0, 2**63, size, dtype=np.uint64) for size in (3, 700, 5000)]  # link with none
+    sets = [np.unique(x) for x in sets]
+    n, bounds = np.array([len(x) for x in sets]), np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    maps = ngram_join.packed(np.concatenate(sets), bounds)
+    for percent in (80, 90):
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i) if ngram_join.links(sets[i], sets[j], percent)]
+        assert percent == 90 or len(pairs) > 25
+        assert all(ngram_join.may_link(n[i], maps[i], n[j], maps[j], percent) for i, j in pairs)
+        group = ngram_join.likely(n, maps, np.full(len(n), -1), np.arange(len(n)), percent)
+        assert all(group[i] == group[j] >= 0 for i, j in pairs) and (group < 0).any()
+        # of two blocks only pairs across count, and what is connected isn't asked again
+        side = np.arange(len(n)) % 2
+        across = ngram_join.likely(n, maps, side, np.arange(len(n)), percent)
+        assert all(across[i] == across[j] >= 0 for i, j in pairs if side[i] != side[j])
+        assert (ngram_join.likely(n, maps, side, np.zeros(len(n), int), percent) == -1).all()
+    rows = [(r, r, -1, tile, 0, 0, int(n[r]), maps[r]) for tile in range(5) for r in range(len(sets))]
+    batches = lambda size: [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + size]), [pa.int64()] * 7 + [pa.binary()])], names=[x.split()[0] for x in ngram_join._CARD.split(", ")]) for i in range(0, len(rows), size)]
+    made = [{tuple(x.values()) for b in ngram_join._likely(iter(batches(size)), 80) for x in b.to_pylist()} for size in (7, 10_000)]
+    assert made[0] == made[1] and len(made[0]) == np.count_nonzero(ngram_join.likely(n, maps, np.full(len(n), -1), np.arange(len(n)), 80) >= 0)
+
+
+def test_keys_of_several_documents_are_marked():
+    rng = np.random.default_rng(9)
+    keys = rng.integers(0, 2**64, 500, dtype=np.uint64)
+    ids = np.concatenate((np.arange(500), np.arange(200) + 1000, np.arange(10)))
+    keys = np.concatenate((keys, keys[:200], keys[:10]))  # ten repeat their id as well
+    distinct, smallest, _, _ = ngram_join.smallest_of_keys(keys, ids)
+    several, other = ngram_join.others_of_keys(keys, ids, distinct, smallest)
+    assert set(several.tolist()) == set(keys[:200].tolist()) and (other >= 1000).all()
+    for buckets, bits in ((1, 16), (7, 16), (211, 20)):
+        marked = np.zeros(2**bits // 8 + 1, np.uint8)
+        for i in range(buckets):
+            own = several[((several >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(int) == i]
+            first, part = ngram_join.shared_bits(i, own, buckets, bits)
+            marked[first : first + len(part)] |= np.frombuffer(part, np.uint8)[: len(marked) - first]
+        assert set(np.flatnonzero(np.unpackbits(marked)).tolist()) == set((several >> np.uint64(64 - bits)).tolist())
+
+
+def test_sets_move_once_for_what_may_link(spark, monkeypatch):
+    """Texts that share common passages but don't link: their keys meet in many tiles, to which only bitmaps are dealt."""
+    rng = random.Random(8)
+    common = [" ".join(f"p{i}_{j}" for j in range(12)) for i in range(60)]
+    texts = {i: " ".join(rng.sample(common, 8) + [f"w{i}_{j}" for j in range(60)]) for i in range(400)}
+    texts[400] = texts[7] + " more"
+    rows = {}
+    kept = ngram_join.kept
+    monkeypatch.setattr(ngram_join, "kept", lambda df, name: rows.setdefault(name, kept(df, name)))
+    got = run(spark, texts, tile=16, percent=60)
+    assert got[400][1] == 7 and all(c == i for i, (_, c) in got.items() if i < 400)
+    assert rows["keys-of-families"].count() > 400 and rows["sets-of-likely-links"].count() + rows["sets-of-hubs"].count() < 20
