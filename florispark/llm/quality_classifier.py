@@ -188,12 +188,13 @@ class Sample:
     def __init__(self, lists: list[np.ndarray], dense: np.ndarray):
         self.h = np.concatenate([np.zeros(0, np.uint64), *lists])
         self.of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        keys, inverse, count = np.unique(self.h, return_inverse=True, return_counts=True)
-        common = np.flatnonzero(count >= MIN_DOCS)
-        place = np.full(len(keys), -1)
-        place[common] = np.arange(len(common))
-        keep = place[inverse] >= 0
-        self.keys, self.feature, self.row, self.raw = keys[common], place[inverse][keep], self.of[keep], dense
+        keys = np.sort(self.h)
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+        self.keys, self.raw = keys[first[np.diff(first, append=len(keys)) >= MIN_DOCS]], dense
+        del keys, first  # most features are in few documents
+        at = np.searchsorted(self.keys, self.h)
+        keep = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == self.h) if len(self.keys) else np.zeros(0, np.int64)
+        self.feature, self.row = at[keep], self.of[keep]
 
     def fit(self, rows: np.ndarray, y: np.ndarray, l2: float, taught: Table = NOTHING) -> View:
         number = np.full(len(self.raw), -1)
