@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_BYTES = 32 << 20
+TEXT_BYTES = 256 << 10
 _MATCH = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("entry", pa.string()), ("kind", pa.string()), ("value", pa.string())]))
 MATCHES = "array<struct<start:int,end:int,entry:string,kind:string,value:string>>"
 
@@ -93,11 +95,22 @@ def _pass(texts: DataFrame, text: str, entries: list, name: str, longest: bool,
     sent = texts.sparkSession.sparkContext.broadcast(entries)
     schema = texts.select("*", F.lit(None).cast(MATCHES).alias(name)).schema
     at = texts.columns.index(text)
+    return texts.mapInArrow(lambda it: _matched(it, at, sent.value, longest, upper, name), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = automaton(sent.value)
-        for batch in batches:
-            rows = [found(a, x.as_py().upper() if upper else x.as_py(), longest) if x.is_valid else [] for x in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _MATCH)], names=[*batch.schema.names, name])
 
-    return texts.mapInArrow(run, schema)
+def _pieces(batch: pa.RecordBatch, at: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, few at a time: their texts have most_bytes at most, or there is one row."""
+    ends, first = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(at)), 0).cast(pa.int64())).to_numpy(), 0
+    while first < len(ends):
+        end = max(first + 1, int(ends.searchsorted((ends[first - 1] if first else 0) + most_bytes, "right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
+def _matched(batches: Iterator[pa.RecordBatch], at: int, entries: list, longest: bool, upper: bool, name: str) -> Iterator[pa.RecordBatch]:
+    """Batches with a column of matches; those of TEXT_BYTES of texts are held as Python's objects at a time."""
+    a = automaton(entries)
+    for batch in batches:
+        for part in _pieces(batch, at, TEXT_BYTES):
+            rows = [found(a, x.as_py().upper() if upper else x.as_py(), longest) if x.is_valid else [] for x in part.column(at)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, _MATCH)], names=[*part.schema.names, name])

@@ -30,6 +30,18 @@ def brute(text, longest):
     return [(s, -e, entry, kind, value) for s, e, kind, value, entry in kept]
 
 
+def test_dictionary_holds_the_matches_of_few_texts():
+    import pyarrow as pa
+
+    texts = ["rosa " * 20_000, None, "", *(f"rosa {i}" for i in range(5000)), "é rosa " * 60_000, "rosa"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["n", "text"])
+    entries = [("rosa", "part", "x", True)]
+    got = list(dictionary._matched(iter([batch.slice(1), batch.slice(0, 0), batch.slice(0, 1)]), 1, entries, False, False, "m"))
+    assert [x for b in got for x in b.column(0).to_pylist()] == [*range(1, len(texts)), 0]
+    assert [len(x) for b in got for x in b.column(2).to_pylist()] == [0, 0, *[1] * 5000, 60_000, 1, 20_000]
+    assert all(b.num_rows == 1 or sum(len((x or "").encode()) for x in b.column(1).to_pylist()) <= dictionary.TEXT_BYTES for b in got)
+
+
 @pytest.mark.parametrize("bound, longest", [(1 << 20, True), (1 << 20, False), (150, True), (150, False)])
 def test_dictionary_against_brute_force(spark, bound, longest):
     rng = random.Random(1)
