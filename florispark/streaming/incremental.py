@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from florispark.sources.versions import VersionedTable
 
@@ -17,34 +13,22 @@ def _source(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(folder)
 
 
-def _kept(rows: DataFrame, key: str, order: str | None, human: str | None, schema: str, first: bool) -> DataFrame:
+def _kept(rows: DataFrame, key: str, order: str | None, human: str | None, first: bool) -> DataFrame:
     """Of each key, the row of a batch that changes what is known of it, if there is one.
 
     first: the first row of a key stays.  Else a later one takes its place, unless a person has
-    decided and it is the machine's.  Rows of a batch go by order, then by all their columns.
+    decided and it is the machine's.  Rows of a batch go by order, then by all their columns.  The state is a grouped
+    least or greatest row, kept by Spark's own aggregation; current_timestamp() is one value for a batch, the same when it is tried again.
     """
-    names = rows.columns
-
-    def run(_, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        known = state.get if state.exists else None
-        best, rank = None, (bool(known[0]), known[1]) if known else None
-        for pdf in batches:
-            for row in pdf.to_dict("records"):
-                own = (bool(human and row["_human"]), int(row["_order"]))
-                tie = (*own, *((row[c] is None, str(row[c])) for c in names))
-                if first:
-                    better = known is None and (best is None or (tie[1:], ) < (best[0][1:], ))
-                else:
-                    better = (rank is None or own >= rank) and (best is None or tie > best[0])
-                if better:
-                    best = (tie, own, row["_json"])
-        if best is not None:
-            state.update((best[1][0], best[1][1]))
-            yield pd.DataFrame({"_json": [best[2]]})
-
-    told = rows.where(F.col(key).isNotNull()).select("*", (F.col(human) if human else F.lit(False)).alias("_human"), (F.col(order).cast("long") if order else F.lit(0).cast("long")).alias("_order"), F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("_json"))
-    out = told.groupBy(key).applyInPandasWithState(run, "_json string", "human boolean, at long", "update", GroupStateTimeout.NoTimeout)
-    return out.select(F.from_json("_json", schema).alias("r")).select("r.*")
+    names, batch = rows.columns, F.current_timestamp()
+    at = F.col(order).cast("long") if order else F.lit(0).cast("long")
+    ties = [x for c in names for x in (F.col(c).isNull(), F.coalesce(F.col(c).cast("string"), F.lit("")))]
+    # an earlier batch's row is before those of a later one
+    rank = F.struct(batch, at, *ties) if first else F.struct(F.coalesce(F.col(human), F.lit(False)), at, batch, *ties)
+    told = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.struct(*names).alias("_row"), batch.alias("_batch"), rank.alias("_rank"))
+    best = (F.min_by if first else F.max_by)(F.struct("_row", "_batch"), "_rank")
+    out = told.groupBy("_key").agg(best.alias("r")).where(F.col("r._batch") == F.current_timestamp())
+    return out.select("r._row.*")
 
 
 def _run(rows: DataFrame, checkpoint: str, put) -> StreamingQuery:
@@ -62,7 +46,7 @@ def load_new(spark: SparkSession, folder: str, schema: str, target: str, checkpo
     def put(batch: DataFrame, epoch: int) -> None:
         table.append(batch, batch=(checkpoint, epoch))
 
-    return _run(_kept(_source(spark, folder, schema), key, order, None, schema, True), checkpoint, put)
+    return _run(_kept(_source(spark, folder, schema), key, order, None, True), checkpoint, put)
 
 
 def load_decisions(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, key: str, order: str, human: str) -> StreamingQuery:
@@ -82,4 +66,4 @@ def load_decisions(spark: SparkSession, folder: str, schema: str, target: str, c
         finally:
             held.unpersist()
 
-    return _run(_kept(_source(spark, folder, schema), key, order, human, schema, False), checkpoint, put)
+    return _run(_kept(_source(spark, folder, schema), key, order, human, False), checkpoint, put)

@@ -216,3 +216,21 @@ def test_plan_of_a_stream_has_more_than_a_million_ids(tmp_path):
     end = reader.latestOffset()
     got = sum(1 for p in reader.partitions({"pages": end["pages"] - 40}, end) for _ in reader.read(p))
     assert end["pages"] == 2001 and got == 40 * 500
+
+
+def test_what_is_known_of_keys_is_kept_by_aggregation(spark, tmp_path):
+    """Of rows alike in order the greatest of a batch stays, or the first; a later batch's equal rank replaces; unchanged keys leave no row."""
+    src, schema = str(tmp_path / "src"), "k int, v string, n int, person boolean"
+    batches = [[(1, "b", 1, False), (1, "a", 1, False), (2, "x", 5, True), (3, None, 1, False), (3, "z", 1, None)], [(1, "a0", 1, False), (2, "y", 9, False), (3, "zz", 0, False), (4, "d", None, False)]]
+    put = {}
+    for name, load in (("once", lambda t: load_new(spark, src, schema, t, t + "-cp", "k", "n")), ("all", lambda t: load_decisions(spark, src, schema, t, t + "-cp", "k", "n", "person"))):
+        src = str(tmp_path / f"src-{name}")
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+            q = load(str(tmp_path / name))
+            assert q.awaitTermination(60)
+            states = [s for p in q.recentProgress for s in p["stateOperators"]]
+            assert states and all(s["operatorName"] == "stateStoreSave" for s in states)
+        put[name] = sorted((r.k, r.v) for r in VersionedTable(spark, str(tmp_path / name)).read().collect())
+    assert put["once"] == [(1, "a"), (2, "x"), (3, "z"), (4, "d")]
+    assert put["all"] == [(1, "a0"), (2, "x"), (3, None), (4, "d")]
