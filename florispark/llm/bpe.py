@@ -35,29 +35,55 @@ _LEAF = "uid string, part int, doc_id long, leaf int, special boolean, text stri
 
 
 class Coder:
-    """Word-level encoding with a bounded cache; decoding as the library does without a decoder."""
+    """Word-level encoding with a bounded cache, from which words that came again go last; decoding as the library does without a decoder."""
 
     def __init__(self, path: str):
         self.enc = encoder(path)
-        self.cache: dict[str, tuple[bytes, str]] = {}
         tok = self.enc.whole
         self.token = [tok.id_to_token(i) for i in range(tok.get_vocab_size(with_added_tokens=True))]
         self.size = np.array([0 if t is None else len(t.removesuffix("</w>")) for t in self.token])
         self.last = np.array([bool(t) and t.endswith("</w>") for t in self.token])
+        # of each word its ids and what they decode to; the older ones are those not seen since the newer ones were begun
+        self.cache: tuple[dict[str, bytes], dict[str, str]] = {}, {}
+        self.older: tuple[dict[str, bytes], dict[str, str]] = {}, {}
 
     def fill(self, words: list[str]) -> None:
-        new = [w for w in set(words) if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list(set(words))
-        for w, ids in zip(new, self.enc.ids(new), strict=True):
-            self.cache[w] = (np.array(ids, "<u4").tobytes(), " ".join([self.token[i] for i in ids]))
+        distinct = set(words)
+        new = [w for w in distinct if w not in self.cache[0]]
+        if len(self.cache[0]) + len(new) > CACHE_WORDS // 2:
+            self.older, self.cache = self.cache, ({}, {})
+            new = list(distinct)
+        coded, decoded = self.cache
+        if self.older[0]:
+            (ids, text), missing = self.older, []
+            for w in new:
+                if w in ids:
+                    coded[w], decoded[w] = ids[w], text[w]
+                else:
+                    missing.append(w)
+            new = missing
+        if new:
+            ids, end = self.coded(new)
+            tokens, data, low = [self.token[i] for i in ids.tolist()], ids.tobytes(), 0
+            for w, high in zip(new, end.tolist(), strict=True):
+                coded[w], decoded[w] = data[4 * low : 4 * high], " ".join(tokens[low:high])
+                low = high
+
+    def coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and where each word's end: at its token with the end mark, if all words have one."""
+        if self.enc.special.keys().isdisjoint(words):
+            ids = np.array(self.enc.row(words), "<u4")
+            end = np.flatnonzero(self.last[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
+            if len(end) == len(words) and end[-1] == len(ids):
+                return ids, end
+        each = self.enc.ids(words)
+        return np.array([i for x in each for i in x], "<u4"), np.cumsum([len(x) for x in each])
 
     def ids(self, words: list[str]) -> bytes:
-        return b"".join([self.cache[w][0] for w in words])
+        return b"".join(map(self.cache[0].__getitem__, words))
 
     def decoded(self, words: list[str]) -> str:
-        return " ".join([self.cache[w][1] for w in words])
+        return " ".join(map(self.cache[1].__getitem__, words))
 
     def decode(self, ids: np.ndarray) -> str:
         """The library's decode(ids, skip_special_tokens=False): this vocabulary has no decoder, so tokens are joined by spaces."""
@@ -65,14 +91,13 @@ class Coder:
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each token of a normalised text: id, start and end (in bytes of its UTF-8), and whether it begins a pre-token."""
-        words = self.enc.found(text)
-        self.fill([w for _, w in words])
-        coded = [np.frombuffer(self.cache[w][0], "<u4") for _, w in words]
-        counts = np.array([len(x) for x in coded], dtype=np.int64)
-        ids = np.concatenate([np.zeros(0, "<u4"), *coded])
+        at, words = self.enc.placed(text)
+        self.fill(words)
+        coded = list(map(self.cache[0].__getitem__, words))
+        counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        ids = np.frombuffer(b"".join(coded), "<u4")
         if not len(ids):
             return ids, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-        at = np.array([m for m, _ in words], dtype=np.int64)
         if not text.isascii():
             wide = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
             at = np.concatenate(([0], np.cumsum(1 + (wide >= 0x80) + (wide >= 0x800) + (wide >= 0x10000))))[at]

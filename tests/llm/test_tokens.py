@@ -100,6 +100,51 @@ def test_the_window_stays_small():
     assert max(seen) < 2_000
 
 
+class Counting:
+    """A tokenizer that notes the words it is asked for."""
+
+    def __init__(self, tok):
+        self.tok, self.asked = tok, []
+
+    def encode_batch_fast(self, words, **more):
+        for w in words:
+            self.asked += [w] if isinstance(w, str) else w
+        return self.tok.encode_batch_fast(words, **more)
+
+
+def test_words_that_come_again_stay_in_a_full_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 200)
+    c = bpe.Coder(PATH)
+    counting = Counting(c.enc.tok)
+    monkeypatch.setattr(c.enc, "tok", counting)
+    often, rng = [f"{a}the" for a in "bcdfghjklm"], random.Random(3)
+    for _ in range(60):
+        words = often + ["".join(rng.choices("etaoins", k=9)) for _ in range(20)] + ["<|endoftext|>"]
+        c.fill(words)
+        assert np.frombuffer(c.ids(words), "<u4").tolist() == want(" ".join(words))
+        assert c.decoded(words) == TOK.decode(want(" ".join(words)), skip_special_tokens=False)
+        assert len(c.cache[0]) + len(c.older[0]) <= 200
+    assert [counting.asked.count(w) for w in often] == [1] * 10
+
+
+def test_a_batch_of_more_words_than_the_cache_holds(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 20)
+    c = bpe.Coder(PATH)
+    for text in ("one two three", " ".join("".join(x) for x in zip("abcdefghijklmnopqrstuvwxyz" * 3, "thean" * 15, "ours" * 18)), "two"):
+        ids, start, end, first = c.spans(text)
+        assert ids.tolist() == want(text)
+        assert [text[s:e] for s, e in zip(start[first], np.append(start[1:][first[1:]], len(text)))] and int(first.sum()) == len(text.split())
+
+
+def test_places_of_pre_tokens_in_any_text():
+    enc, rng = encoder(PATH), random.Random(6)
+    for n in range(2000):
+        own = "a é ß中1.!'s \t\n\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\u3001\u200b\U0001f600" + ("\ua7cb" if n % 9 == 0 else "")
+        text = enc.normalised("".join(rng.choices(own, k=rng.randrange(30))))
+        at, words = enc.placed(text)
+        assert list(zip(at.tolist(), words, strict=True)) == enc.found(text), ascii(text)
+
+
 def library_words(text):
     text = TOK.normalizer.normalize_str(text)
     return [text[s:e] for _, (s, e) in TOK.pre_tokenizer.pre_tokenize_str(text)]
