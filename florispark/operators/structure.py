@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florispark.functions import notation
-from florispark.session import cut
+from florispark.session import cut, dealt
 
+MOST_ROWS = 50_000  # of a join's side in one task, each of some hundred bytes
 _ATOM = pa.struct([("element", pa.string()), ("hydrogens", pa.int32()), ("charge", pa.int32()), ("isotope", pa.int32()), ("aromatic", pa.bool_()), ("chiral", pa.int32()), ("near", pa.list_(pa.int32()))])
 _BOND = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("order", pa.int32()), ("aromatic", pa.bool_()), ("ring", pa.bool_())])
 
@@ -109,8 +110,10 @@ def structure_figures(notations: DataFrame, column: str) -> DataFrame:
 def verified(expected: DataFrame, candidates: DataFrame, key: str, order: str, column: str) -> DataFrame:
     """(key, notation, via) for each of expected's (key, full_key, connectivity_key): the first candidate with its full key, else the first
     with its connectivity, else null: via is 'full', 'planar', 'mismatch' or, without candidates that can be read, 'none'."""
+    rows = candidates.count()
     c = candidates.select(key, order, F.col(column).alias("notation")).join(structure_keys(candidates, column).toDF("notation", "_f", "_c"), "notation")
-    j = expected.join(c, key, "left")
+    # rows are wide with keys that pack to next to nothing: dealt by their number, and neither side is sent whole
+    j = dealt(expected, rows, key, most=MOST_ROWS).join(dealt(c, rows, key, most=MOST_ROWS).hint("merge"), key, "left")
     via = F.when(F.col("_f") == F.col("full_key"), 0).when(F.col("_c") == F.col("connectivity_key"), 1).when(F.col("_f").isNotNull(), 2).otherwise(3)
     best = j.groupBy(key).agg(F.min(F.struct(via.alias("via"), F.col(order).alias("order"), "notation")).alias("m"))
     names = F.array(*(F.lit(x) for x in ("full", "planar", "mismatch", "none")))

@@ -112,3 +112,14 @@ def test_verification(spark):
     expected = spark.createDataFrame([(i, *key) for i in (1, 2, 3, 4, 5)], "id long, full_key string, connectivity_key string")
     got = {r.id: (r.notation, r.via) for r in S.verified(expected, candidates, "id", "n", "x").collect()}
     assert got == {1: ("OC(=O)[C@@H](N)C", "full"), 2: ("N[C@H](C)C(=O)O", "planar"), 3: (None, "mismatch"), 4: (None, "none"), 5: (None, "none")}
+
+
+def test_verification_is_dealt_by_rows_not_by_packed_bytes(spark, monkeypatch):
+    """Neither side of its join is sent whole, and a task gets a bounded number of rows, however small they pack."""
+    monkeypatch.setattr(S, "MOST_ROWS", 100, raising=False)
+    expected = S.structure_keys(spark.createDataFrame([("CCO",)], "x string"), "x").drop("notation").crossJoin(spark.range(2000).withColumnRenamed("id", "k"))
+    candidates = spark.range(2000).selectExpr("id as k", "1 as n", "if(id % 2 = 0, 'OCC', 'CCC') as x")
+    got = S.verified(expected, candidates, "k", "n", "x")
+    sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 2000 and max(sizes) < 400, sizes
+    assert {(r.k % 2, r.notation, r.via) for r in got.collect()} == {(0, "OCC", "full"), (1, None, "mismatch")}
