@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from florispark.functions import text as T
@@ -11,7 +14,7 @@ from florispark.operators.relational import top_per_group
 from florispark.session import dealt
 from florispark.sources.readers import table
 
-from .domain import edges, ingredient, query, species, used_by
+from .domain import edges, edges_dealt, ingredient, query, species, used_by
 
 RANKED = "SELECT kind, id, weight, rank FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY weight DESC, id) AS rank FROM a) WHERE rank <= cap"
 
@@ -224,12 +227,20 @@ FACTS = {
 
 @query("rpt_stated_facts", " UNION ALL ".join(f"SELECT '{label}' AS fact, CAST({sql} AS BIGINT) AS value FROM {t} " for label, (t, sql) in FACTS.items()))
 def stated_facts(spark, sf):
-    """39 scalar facts; those of one table are found in one pass over it."""
-    make = {"ing": ingredient, "edge": edges, "species": species, "used": used_by}
+    """39 scalar facts; those of one table are found in one pass over it.
+
+    Its rows are dealt by the column that has most values, so that no task holds the distinct values of a whole split.
+    """
+    by = {"ing": "name", "orders": "o_custkey", "lineitem": "l_orderkey"}
+    make = {"ing": ingredient, "edge": partial(edges_dealt, ("compound",)), "species": species, "used": used_by}
     out = None
     for t in dict.fromkeys(t for t, _ in FACTS.values()):
         own = {label: sql for label, (x, sql) in FACTS.items() if x == t}
-        one = (make[t](spark, sf) if t in make else table(spark, sf, t)).agg(*(F.expr(sql).cast("long").alias(f"f{i}") for i, sql in enumerate(own.values())))
+        held = make[t](spark, sf) if t in make else table(spark, sf, t)
+        if t in by:
+            named = [c for c in held.columns if c == by[t] or any(re.search(rf"\b{c}\b", sql) for sql in own.values())]
+            held = dealt(held.select(named), held.count(), by[t])
+        one = held.agg(*(F.expr(sql).cast("long").alias(f"f{i}") for i, sql in enumerate(own.values())))
         pairs = ", ".join(f"'{label}', f{i}" for i, label in enumerate(own))
         rows = one.selectExpr(f"stack({len(own)}, {pairs}) as (fact, value)")
         out = rows if out is None else out.union(rows)
