@@ -95,3 +95,16 @@ def test_stages_take_empty_tables(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, path).count() == 0
+
+
+def test_stages_called_on_their_own_bound_their_batches(spark):
+    import corpus_pipeline
+
+    before = {k: spark.conf.get(k) for k in corpus_pipeline.BATCH}
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    try:
+        assert corpus_pipeline.STAGES[4][1](spark, docs, "").count() == 1
+        assert {k: int(spark.conf.get(k)) for k in before} == corpus_pipeline.BATCH
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
