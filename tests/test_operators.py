@@ -33,6 +33,25 @@ def test_similar_pairs_are_all_of_brute_force(spark):
     assert got == want and got
 
 
+def test_similar_pairs_are_made_in_rounds_and_leave_no_shuffles(spark, monkeypatch):
+    """Items of many owners are dealt into blocks, meetings into rounds; the files of the shuffles go once a table is there."""
+    rng = random.Random(2)
+    sets = {o: set(rng.choices(range(300), k=rng.randrange(60, 120))) for o in range(150)}
+    df = spark.createDataFrame([(o, i) for o, s in sets.items() for i in s], "o long, i long").repartition(3)
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_"))
+
+    monkeypatch.setattr(M, "BLOCK", 16, raising=False)
+    monkeypatch.setattr(M, "ROUND", 60_000, raising=False)
+    before = shuffled()
+    got = {(r.a, r.b): r.shared for r in M.similar_pairs(df, "o", "i", 10, 5, 0.2).collect()}
+    assert shuffled() - before < 20_000
+    n = {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets if a < b}
+    assert got == {(a, b): c for (a, b), c in n.items() if c >= 5 and c >= 0.2 * (len(sets[a]) + len(sets[b]) - c)} and len(got) > 100
+
+
 def test_closure_with_diamonds_and_cycles(spark):
     e = spark.createDataFrame([("c", "b"), ("b", "a"), ("c", "d"), ("d", "a"), ("x", "y"), ("y", "x"), (None, "a")], "child string, parent string")
     got = {tuple(r) for r in G.ancestors(e).collect()}
